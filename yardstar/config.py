@@ -42,6 +42,7 @@ class LoadConfig:
     calendar_end: date = CALENDAR_END
     batch_ts: datetime | None = None
     stage: bool = True
+    partition_grain: str = "month"  # facts are partitioned by pickup "month" or "year"
 
     @property
     def as_of_column(self) -> Column:

@@ -54,13 +54,16 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def date_rows(spark: SparkSession, start: date = C.CALENDAR_START, end: date = C.CALENDAR_END) -> DataFrame:
-    """One row per day with its calendar attributes (ISO week, 1 = Sunday)."""
+def date_bounds(spark: SparkSession, start: date = C.CALENDAR_START, end: date = C.CALENDAR_END) -> DataFrame:
+    """The calendar's first and last day as one row."""
+    return spark.range(1).select(F.lit(start).alias("inicio"), F.lit(end).alias("fim"))
+
+
+def date_rows(bounds: DataFrame) -> DataFrame:
+    """One row per day from ``inicio`` to ``fim`` with its attributes (ISO week, 1 = Sunday)."""
     d = F.col("data_completa")
     month, weekday = F.month(d), F.dayofweek(d)
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("data_completa")
-    )
+    days = bounds.select(F.explode(F.sequence("inicio", "fim", F.expr("interval 1 day"))).alias("data_completa"))
     return days.select(
         d,
         F.dayofmonth(d).alias("dia"),

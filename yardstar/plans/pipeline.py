@@ -38,7 +38,7 @@ def stored_schema(table: str) -> T.StructType:
         schema = schema.add(FACT_KEYS[table], T.LongType())
     schema = schema.add("dt_carga", T.TimestampNTZType())
     if table in FACT_IDS:
-        schema = schema.add("carga", T.StringType()).add("ano_mes_retirada", T.IntegerType())
+        schema = schema.add("carga", T.StringType()).add("periodo_retirada", T.DateType())
     return schema
 
 
@@ -90,7 +90,7 @@ def dimension_rows(
 ) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
     """Unkeyed rows of each dimension; vehicles need the finished groups and companies."""
     return {
-        "dim_tempo": lambda done: D.date_rows(spark, cfg.calendar_start, cfg.calendar_end),
+        "dim_tempo": lambda done: D.date_rows(D.date_bounds(spark, cfg.calendar_start, cfg.calendar_end)),
         "dim_empresa": lambda done: D.company_rows(conformed),
         "dim_patio": lambda done: D.yard_rows(conformed),
         "dim_grupo_veiculo": lambda done: D.group_rows(conformed),
@@ -115,11 +115,10 @@ def _load_dimension(
 def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg: LoadConfig) -> DataFrame:
     """Accepted and rejected rows in one pass, in separate partitions.
 
-    ``rebalance`` sizes the files and splits a month that holds a large share
+    ``rebalance`` sizes the files and splits a period that holds a large share
     of all rows over several tasks.
     """
     columns = [f.name for f in star_schema(table).fields]
-    month = F.year("data_retirada") * 100 + F.month("data_retirada")
     laid = resolved.select(
         *(F.col(f.name).cast(f.dataType) for f in star_schema(table).fields if f.name in resolved.columns),
         *(
@@ -129,13 +128,13 @@ def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg
         ),
         "motivos",
         F.when(F.size("motivos") == 0, ACCEPTED).otherwise(REJECTED).alias("carga"),
-        month.alias("ano_mes_retirada"),
-    ).select(*columns, "motivos", "carga", "ano_mes_retirada")
-    laid = laid.hint("rebalance", "carga", "ano_mes_retirada")
+        F.trunc("data_retirada", cfg.partition_grain).alias("periodo_retirada"),
+    ).select(*columns, "motivos", "carga", "periodo_retirada")
+    laid = laid.hint("rebalance", "carga", "periodo_retirada")
     # Unique within the load; nothing refers to a fact's key, so it need not be dense.
     keyed = laid.withColumn(FACT_KEYS[table], F.monotonically_increasing_id() + 1)
     return store.write(
-        keyed.withColumn("dt_carga", cfg.batch_column), table, version, ("carga", "ano_mes_retirada")
+        keyed.withColumn("dt_carga", cfg.batch_column), table, version, ("carga", "periodo_retirada")
     )
 
 
@@ -144,7 +143,7 @@ def _number_snapshot(rows: DataFrame, start: int, cfg: LoadConfig) -> DataFrame:
     return rows.withColumn("sk_snapshot", key).withColumn("dt_carga", cfg.batch_column)
 
 
-def _together(tasks: Mapping[str, Callable[[], DataFrame]], width: int = 4) -> dict[str, DataFrame]:
+def _together(tasks: Mapping[str, Callable[[], DataFrame]], width: int = 8) -> dict[str, DataFrame]:
     """Submit independent table writes side by side; any failure stops the load."""
     with ThreadPoolExecutor(width) as pool:
         running = {name: pool.submit(task) for name, task in tasks.items()}

@@ -189,11 +189,11 @@ def report_c_next_week(star: Star, as_of: date | None = None) -> DataFrame:
     """Reservations to be picked up from ``as_of`` to seven days later, both included."""
     first = C.as_of_column(as_of)
     last = F.date_add(first, 7)
-    month = [F.year(d) * 100 + F.month(d) for d in (first, last)]
     due = star["fato_reserva"].where(F.col("status_reserva") != C.CANCELLED)
-    if "ano_mes_retirada" in due.columns:
-        # The week lies in at most two monthly partitions.
-        due = due.where(F.col("ano_mes_retirada").between(*month))
+    if "periodo_retirada" in due.columns:
+        # The week lies in at most two partitions, whether they are months or years.
+        periods = [F.trunc(d, grain) for d in (first, last) for grain in ("month", "year")]
+        due = due.where(F.col("periodo_retirada").isin(*periods))
     df = _date(due, star, "sk_tempo_retirada_prev", F.col("data_completa").between(first, last), data="data_completa")
     df = df.groupBy("sk_grupo", "sk_patio_retirada", "sk_cliente").agg(F.count("*").alias("n"))
     df = _client(df, star, cidade_origem="cidade_origem")
