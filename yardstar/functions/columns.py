@@ -27,11 +27,6 @@ def transmission_from_flag(c: str | Column) -> Column:
     return F.when(col(c), C.AUTOMATIC).otherwise(C.MANUAL)
 
 
-def flag_from_tinyint(c: str | Column) -> Column:
-    """1 is true; every other value and NULL is false."""
-    return F.coalesce(col(c) == 1, F.lit(False))
-
-
 def status_from_return(c: str | Column) -> Column:
     return F.when(col(c).isNotNull(), C.DONE).otherwise(C.ACTIVE)
 

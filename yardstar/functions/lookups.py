@@ -1,25 +1,17 @@
-"""Lookup joins and first-match picks."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 256
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: str | Column, values: Sequence[str]) -> DataFrame:
-    """One row per key: the values of the row with the lowest ``order``.
-
-    ``min_by`` combines map-side, so a key with very many rows costs one
-    partial row per task.
-    """
-    order = F.col(order) if isinstance(order, str) else order
-    return df.groupBy(*keys).agg(*(F.min_by(F.col(v), order).alias(v) for v in values))
-
-
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -40,10 +32,6 @@ def lookup(
         *(F.col(r).alias(keys[l]) for l, r in on.items()),
         *(F.col(r).alias(n) for r, n in take.items()),
     )
-    condition = None
-    for l, k in keys.items():
-        part = left[l] == right[k]
-        condition = part if condition is None else condition & part
     if spread_nulls_by:
         is_null = F.lit(False)
         for l in on:
@@ -55,9 +43,6 @@ def lookup(
         # Always 0, but not a literal: Catalyst would fold a literal into the
         # condition and the column would no longer be a partitioning key.
         right = right.withColumn("__zero", F.pmod(F.xxhash64(*keys.values()), F.lit(1)))
-        condition = None
-        for l, k in keys.items():
-            part = left[l] == right[k]
-            condition = part if condition is None else condition & part
-        condition = condition & (left["__spread"] == right["__zero"])
-    return left.join(right, condition, how).drop(*keys.values(), "__spread", "__zero")
+        keys["__spread"] = "__zero"
+    matches = reduce(and_, (F.col(l) == F.col(k) for l, k in keys.items()))
+    return left.join(right, matches, how).drop(*keys.values(), "__spread")

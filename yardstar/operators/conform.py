@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from yardstar import config as C
 from yardstar.functions import columns as X
-from yardstar.functions.lookups import first_by, lookup
+from yardstar.functions.lookups import lookup
 
 Frames = Mapping[str, DataFrame]
 
@@ -40,17 +40,12 @@ def conform_g1(s: Frames) -> dict[str, DataFrame]:
 
 
 def planned_days_from_reservation(rentals: DataFrame, reservations: DataFrame) -> DataFrame:
-    """Planned days of the reservation a rental refers to; NULL without a match."""
-    planned = first_by(
-        reservations.select(
-            "id_reserva",
-            X.whole_days("data_retirada_prevista", "data_devolucao_prevista").alias("dias"),
-            F.struct("data_retirada_prevista", "data_devolucao_prevista").alias("ordem"),
-        ),
-        ["id_reserva"],
-        "ordem",
-        ["dias"],
-    )
+    """Planned days of the reservation a rental refers to; NULL without a match.
+
+    Should a reservation appear twice, its shortest plan counts.
+    """
+    days = X.whole_days("data_retirada_prevista", "data_devolucao_prevista")
+    planned = reservations.groupBy("id_reserva").agg(F.min(days).alias("dias"))
     return lookup(
         rentals,
         planned,

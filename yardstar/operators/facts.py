@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardstar.functions import columns as X
-from yardstar.functions.lookups import first_by, lookup
+from yardstar.functions.lookups import lookup
 from yardstar.schemas import conform_to, star_schema
 
 Frames = Mapping[str, DataFrame]
@@ -52,7 +52,7 @@ def _rental(df: DataFrame, tag: str, **cols: str | Column | None) -> DataFrame:
 
 def rentals_g1(s: Frames) -> DataFrame:
     """The client comes from the reservation: walk-ins have none."""
-    client = first_by(s["g1_reserva"], ["id_reserva"], "id_cliente", ["id_cliente"])
+    client = s["g1_reserva"].groupBy("id_reserva").agg(F.min("id_cliente").alias("id_cliente"))
     df = lookup(
         s["g1_locacao"],
         client,

@@ -7,7 +7,6 @@ widths are checked by the audits instead of aborting the load.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Staging tables by source, without the trailing dt_extracao.
@@ -104,10 +103,14 @@ def star_schema(table: str) -> T.StructType:
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order with its types; a column not there is NULL."""
-    present = {c.lower() for c in df.columns}
-    return df.select(
+    found = [(f.name, f.dataType) for f in df.schema.fields]
+    wanted = [(f.name, f.dataType) for f in schema.fields]
+    if found == wanted:
+        return df
+    present = {name.lower() for name, _ in found}
+    return df.selectExpr(
         *(
-            (F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
+            f"CAST({f'`{name}`' if name.lower() in present else 'NULL'} AS {kind.simpleString()}) AS `{name}`"
+            for name, kind in wanted
         )
     )

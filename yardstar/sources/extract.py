@@ -11,12 +11,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardstar.config import LoadConfig
-from yardstar.functions.columns import flag_from_tinyint
 from yardstar.schemas import STAGING_DDL, conform_to, staging_schema
 from yardstar.sources.readers import Source
 
@@ -210,15 +209,17 @@ def _extract_one(spec: Extract, schema: T.StructType, source: Source) -> DataFra
         df = df.join(joined[j.table], F.col(base_key) == F.col(f"{j.table}.{j.key}"), "inner")
     taken = {name: f"{j.table}.{c}" for j in spec.joins for name, c in j.take}
 
-    def value(name: str) -> Column:
+    def value(name: str) -> str:
         if name in spec.blank:
-            return F.lit(None)
-        c = F.col(taken.get(name) or f"base.{spec.rename.get(name, name)}")
+            return "NULL"
+        c = taken.get(name) or f"base.{spec.rename.get(name, name)}"
         if name in spec.flags:
-            c = flag_from_tinyint(c)
-        return F.rtrim(c) if name in spec.char else c
+            c = f"coalesce({c} = 1, false)"  # NULL reads as false
+        return f"rtrim({c})" if name in spec.char else c
 
-    return df.select(*(value(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+    return df.selectExpr(
+        *(f"CAST({value(f.name)} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    )
 
 
 def extract_table(table: str, source: Source, cfg: LoadConfig | None = None) -> DataFrame:
