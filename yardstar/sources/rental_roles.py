@@ -396,7 +396,7 @@ class RentalRoles:
             ),
             "Devolucao": _named(
                 r.where("done"),
-                Id_devolucao=F.col("part") * 1_000_000 + F.col("slot"),
+                Id_devolucao=F.col("part") * 100_000_000 + F.col("slot"),
                 Id_locacao="id",
                 Id_vaga=F.when(F.col("part") % 13 == 0, F.col("slot") + UNKNOWN).otherwise(
                     RETURN_SLOT + F.col("return_yard")
