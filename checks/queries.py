@@ -488,7 +488,7 @@ def audit_range(bed):
 @query
 def audit_order(bed):
     return Q.audit_rows(
-        bed.rentals, ["id", "part", "slot"], [Q.after("back", "due"), Q.not_before("due", "pickup")], "locacao:"
+        bed.rentals, ["id", "part_id", "slot_id"], [Q.after("back", "due"), Q.not_before("due", "pickup")], "locacao:"
     )
 
 

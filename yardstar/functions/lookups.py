@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,21 +26,15 @@ def lookup(
     ``spread_nulls_by`` names columns whose hash scatters them.
     """
     keys = {l: f"__key_{i}" for i, l in enumerate(on)}
-    right = right.select(
-        *(F.col(r).alias(keys[l]) for l, r in on.items()),
-        *(F.col(r).alias(n) for r, n in take.items()),
-    )
+    kept = left.columns
+    needed = [*(F.col(r).alias(keys[l]) for l, r in on.items()), *(F.col(r).alias(n) for r, n in take.items())]
     if spread_nulls_by:
-        is_null = F.lit(False)
-        for l in on:
-            is_null = is_null | F.col(l).isNull()
-        left = left.withColumn(
-            "__spread",
-            F.when(is_null, F.pmod(F.xxhash64(*spread_nulls_by), F.lit(NULL_SPREAD))).otherwise(F.lit(0)),
-        )
+        is_null = " OR ".join(f"`{l}` IS NULL" for l in on)
+        spread = f"if({is_null}, pmod(xxhash64({', '.join(spread_nulls_by)}), {NULL_SPREAD}), 0) AS __spread"
+        left = left.selectExpr("*", spread)
         # Always 0, but not a literal: Catalyst would fold a literal into the
         # condition and the column would no longer be a partitioning key.
-        right = right.withColumn("__zero", F.pmod(F.xxhash64(*keys.values()), F.lit(1)))
+        needed.append(F.expr(f"pmod(xxhash64({', '.join(on.values())}), 1) AS __zero"))
         keys["__spread"] = "__zero"
-    matches = reduce(and_, (F.col(l) == F.col(k) for l, k in keys.items()))
-    return left.join(right, matches, how).drop(*keys.values(), "__spread")
+    matches = F.expr(" AND ".join(f"`{l}` = `{k}`" for l, k in keys.items()))
+    return left.join(right.select(*needed), matches, how).select(*kept, *take.values())

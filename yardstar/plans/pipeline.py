@@ -107,9 +107,13 @@ def _load_dimension(
     keys = D.NATURAL_KEYS[table]
     known = store.read(f"chave_{table}", previous) if previous else None
     key_map = assign_keys(rows, keys, store.path(f"chave_{table}_ordem", version), known)
-    key_map = store.write(key_map, f"chave_{table}", version)
     dim = D.keyed(rows, key_map, table).withColumn("dt_carga", cfg.batch_column)
-    return store.write(dim, table, version)
+    return _together(
+        {
+            "map": lambda: store.write(key_map, f"chave_{table}", version),
+            "dim": lambda: store.write(dim, table, version),
+        }
+    )["dim"]
 
 
 def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg: LoadConfig) -> DataFrame:
@@ -165,28 +169,22 @@ def load(staging: Mapping[str, DataFrame], store: Store, cfg: LoadConfig | None
         return _load_dimension(rows[table](done), table, store, version, previous, cfg)
 
     done = _together({t: (lambda t=t: dimension(t, {})) for t in DIMENSIONS if t != "dim_veiculo"})
-    done["dim_veiculo"] = dimension("dim_veiculo", done)
-
-    _together(
-        {
-            "fato_locacao": lambda: _store_fact(
-                facts.resolve_rentals(facts.rental_rows(conformed), done), "fato_locacao", store, version, cfg
-            ),
-            "fato_reserva": lambda: _store_fact(
-                facts.resolve_reservations(facts.reservation_rows(conformed), done),
-                "fato_reserva",
-                store,
-                version,
-                cfg,
-            ),
-            "fato_patio_snapshot": lambda: store.write(
-                _number_snapshot(snapshot_rows(conformed, done, cfg.as_of_column), 0, cfg),
-                "fato_patio_snapshot",
-                version,
-                ("sk_tempo",),
-            ),
-        }
-    )
+    def reservations() -> DataFrame:
+        resolved = facts.resolve_reservations(facts.reservation_rows(conformed), done)
+        return _store_fact(resolved, "fato_reserva", store, version, cfg)
+
+    def rentals() -> DataFrame:
+        resolved = facts.resolve_rentals(facts.rental_rows(conformed), done)
+        return _store_fact(resolved, "fato_locacao", store, version, cfg)
+
+    def snapshot() -> DataFrame:
+        numbered = _number_snapshot(snapshot_rows(conformed, done, cfg.as_of_column), 0, cfg)
+        return store.write(numbered, "fato_patio_snapshot", version, ("sk_tempo",))
+
+    # Reservations name no vehicle, so they need not wait for that dimension.
+    wave = _together({"dim_veiculo": lambda: dimension("dim_veiculo", done), "fato_reserva": reservations})
+    done = {**done, "dim_veiculo": wave["dim_veiculo"]}
+    _together({"fato_locacao": rentals, "fato_patio_snapshot": snapshot})
     store.publish(version, [*DIMENSIONS, *FACTS])
     return Warehouse(store, version)
 

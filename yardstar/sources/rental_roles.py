@@ -12,30 +12,28 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from yardstar.sources.readers import Source, frame_source
 
-RETURN_SLOT = 1_000_000_000_000  # slots of return yards: this plus the nation
-UNKNOWN = 2_000_000_000_000  # added to an id so that it matches nothing
-MONEY = "decimal(10,2)"
+RETURN_SLOT = "1000000000000"  # slots of return yards: this plus the nation
+UNKNOWN = "2000000000000"  # added to an id so that it matches nothing
 
+# Raw spellings a source uses, as SQL expressions.
+STATUS = "CASE o_orderstatus WHEN 'F' THEN '{0}' WHEN 'O' THEN '{1}' ELSE '{2}' END"
+G1_TRANSMISSION = (
+    "CASE p_size % 5 WHEN 0 THEN 'auto' WHEN 1 THEN ' Automático ' WHEN 2 THEN 'AUTOMATICA' WHEN 3 THEN 'manual' END"
+)
 
-def _named(df: DataFrame, **cols: str | Column) -> DataFrame:
-    return df.select(*((F.col(c) if isinstance(c, str) else c).alias(n) for n, c in cols.items()))
 
+def _named(df: DataFrame, **columns: str) -> DataFrame:
+    """Select SQL expressions under the given names."""
+    return df.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
 
-def _after(ts: str | Column, days=0, hours=0) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    days = days if isinstance(days, Column) else F.lit(days)
-    hours = hours if isinstance(hours, Column) else F.lit(hours)
-    return ts + F.make_dt_interval(days.cast("int"), hours.cast("int"))
 
-
-def _blank(c: str | Column) -> Column:
-    return F.concat(F.lit("  "), c if isinstance(c, Column) else F.col(c), F.lit(" "))
+def _blank(expr: str) -> str:
+    return f"concat('  ', {expr}, ' ')"
 
 
 class RentalRoles:
@@ -57,116 +55,122 @@ class RentalRoles:
     @cached_property
     def places(self) -> DataFrame:
         """Nations with their region: yards with their owner."""
-        return self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        nation, region = self.table("nation"), self.table("region")
+        return nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
 
     @cached_property
     def brands(self) -> DataFrame:
-        brand = F.substring_index("p_brand", "#", -1).cast("bigint")
-        groups = self.table("part").groupBy("p_brand").agg(F.min("p_retailprice").cast(MONEY).alias("rate"))
-        letter = F.element_at(F.array(F.lit("X"), F.lit("A"), F.lit("B"), F.lit("C")), (brand % 4 + 1).cast("int"))
-        word = F.element_at(
-            F.array(*(F.lit(w) for w in ("SEM CLASSE", "BASICO", "INTERMEDIARIO", "LUXO"))),
-            (brand % 4 + 1).cast("int"),
+        """Vehicle groups: brands with their lowest price and a class."""
+        return (
+            self.table("part")
+            .groupBy("p_brand")
+            .agg({"p_retailprice": "min"})
+            .selectExpr(
+                "p_brand",
+                "CAST(`min(p_retailprice)` AS DECIMAL(10,2)) AS rate",
+                "CAST(substring_index(p_brand, '#', -1) AS BIGINT) AS id",
+            )
+            .selectExpr(
+                "*",
+                "CASE id % 4 WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'C' ELSE 'X' END AS letter",
+                "CASE id % 4 WHEN 1 THEN 'BASICO' WHEN 2 THEN 'INTERMEDIARIO' WHEN 3 THEN 'LUXO' "
+                "ELSE 'SEM CLASSE' END AS word",
+            )
         )
-        return groups.select("p_brand", "rate", brand.alias("id"), letter.alias("letter"), word.alias("word"))
 
     @cached_property
     def parts(self) -> DataFrame:
-        return self.table("part").select(
+        return self.table("part").selectExpr(
             "p_partkey",
             "p_name",
             "p_type",
             "p_size",
-            F.substring_index("p_brand", "#", -1).cast("bigint").alias("brand"),
-            F.col("p_retailprice").cast(MONEY).alias("price"),
-            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("plate"),
-            F.concat(
-                F.when(F.col("p_size") == 13, "9BO").otherwise("9BW"), F.lpad(F.col("p_partkey").cast("string"), 14, "0")
-            ).alias("chassis"),
-            F.substring_index("p_name", " ", 1).alias("colour"),
+            "CAST(substring_index(p_brand, '#', -1) AS BIGINT) AS brand",
+            "CAST(p_retailprice AS DECIMAL(10,2)) AS price",
+            "concat('P', p_partkey) AS plate",
+            "concat(if(p_size = 13, '9BO', '9BW'), lpad(CAST(p_partkey AS STRING), 14, '0')) AS chassis",
+            "substring_index(p_name, ' ', 1) AS colour",
         )
 
     def clients(self, source: int) -> DataFrame:
-        kind = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "PJ").otherwise("PF")
         return (
             self.table("customer")
-            .where(F.col("c_custkey") % 4 == source - 1)
-            .select("c_custkey", "c_name", "c_nationkey", kind.alias("kind"))
+            .where(f"c_custkey % 4 = {source - 1}")
+            .selectExpr(
+                "c_custkey",
+                "c_name",
+                "c_nationkey",
+                "CAST(c_custkey AS STRING) AS number",
+                "if(c_mktsegment IN ('BUILDING', 'MACHINERY'), 'PJ', 'PF') AS kind",
+            )
         )
 
     def orders(self, source: int) -> DataFrame:
         """Orders of a source with the dates and yards of a reservation."""
-        pickup = _after("o_orderdate", 1 + F.col("o_orderkey") % 30, 9)
         return (
             self.table("orders")
-            .where(F.col("o_custkey") % 4 == source - 1)
-            .select(
+            .where(f"o_custkey % 4 = {source - 1}")
+            .selectExpr(
                 "o_orderkey",
                 "o_custkey",
                 "o_orderstatus",
                 "o_orderdate",
-                F.col("o_totalprice").cast(MONEY).alias("price"),
-                pickup.alias("pickup"),
-                _after(pickup, 1 + F.col("o_custkey") % 14, F.col("o_orderkey") % 10).alias("due"),
-                (1 + F.col("o_orderkey") % 25).alias("brand"),
-                (F.col("o_orderkey") % 25).alias("yard"),
-                ((F.col("o_orderkey") + F.col("o_custkey")) % 25).alias("return_yard"),
+                "CAST(o_totalprice AS DECIMAL(10,2)) AS price",
+                "o_orderdate + make_dt_interval(CAST(1 + o_orderkey % 30 AS INT), 9) AS pickup",
+                "1 + o_orderkey % 25 AS brand",
+                "o_orderkey % 25 AS yard_id",
+                "(o_orderkey + o_custkey) % 25 AS return_yard_id",
+            )
+            .selectExpr(
+                "*",
+                "pickup + make_dt_interval(CAST(1 + o_custkey % 14 AS INT), CAST(o_orderkey % 10 AS INT)) AS due",
             )
         )
 
     def rental_base(self) -> DataFrame:
         """Line items with their source, yards and times; open ones have no return."""
-        quantity = F.col("l_quantity").cast("int")
-        done = F.col("l_linestatus") == "F"
-        back = _after("l_shipdate", 1 + (quantity + F.col("l_linenumber")) % 20, F.col("l_partkey") % 24)
-        owners = (
-            self.table("orders")
-            .select("o_orderkey", "o_custkey")
-            .join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        customers = self.table("customer").select("c_custkey", "c_nationkey")
+        suppliers = self.table("supplier").select("s_suppkey", "s_nationkey")
+        owners = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+        items = self.table("lineitem").selectExpr(
+            "*", "CAST(l_quantity AS INT) AS quantity", "l_linestatus = 'F' AS done"
         )
         return (
-            self.table("lineitem")
-            .join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .select(
-                (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-                F.col("l_orderkey").alias("order"),
-                F.col("o_custkey").alias("client"),
-                F.col("l_partkey").alias("part"),
-                F.col("l_suppkey").alias("slot"),
-                F.col("s_nationkey").cast("bigint").alias("yard"),
-                F.col("c_nationkey").cast("bigint").alias("return_yard"),
-                quantity.alias("quantity"),
-                F.col("l_extendedprice").cast(MONEY).alias("price"),
-                done.alias("done"),
-                _after("l_shipdate", 0, F.col("l_linenumber")).alias("pickup"),
-                _after("l_shipdate", 1 + quantity % 14).alias("due"),
-                F.when(done, back).alias("back"),
-                (1 + F.col("o_custkey") % 4).cast("int").alias("source"),
+            items.join(owners, items["l_orderkey"] == owners["o_orderkey"])
+            .join(suppliers, items["l_suppkey"] == suppliers["s_suppkey"])
+            .selectExpr(
+                "l_orderkey * 8 + l_linenumber AS id",
+                "l_orderkey AS order_id",
+                "o_custkey AS client_id",
+                "l_partkey AS part_id",
+                "l_suppkey AS slot_id",
+                "CAST(s_nationkey AS BIGINT) AS yard_id",
+                "CAST(c_nationkey AS BIGINT) AS return_yard_id",
+                "quantity",
+                "CAST(l_extendedprice AS DECIMAL(10,2)) AS price",
+                "done",
+                "l_shipdate + make_dt_interval(0, l_linenumber) AS pickup",
+                "l_shipdate + make_dt_interval(1 + quantity % 14) AS due",
+                "if(done, l_shipdate + make_dt_interval(1 + (quantity + l_linenumber) % 20, "
+                "CAST(l_partkey % 24 AS INT)), NULL) AS back",
+                "CAST(1 + o_custkey % 4 AS INT) AS source",
             )
         )
 
     def rentals(self, source: int) -> DataFrame:
         base = self.rental_base() if self._rentals is None else self._rentals
-        return base.where(F.col("source") == source)
+        return base.where(f"source = {source}")
 
     # -- the four systems -------------------------------------------------
     @cached_property
     def g1(self) -> dict[str, DataFrame]:
-        size = F.col("p_size") % 5
-        spelled = (
-            F.when(size == 0, "auto").when(size == 1, " Automático ").when(size == 2, "AUTOMATICA").when(size == 3, "manual")
-        )
-        r = self.rentals(1)
-        arrived = F.when(F.col("done"), F.col("return_yard"))
         return {
             "Patio": _named(
                 self.places,
                 ID_Patio="n_nationkey",
                 Nome_Localizacao=_blank("n_name"),
-                Capacidade_Vagas=50 + F.col("n_nationkey") * 3,
+                Capacidade_Vagas="50 + n_nationkey * 3",
                 Empresa_Dona="r_name",
             ),
             "Grupo_Veiculo": _named(
@@ -181,154 +185,148 @@ class RentalRoles:
                 Marca="p_type",
                 Modelo="p_name",
                 Cor="colour",
-                Ar_Condicionado=F.col("p_size") % 2 == 1,
-                Mecanizacao=spelled,
-                Status_Disponibilidade=F.when(F.col("p_size") % 3 == 0, "Disponível").otherwise("Alugado"),
+                Ar_Condicionado="p_size % 2 = 1",
+                Mecanizacao=G1_TRANSMISSION,
+                Status_Disponibilidade="if(p_size % 3 = 0, 'Disponível', 'Alugado')",
             ),
             "Cliente": _named(
                 self.clients(1),
                 ID_Cliente="c_custkey",
-                Tipo_Cliente=F.concat("kind", F.lit(" ")),
+                Tipo_Cliente="concat(kind, ' ')",
                 Nome_Razao_Social="c_name",
-                CPF_CNPJ=F.lpad(F.col("c_custkey").cast("string"), 11, "0"),
-                Endereco_Completo=F.lit("rua 1"),
+                CPF_CNPJ="lpad(number, 11, '0')",
+                Endereco_Completo="'rua 1'",
             ),
             "Reserva": _named(
                 self.orders(1),
                 ID_Reserva="o_orderkey",
                 ID_Cliente="o_custkey",
                 # Reservations of a specific vehicle name no group.
-                ID_Grupo=F.when(F.col("o_orderkey") % 9 != 0, F.col("brand")),
-                ID_Patio_Retirada="yard",
+                ID_Grupo="if(o_orderkey % 9 <> 0, brand, NULL)",
+                ID_Patio_Retirada="yard_id",
                 Data_Hora_Solicitacao="o_orderdate",
                 Data_Hora_Retirada_Prevista="pickup",
                 Data_Hora_Devolucao_Prevista="due",
-                Status_Reserva=_blank(
-                    F.when(F.col("o_orderstatus") == "F", "Confirmada")
-                    .when(F.col("o_orderstatus") == "O", "Em_Fila_Espera")
-                    .otherwise("Cancelada")
-                ),
+                Status_Reserva=_blank(STATUS.format("Confirmada", "Em_Fila_Espera", "Cancelada")),
             ),
             "Locacao": _named(
-                r,
+                self.rentals(1),
                 ID_Locacao="id",
                 # Walk-ins have no reservation.
-                ID_Reserva=F.when(F.col("part") % 10 != 0, F.col("order")),
-                ID_Veiculo="part",
-                ID_Patio_Saida="yard",
-                ID_Patio_Chegada_Prevista="return_yard",
-                ID_Patio_Chegada_Realizada=arrived,
+                ID_Reserva="if(part_id % 10 <> 0, order_id, NULL)",
+                ID_Veiculo="part_id",
+                ID_Patio_Saida="yard_id",
+                ID_Patio_Chegada_Prevista="return_yard_id",
+                ID_Patio_Chegada_Realizada="if(done, return_yard_id, NULL)",
                 Data_Hora_Retirada="pickup",
                 Data_Hora_Devolucao_Prevista="due",
                 Data_Hora_Devolucao_Realizada="back",
                 Valor_Inicial="price",
-                Valor_Final=F.when(F.col("done"), F.col("price")),
+                Valor_Final="if(done, price, NULL)",
             ),
         }
 
     @cached_property
     def g2(self) -> dict[str, DataFrame]:
-        clients = self.clients(2).join(
-            self.table("nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")
-        )
-        number = F.col("c_custkey").cast("string")
-        people, firms = clients.where("kind = 'PF'"), clients.where("kind = 'PJ'")
+        clients, nation = self.clients(2), self.table("nation").select("n_nationkey", "n_name")
+        clients = clients.join(nation, clients["c_nationkey"] == nation["n_nationkey"])
         return {
             "patio": _named(
                 self.places,
                 id_patio="n_nationkey",
-                nome=_blank(F.lower("n_name")),
-                endereco=F.concat(F.lit("Rua "), "n_name"),
-                capacidade_vagas=50 + F.col("n_nationkey"),
+                nome=_blank("lower(n_name)"),
+                endereco="concat('Rua ', n_name)",
+                capacidade_vagas="50 + n_nationkey",
             ),
             "grupo": _named(
                 self.brands,
                 id_grupo="id",
-                codigo=F.concat(F.lit("C"), F.col("id").cast("string")),
+                codigo="concat('C', id)",
                 nome="p_brand",
-                classe_luxo=_blank(F.lower("word")),
+                classe_luxo=_blank("lower(word)"),
                 valor_diaria="rate",
-                franquia_km_diaria=(100 + F.col("id")).cast("int"),
+                franquia_km_diaria="CAST(100 + id AS INT)",
             ),
             "veiculo": _named(
                 self.parts,
                 id_veiculo="p_partkey",
                 grupo_id="brand",
-                patio_origem_id=F.col("p_partkey") % 25,
+                patio_origem_id="p_partkey % 25",
                 placa="plate",
                 chassi="chassis",
                 marca="p_type",
                 modelo="p_name",
                 cor="colour",
-                ano_fabricacao=2000 + F.col("p_size") % 20,
-                mecanizacao=F.when(F.col("p_size") % 2 == 0, " automatica ").otherwise("manual"),
-                tem_ar_condicionado=F.col("p_size") % 2 == 1,
-                km_atual=F.col("p_size") * 1000,
-                situacao=F.when(F.col("p_size") % 3 == 0, "DISPONIVEL").otherwise("ALUGADO"),
+                ano_fabricacao="2000 + p_size % 20",
+                mecanizacao="if(p_size % 2 = 0, ' automatica ', 'manual')",
+                tem_ar_condicionado="p_size % 2 = 1",
+                km_atual="p_size * 1000",
+                situacao="if(p_size % 3 = 0, 'DISPONIVEL', 'ALUGADO')",
             ),
             "cliente": _named(
                 clients,
                 id_cliente="c_custkey",
                 tipo_pessoa="kind",
                 nome="c_name",
-                email=F.concat(F.lit("c"), number, F.lit("@example.com")),
-                telefone=number,
-                cidade_origem=_blank(F.lower("n_name")),
+                email="concat('c', number, '@example.com')",
+                telefone="number",
+                cidade_origem=_blank("lower(n_name)"),
             ),
             "cliente_pf": _named(
-                people,
+                clients.where("kind = 'PF'"),
                 cliente_id="c_custkey",
-                cpf=F.lpad(number, 11, "0"),
-                data_nascimento=F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 10000).cast("int")),
+                cpf="lpad(number, 11, '0')",
+                data_nascimento="date_add(DATE '1960-01-01', CAST(c_custkey % 10000 AS INT))",
             ),
-            "cliente_pj": _named(firms, cliente_id="c_custkey", cnpj=F.lpad(number, 14, "0")),
+            "cliente_pj": _named(clients.where("kind = 'PJ'"), cliente_id="c_custkey", cnpj="lpad(number, 14, '0')"),
             "reserva": _named(
                 self.orders(2),
                 id_reserva="o_orderkey",
                 cliente_id="o_custkey",
                 grupo_id="brand",
-                patio_retirada_id="yard",
-                patio_devolucao_id="return_yard",
+                patio_retirada_id="yard_id",
+                patio_devolucao_id="return_yard_id",
                 data_reserva="o_orderdate",
                 data_retirada_prevista="pickup",
                 data_devolucao_prevista="due",
-                estado=F.when(F.col("o_orderstatus") == "F", "CONFIRMADA")
-                .when(F.col("o_orderstatus") == "O", "EM_FILA_ESPERA")
-                .otherwise("CANCELADA"),
+                estado=STATUS.format("CONFIRMADA", "EM_FILA_ESPERA", "CANCELADA"),
             ),
             "locacao": _named(
                 self.rentals(2),
                 id_locacao="id",
-                reserva_id=F.when(F.col("part") % 10 != 0, F.col("order")),
-                cliente_id="client",
-                veiculo_id="part",
-                patio_retirada_id="yard",
-                patio_devolucao_id="return_yard",
+                reserva_id="if(part_id % 10 <> 0, order_id, NULL)",
+                cliente_id="client_id",
+                veiculo_id="part_id",
+                patio_retirada_id="yard_id",
+                patio_devolucao_id="return_yard_id",
                 data_retirada_real="pickup",
                 data_devolucao_real="back",
-                km_saida=(F.col("part") % 1000).cast("int"),
-                km_chegada=F.when(F.col("done"), (F.col("part") % 1000 + F.col("quantity") * 10).cast("int")),
+                km_saida="CAST(part_id % 1000 AS INT)",
+                km_chegada="if(done, CAST(part_id % 1000 + quantity * 10 AS INT), NULL)",
                 valor_diaria_aplicada="price",
-                status=F.when(~F.col("done"), "Em_Andamento ")
-                .when(F.col("part") % 11 == 0, "cancelada")
-                .otherwise(" concluida "),
+                status="CASE WHEN NOT done THEN 'Em_Andamento ' WHEN part_id % 11 = 0 THEN 'cancelada' "
+                "ELSE ' concluida ' END",
             ),
         }
 
+    @cached_property
+    def slots(self) -> DataFrame:
+        """Suppliers are slots of their nation's yard; each yard has one more for returns."""
+        own = self.table("supplier").selectExpr("s_suppkey AS slot_id", "s_nationkey AS yard_id")
+        returns = self.table("nation").selectExpr(f"{RETURN_SLOT} + n_nationkey AS slot_id", "n_nationkey AS yard_id")
+        return own.unionByName(returns)
+
     @cached_property
     def g3(self) -> dict[str, DataFrame]:
-        r = self.rentals(3)
-        number = F.col("c_custkey").cast("string")
-        regions = self.table("region")
-        slots = self.table("supplier").select("s_suppkey", "s_nationkey")
+        rentals, clients = self.rentals(3), self.clients(3)
         return {
             "Endereco": _named(
                 self.places,
                 Id_endereco="n_nationkey",
-                UF=F.lower(F.substring("r_name", 1, 2)),
-                Cidade=_blank(F.lower("n_name")),
+                UF="lower(substring(r_name, 1, 2))",
+                Cidade=_blank("lower(n_name)"),
             ),
-            "Empresa": _named(regions, Id_empresa="r_regionkey", Nome_empresa="r_name"),
+            "Empresa": _named(self.table("region"), Id_empresa="r_regionkey", Nome_empresa="r_name"),
             "Patio": _named(
                 self.table("nation"),
                 Id_patio="n_nationkey",
@@ -340,8 +338,8 @@ class RentalRoles:
             "Especificacoes_const": _named(
                 self.table("part").select("p_size").distinct(),
                 Id_spec_const="p_size",
-                Ar_condicionado=F.col("p_size") % 2,
-                Direcao_automatica=F.when(F.col("p_size") % 5 != 4, F.when(F.col("p_size") % 2 == 0, 1).otherwise(0)),
+                Ar_condicionado="p_size % 2",
+                Direcao_automatica="if(p_size % 5 <> 4, 1 - p_size % 2, NULL)",
             ),
             "Veiculo": _named(
                 self.parts,
@@ -351,89 +349,78 @@ class RentalRoles:
                 Categoria="p_type",
                 Marca="p_type",
                 Modelo="p_name",
-                Ano=(2000 + F.col("p_size") % 20).cast("string"),
+                Ano="CAST(2000 + p_size % 20 AS STRING)",
                 Cor="colour",
                 Chassi="chassis",
                 Placa="plate",
             ),
             "Documento_cliente": _named(
-                self.clients(3),
+                clients,
                 Id_documento="c_custkey",
-                # Foreign clients have a passport instead.
-                CPF=F.when(F.col("c_custkey") % 7 != 0, F.lpad(number, 11, "0")),
-                Passaporte=F.when(F.col("c_custkey") % 14 == 0, F.concat(F.lit("P"), number)),
-                CNH=F.when(F.col("c_custkey") % 3 != 0, F.lpad(number, 11, "0")),
-                Habilitacao_estrangeira=F.when(F.col("c_custkey") % 6 == 0, F.concat(F.lit("H"), number)),
+                # Foreign clients have a passport or licence of their own, some have neither.
+                CPF="if(c_custkey % 7 <> 0, lpad(number, 11, '0'), NULL)",
+                Passaporte="if(c_custkey % 14 = 0, concat('P', number), NULL)",
+                CNH="if(c_custkey % 3 <> 0, lpad(number, 11, '0'), NULL)",
+                Habilitacao_estrangeira="if(c_custkey % 6 = 0, concat('H', number), NULL)",
             ),
             "Cliente": _named(
-                self.clients(3),
+                clients,
                 Id_cliente="c_custkey",
                 Id_documento="c_custkey",
                 Id_endereco="c_nationkey",
                 Nome_completo="c_name",
-                Nacionalidade=F.lit("BRASILEIRA"),
+                Nacionalidade="'BRASILEIRA'",
             ),
             "Reserva": _named(
                 self.orders(3),
                 Id_reserva="o_orderkey",
                 Id_cliente="o_custkey",
                 Id_grupo="brand",
-                Id_patio_origem="yard",
-                Id_patio_fim="return_yard",
+                Id_patio_origem="yard_id",
+                Id_patio_fim="return_yard_id",
                 Preco_final="price",
                 Data_inicio_combinada="pickup",
                 Data_fim_combinada="due",
-                Estado_reserva=(F.col("o_orderkey") % 4).cast("int"),
-                Data_reserva=F.col("o_orderdate").cast("date"),
+                Estado_reserva="CAST(o_orderkey % 4 AS INT)",
+                Data_reserva="CAST(o_orderdate AS DATE)",
             ),
             "Locacao": _named(
-                r,
+                rentals,
                 Id_locacao="id",
-                Id_reserva=F.when(F.col("part") % 19 == 0, F.col("order") + UNKNOWN).otherwise(F.col("order")),
-                Id_veiculo="part",
-                Id_patio="yard",
+                Id_reserva=f"if(part_id % 19 = 0, order_id + {UNKNOWN}, order_id)",
+                Id_veiculo="part_id",
+                Id_patio="yard_id",
                 Data_locacao="pickup",
             ),
             "Devolucao": _named(
-                r.where("done"),
-                Id_devolucao=F.col("part") * 100_000_000 + F.col("slot"),
+                rentals.where("done"),
+                # Orders the returns of one rental; rentals that share an id share their returns.
+                Id_devolucao="part_id * 100000000 + slot_id",
                 Id_locacao="id",
-                Id_vaga=F.when(F.col("part") % 13 == 0, F.col("slot") + UNKNOWN).otherwise(
-                    RETURN_SLOT + F.col("return_yard")
-                ),
+                Id_vaga=f"if(part_id % 13 = 0, slot_id + {UNKNOWN}, {RETURN_SLOT} + return_yard_id)",
                 Data_devolucao="back",
             ),
-            "Vaga": _named(
-                slots.select(F.col("s_suppkey").alias("slot"), "s_nationkey").unionByName(
-                    self.table("nation").select(
-                        (RETURN_SLOT + F.col("n_nationkey")).alias("slot"), F.col("n_nationkey").alias("s_nationkey")
-                    )
-                ),
-                Id_vaga="slot",
-                Id_patio="s_nationkey",
-                Alfanum_vaga=F.concat(F.lit("V"), F.col("slot").cast("string")),
-            ),
+            "Vaga": _named(self.slots, Id_vaga="slot_id", Id_patio="yard_id", Alfanum_vaga="concat('V', slot_id)"),
         }
 
     @cached_property
     def g4(self) -> dict[str, DataFrame]:
-        number = F.col("c_custkey").cast("string")
-        status = F.when(F.col("o_orderstatus") == "F", "Confirmada").when(F.col("o_orderstatus") == "O", "Atendida")
+        clients = self.clients(4)
         return {
             "Endereco": _named(
                 self.places,
                 IDEndereco="n_nationkey",
-                UF=F.lower(F.substring("r_name", 1, 2)),
-                Cidade=_blank(F.lower("n_name")),
+                UF="lower(substring(r_name, 1, 2))",
+                Cidade=_blank("lower(n_name)"),
             ),
             "Parceira": _named(self.table("region"), IDParceira="r_regionkey", Nome="r_name"),
             "Patio": _named(
                 self.table("nation"),
                 IDPatio="n_nationkey",
                 CDPatio="n_name",
-                Lotacao=50 + F.col("n_nationkey"),
-                HorarioAbertura=F.lit("08:00:00"),
-                HorarioFechamento=F.lit("20:00:00"),
+                Lotacao="50 + n_nationkey",
+                HorarioAbertura="'08:00:00'",
+                HorarioFechamento="'20:00:00'",
                 IDEndereco="n_nationkey",
                 IDParceira="n_regionkey",
             ),
@@ -443,7 +430,7 @@ class RentalRoles:
                 Classificacao="p_brand",
                 ClasseLuxo="letter",
                 ValorDiariaBase="rate",
-                Tracao4x4=F.col("id") % 2 == 0,
+                Tracao4x4="id % 2 = 0",
             ),
             "Veiculo": _named(
                 self.parts,
@@ -451,33 +438,31 @@ class RentalRoles:
                 Placa="plate",
                 Chassi="chassis",
                 Modelo="p_name",
-                Ano=2000 + F.col("p_size") % 20,
-                ArCondicionado=F.col("p_size") % 2 == 1,
-                UltimaKilometragem=F.col("p_size") * 1000,
+                Ano="2000 + p_size % 20",
+                ArCondicionado="p_size % 2 = 1",
+                UltimaKilometragem="p_size * 1000",
                 ValorDiaria="price",
                 # Some vehicles name a group that does not exist.
-                IDCategoria=F.when(F.col("p_partkey") % 23 == 0, F.col("brand") + UNKNOWN).otherwise(F.col("brand")),
+                IDCategoria=f"if(p_partkey % 23 = 0, brand + {UNKNOWN}, brand)",
             ),
             "PessoaFisica": _named(
-                self.clients(4),
+                clients,
                 IDFisica="c_custkey",
-                CPF=F.lpad(number, 11, "0"),
+                CPF="lpad(number, 11, '0')",
                 Nome="c_name",
                 IDEndereco="c_nationkey",
-                DtNascimento=F.date_add(F.lit("1975-01-01").cast("date"), (F.col("c_custkey") % 10000).cast("int")),
+                DtNascimento="date_add(DATE '1975-01-01', CAST(c_custkey % 10000 AS INT))",
             ),
             "Motorista": _named(
-                self.clients(4), IDMotorista="c_custkey", CNH=number, CategoriaCNH=F.lit("B"), IDFisica="c_custkey"
-            ),
-            "Vaga": _named(
-                self.g3["Vaga"], IDVaga="Id_vaga", CodVaga="Alfanum_vaga", IDPatio="Id_patio"
+                clients, IDMotorista="c_custkey", CNH="number", CategoriaCNH="'B'", IDFisica="c_custkey"
             ),
+            "Vaga": _named(self.slots, IDVaga="slot_id", CodVaga="concat('V', slot_id)", IDPatio="yard_id"),
             "Reserva": _named(
                 self.orders(4),
                 IDReserva="o_orderkey",
                 DtReserva="o_orderdate",
                 DtRetiradaPrevista="pickup",
-                Status=status.otherwise("Cancelada"),
+                Status=STATUS.format("Confirmada", "Atendida", "Cancelada"),
             ),
             "Locacao": _named(
                 self.rentals(4),
@@ -485,11 +470,11 @@ class RentalRoles:
                 ValorDiaria="price",
                 DtRetirada="pickup",
                 DtChegada="back",
-                IDVagaRetirada=F.when(F.col("part") % 17 == 0, F.col("slot") + UNKNOWN).otherwise(F.col("slot")),
-                IDVagaDevolvida=F.when(F.col("done"), RETURN_SLOT + F.col("return_yard")),
-                IDVeiculo="part",
-                IDReserva="order",
-                IDMotorista="client",
+                IDVagaRetirada=f"if(part_id % 17 = 0, slot_id + {UNKNOWN}, slot_id)",
+                IDVagaDevolvida=f"if(done, {RETURN_SLOT} + return_yard_id, NULL)",
+                IDVeiculo="part_id",
+                IDReserva="order_id",
+                IDMotorista="client_id",
             ),
         }
 
