@@ -50,7 +50,7 @@ loc AS (
 dev3 AS (
   SELECT id, arg_min(volta, peca * 100000000 + vaga) AS volta,
     arg_min(patio_dev, peca * 100000000 + vaga) FILTER (WHERE peca % 13 <> 0) AS patio
-  FROM loc WHERE fonte = 'G3' AND feita GROUP BY id),
+  FROM loc WHERE feita GROUP BY id),
 d_empresa AS (
   SELECT row_number() OVER (ORDER BY fonte, nome) AS sk, fonte, nome,
     CASE WHEN fonte IN ('G1', 'G4') THEN row_number() OVER (PARTITION BY fonte ORDER BY nome)
@@ -180,7 +180,7 @@ SELECT id AS id_cliente, tipo AS tipo_pessoa, nome, '  ' || lower(cidade) || ' '
   CASE WHEN tipo = 'PF' THEN lpad(CAST(id AS VARCHAR), 11, '0') END AS cpf,
   CASE WHEN tipo = 'PF' THEN DATE '1960-01-01' + CAST(id % 10000 AS INTEGER) END AS data_nascimento,
   CASE WHEN tipo = 'PJ' THEN lpad(CAST(id AS VARCHAR), 14, '0') END AS cnpj
-FROM pessoa WHERE fonte = 'G2'
+FROM pessoa
 """,
     "denormalize_yards": """
 SELECT fonte AS fonte_grupo, CAST(id AS BIGINT) AS id_patio, nome, dono AS empresa, '  ' || lower(nome) || ' ' AS cidade,
@@ -188,10 +188,10 @@ SELECT fonte AS fonte_grupo, CAST(id AS BIGINT) AS id_patio, nome, dono AS empre
 FROM lugar CROSS JOIN fontes WHERE fonte IN ('G3', 'G4')
 """,
     "denormalize_clients": """
-SELECT fonte AS fonte_grupo, id, nome,
-  CASE WHEN fonte = 'G4' OR id % 7 <> 0 THEN lpad(CAST(id AS VARCHAR), 11, '0') END AS cpf,
+SELECT t.fonte AS fonte_grupo, id, nome,
+  CASE WHEN t.fonte = 'G4' OR id % 7 <> 0 THEN lpad(CAST(id AS VARCHAR), 11, '0') END AS cpf,
   '  ' || lower(cidade) || ' ' AS cidade, lower(substr(regiao, 1, 2)) AS uf
-FROM pessoa WHERE fonte IN ('G3', 'G4')
+FROM pessoa CROSS JOIN (VALUES ('G3'), ('G4')) t(fonte)
 """,
     "conform_transmission": """
 SELECT fonte AS fonte_grupo, id AS id_veiculo,
@@ -202,18 +202,20 @@ FROM peca CROSS JOIN fontes WHERE fonte <> 'G4'
 """,
     "conform_text": """
 SELECT 'g1_patio.nome_localizacao' AS coluna, CAST(id AS BIGINT) AS id, nome AS valor FROM lugar
-UNION ALL SELECT 'g1_reserva.status_reserva', id, CASE st WHEN 'F' THEN 'CONFIRMADA' WHEN 'O' THEN 'EM_FILA_ESPERA' ELSE 'CANCELADA' END FROM pedido WHERE fonte = 'G1'
+UNION ALL SELECT 'g1_reserva.status_reserva', id, CASE st WHEN 'F' THEN 'CONFIRMADA' WHEN 'O' THEN 'EM_FILA_ESPERA' ELSE 'CANCELADA' END FROM pedido
 UNION ALL SELECT 'g2_patio.nome', id, upper(nome) FROM lugar
 UNION ALL SELECT 'g2_grupo.classe_luxo', id, palavra FROM marca
-UNION ALL SELECT 'g2_cliente.cidade_origem', id, upper(cidade) FROM pessoa WHERE fonte = 'G2'
-UNION ALL SELECT 'g2_locacao.status', id, CASE WHEN NOT feita THEN 'EM_ANDAMENTO' WHEN peca % 11 = 0 THEN 'CANCELADA' ELSE 'CONCLUIDA' END FROM loc WHERE fonte = 'G2'
+UNION ALL SELECT 'g2_cliente.cidade_origem', id, upper(cidade) FROM pessoa
+UNION ALL SELECT 'g2_locacao.status', id, CASE WHEN NOT feita THEN 'EM_ANDAMENTO' WHEN peca % 11 = 0 THEN 'CANCELADA' ELSE 'CONCLUIDA' END FROM loc
 UNION ALL SELECT t || '_patio.cidade', id, upper(nome) FROM lugar CROSS JOIN (VALUES ('g3'), ('g4')) x(t)
 UNION ALL SELECT t || '_patio.uf', id, substr(dono, 1, 2) FROM lugar CROSS JOIN (VALUES ('g3'), ('g4')) x(t)
-UNION ALL SELECT CASE fonte WHEN 'G3' THEN 'g3_cliente' ELSE 'g4_motorista' END || '.cidade', id, upper(cidade) FROM pessoa WHERE fonte IN ('G3', 'G4')
-UNION ALL SELECT CASE fonte WHEN 'G3' THEN 'g3_cliente' ELSE 'g4_motorista' END || '.uf', id, substr(regiao, 1, 2) FROM pessoa WHERE fonte IN ('G3', 'G4')
+UNION ALL SELECT t || '.cidade', id, upper(cidade) FROM pessoa CROSS JOIN (VALUES ('g3_cliente'), ('g4_motorista')) x(t)
+UNION ALL SELECT t || '.uf', id, substr(regiao, 1, 2) FROM pessoa CROSS JOIN (VALUES ('g3_cliente'), ('g4_motorista')) x(t)
 """,
     "infer_status": """
-SELECT fonte AS fonte_grupo, id AS id_locacao, status FROM locacao WHERE fonte <> 'G2'
+SELECT t.fonte AS fonte_grupo, loc.id AS id_locacao,
+  CASE WHEN CASE WHEN t.fonte = 'G3' THEN dev3.volta ELSE loc.volta END IS NOT NULL THEN 'CONCLUIDA' ELSE 'EM_ANDAMENTO' END AS status
+FROM loc LEFT JOIN dev3 ON dev3.id = loc.id CROSS JOIN (VALUES ('G1'), ('G3'), ('G4')) t(fonte)
 """,
     "rental_duration": """
 SELECT fonte AS fonte_grupo, id AS id_locacao, reais AS duracao_dias_real,
@@ -223,33 +225,34 @@ FROM locacao
     "update_from_lookup": f"""
 SELECT loc.id AS id_locacao, CASE WHEN peca % 10 <> 0 THEN loc.pedido END AS reserva_id,
   CASE WHEN peca % 10 <> 0 THEN {days('p.retirada', 'p.devolucao')} END AS duracao_dias_prevista
-FROM loc JOIN pedido p ON p.id = loc.pedido WHERE loc.fonte = 'G2'
+FROM loc JOIN pedido p ON p.id = loc.pedido
 """,
     "km_driven": """
 SELECT id AS id_locacao, CAST(peca % 1000 AS INTEGER) AS km_saida,
   CASE WHEN feita THEN CAST(peca % 1000 + q * 10 AS INTEGER) END AS km_chegada,
   CASE WHEN feita THEN q * 10 END AS km_percorridos
-FROM loc WHERE fonte = 'G2'
+FROM loc
 """,
     "conform_status_code": f"""
-SELECT p.id AS id_reserva, CAST(p.id % 4 AS INTEGER) AS estado_reserva, r.status AS status_conformado,
-  {days('p.retirada', 'p.devolucao')} AS duracao_prevista_dias
-FROM pedido p JOIN reserva r ON r.id = p.id WHERE p.fonte = 'G3'
+SELECT id AS id_reserva, CAST(id % 4 AS INTEGER) AS estado_reserva,
+  CASE id % 4 WHEN 0 THEN 'EM_ANDAMENTO' WHEN 1 THEN 'CANCELADA' WHEN 2 THEN 'CONFIRMADA' ELSE 'DESCONHECIDO' END AS status_conformado,
+  {days('retirada', 'devolucao')} AS duracao_prevista_dias
+FROM pedido
 """,
     "resolve_return_yard": """
 SELECT loc.id AS id_locacao, loc.patio AS id_patio, dev3.patio AS id_patio_entrega
-FROM loc LEFT JOIN dev3 ON dev3.id = loc.id WHERE fonte = 'G3'
+FROM loc LEFT JOIN dev3 ON dev3.id = loc.id
 """,
     "resolve_return_date": """
 SELECT loc.id AS id_locacao, loc.saida AS data_locacao, dev3.volta AS data_devolucao
-FROM loc LEFT JOIN dev3 ON dev3.id = loc.id WHERE fonte = 'G3'
+FROM loc LEFT JOIN dev3 ON dev3.id = loc.id
 """,
     "slot_to_yard": """
 SELECT id AS id_locacao, CASE WHEN peca % 17 = 0 THEN vaga + 2000000000000 ELSE vaga END AS id_vaga_retirada,
   CASE WHEN peca % 17 <> 0 THEN patio END AS id_patio_retirada,
   CASE WHEN feita THEN 1000000000000 + patio_dev END AS id_vaga_devolvida,
   CASE WHEN feita THEN patio_dev END AS id_patio_entrega
-FROM loc WHERE fonte = 'G4'
+FROM loc
 """,
     "conform_luxury_class": """
 SELECT id AS id_categoria, letra AS classe_luxo, CASE WHEN letra = 'X' THEN 'DESCONHECIDO' ELSE palavra END AS classe_luxo_conf
@@ -418,21 +421,21 @@ FROM peca p JOIN lugar l ON l.id = p.id % 25 JOIN marca m ON m.id = p.grupo WHER
 """,
     "src_active_rentals": """
 SELECT 'C' || p.grupo AS grupo, COUNT(*) AS total_locacoes FROM loc JOIN peca p ON p.id = loc.peca
-WHERE loc.fonte = 'G2' AND NOT feita GROUP BY 1
+WHERE NOT feita GROUP BY 1
 """,
     "src_open_reservations": """
 SELECT 'C' || o.grupo AS grupo, upper(l.nome) AS patio_retirada, upper(p.cidade) AS cidade_origem, COUNT(*) AS total
 FROM pedido o JOIN marca m ON m.id = o.grupo JOIN lugar l ON l.id = o.patio JOIN pessoa p ON p.id = o.cliente
-WHERE o.fonte = 'G2' AND o.st IN ('F', 'O') GROUP BY 1, 2, 3
+WHERE o.st IN ('F', 'O') GROUP BY 1, 2, 3
 """,
     "src_groups_by_city": """
 SELECT upper(c.cidade) AS cidade_origem, 'C' || p.grupo AS grupo, COUNT(*) AS total_locacoes
-FROM loc JOIN peca p ON p.id = loc.peca JOIN pessoa c ON c.id = loc.cliente WHERE loc.fonte = 'G2' GROUP BY 1, 2
+FROM loc JOIN peca p ON p.id = loc.peca JOIN pessoa c ON c.id = loc.cliente GROUP BY 1, 2
 """,
     "src_yard_movements": """
 SELECT upper(a.nome) AS patio_retirada, upper(b.nome) AS patio_devolucao, COUNT(*) AS total_locacoes
 FROM loc JOIN lugar a ON a.id = loc.patio JOIN lugar b ON b.id = loc.patio_dev
-WHERE loc.fonte = 'G2' AND feita AND peca % 11 <> 0 GROUP BY 1, 2
+WHERE feita AND peca % 11 <> 0 GROUP BY 1, 2
 """,
     "audit_unique": """
 SELECT 'locacao:unico:id' AS regra, CAST(id AS VARCHAR) AS chave, CAST(COUNT(*) AS VARCHAR) AS detalhe
@@ -440,23 +443,23 @@ FROM loc GROUP BY id HAVING COUNT(*) > 1
 """,
     "audit_orphans": """
 SELECT 'G3.Locacao:referencia:Id_reserva' AS regra, CAST(pedido + 2000000000000 AS VARCHAR) AS chave, CAST(COUNT(*) AS VARCHAR) AS detalhe
-  FROM loc WHERE fonte = 'G3' AND peca % 19 = 0 GROUP BY pedido
+  FROM loc WHERE peca % 19 = 0 GROUP BY pedido
 UNION ALL SELECT 'G4.Locacao:referencia:IDVagaRetirada', CAST(vaga + 2000000000000 AS VARCHAR), CAST(COUNT(*) AS VARCHAR)
-  FROM loc WHERE fonte = 'G4' AND peca % 17 = 0 GROUP BY vaga
+  FROM loc WHERE peca % 17 = 0 GROUP BY vaga
 UNION ALL SELECT 'G4.Veiculo:referencia:IDCategoria', CAST(grupo + 2000000000000 AS VARCHAR), CAST(COUNT(*) AS VARCHAR)
   FROM peca WHERE id % 23 = 0 GROUP BY grupo
 """,
     "audit_required": """
 SELECT 'G1.Locacao:obrigatorio:ID_Reserva' AS regra, CAST(id AS VARCHAR) AS chave, 'ID_Reserva' AS detalhe
-  FROM loc WHERE fonte = 'G1' AND peca % 10 = 0
+  FROM loc WHERE peca % 10 = 0
 UNION ALL SELECT 'G1.Locacao:obrigatorio:ID_Patio_Chegada_Realizada', CAST(id AS VARCHAR), 'ID_Patio_Chegada_Realizada'
-  FROM loc WHERE fonte = 'G1' AND NOT feita
+  FROM loc WHERE NOT feita
 UNION ALL SELECT 'G1.Veiculo:obrigatorio:Mecanizacao', CAST(id AS VARCHAR), 'Mecanizacao' FROM peca WHERE p_size % 5 = 4
 """,
     "audit_domain": """
 SELECT 'G4.Categoria:dominio:ClasseLuxo' AS regra, CAST(id AS VARCHAR) AS chave, letra AS detalhe FROM marca WHERE letra = 'X'
 UNION ALL SELECT 'G2.veiculo:dominio:mecanizacao', CAST(id AS VARCHAR), CASE WHEN p_size % 2 = 0 THEN ' automatica ' ELSE 'manual' END FROM peca
-UNION ALL SELECT 'G2.locacao:dominio:status', CAST(id AS VARCHAR), ' concluida ' FROM loc WHERE fonte = 'G2' AND feita AND peca % 11 <> 0
+UNION ALL SELECT 'G2.locacao:dominio:status', CAST(id AS VARCHAR), ' concluida ' FROM loc WHERE feita AND peca % 11 <> 0
 """,
     "audit_range": """
 SELECT 'cliente:faixa:saldo' AS regra, CAST(c_custkey AS VARCHAR) AS chave, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS detalhe
@@ -479,20 +482,20 @@ UNION ALL SELECT 'G3.Veiculo:padrao:Chassi', CAST(id AS VARCHAR), chassi FROM pe
 """,
     "audit_xor": """
 SELECT 'G3.Documento_cliente:algum:identidade' AS regra, CAST(id AS VARCHAR) AS chave, 'CPF,Passaporte' AS detalhe
-  FROM pessoa WHERE fonte = 'G3' AND id % 7 = 0 AND id % 14 <> 0
+  FROM pessoa WHERE id % 7 = 0 AND id % 14 <> 0
 UNION ALL SELECT 'G3.Documento_cliente:algum:habilitacao', CAST(id AS VARCHAR), 'CNH,Habilitacao_estrangeira'
-  FROM pessoa WHERE fonte = 'G3' AND id % 3 = 0 AND id % 6 <> 0
+  FROM pessoa WHERE id % 3 = 0 AND id % 6 <> 0
 UNION ALL SELECT 'G3.Documento_cliente:exclusivo:titular', CAST(id AS VARCHAR), ''
-  FROM pessoa WHERE fonte = 'G3' AND id % 3 = 0 AND id % 6 <> 0
+  FROM pessoa WHERE id % 3 = 0 AND id % 6 <> 0
 """,
     "audit_one_active": """
 SELECT 'G2.locacao:um_ativo:veiculo_id' AS regra, CAST(peca AS VARCHAR) AS chave, CAST(COUNT(*) AS VARCHAR) AS detalhe
-FROM loc WHERE fonte = 'G2' AND NOT feita GROUP BY peca HAVING COUNT(*) > 1
+FROM loc WHERE NOT feita GROUP BY peca HAVING COUNT(*) > 1
 """,
     "audit_future": """
 SELECT 'G4.PessoaFisica:futuro:DtNascimento' AS regra, CAST(id AS VARCHAR) AS chave,
   CAST(DATE '1975-01-01' + CAST(id % 10000 AS INTEGER) AS VARCHAR) AS detalhe
-  FROM pessoa WHERE fonte = 'G4' AND DATE '1975-01-01' + CAST(id % 10000 AS INTEGER) >= DATE '1976-01-01'
+  FROM pessoa WHERE DATE '1975-01-01' + CAST(id % 10000 AS INTEGER) >= DATE '1976-01-01'
 UNION ALL SELECT 'reserva:futuro:o_orderdate', CAST(o_orderkey AS VARCHAR), CAST(o_orderdate AS VARCHAR)
   FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2000-06-30'
 """,

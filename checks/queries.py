@@ -1,7 +1,9 @@
 """One query per operator, over the rental roles of a data folder.
 
-Conforming, keys, dimensions, facts, snapshot and audits run from staging;
-reports and the forecast read the facts of the loaded warehouse.
+Keys, dimensions, facts, snapshot and audits run from staging; reports and the
+forecast read the facts of the loaded warehouse. Rules that only one source has
+run over all clients, orders and line items (the ``whole`` frames); whatever
+spans the sources covers every row once, in the source it belongs to.
 """
 
 from __future__ import annotations
@@ -61,7 +63,7 @@ def staging_row_counts(bed):
 
 @query
 def subclass_flatten(bed):
-    return bed.staging["g2_cliente"].select(
+    return bed.whole_staging["g2_cliente"].select(
         "id_cliente", "tipo_pessoa", "nome", "cidade_origem", "cpf", "data_nascimento", "cnpj"
     )
 
@@ -77,7 +79,7 @@ def denormalize_yards(bed):
 
 @query
 def denormalize_clients(bed):
-    s = bed.staging
+    s = bed.whole_staging
     return _union(
         _tagged(s["g3_cliente"], "G3", F.col("id_cliente").alias("id"), F.col("nome_completo").alias("nome"), "cpf", "cidade", "uf"),
         _tagged(s["g4_motorista"], "G4", F.col("id_motorista").alias("id"), "nome", "cpf", "cidade", "uf"),
@@ -97,7 +99,7 @@ def conform_transmission(bed):
 
 @query
 def conform_text(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     texts = [
         ("g1_patio", "id_patio", "nome_localizacao"),
         ("g1_reserva", "id_reserva", "status_reserva"),
@@ -124,7 +126,7 @@ def conform_text(bed):
 
 @query
 def infer_status(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return _union(
         *(
             _tagged(c[f"{g.lower()}_locacao"], g, "id_locacao", F.col("status_conformado").alias("status"))
@@ -147,34 +149,34 @@ def rental_duration(bed):
 
 @query
 def update_from_lookup(bed):
-    return bed.conformed["g2_locacao"].select("id_locacao", "reserva_id", "duracao_dias_prevista")
+    return bed.whole_conformed["g2_locacao"].select("id_locacao", "reserva_id", "duracao_dias_prevista")
 
 
 @query
 def km_driven(bed):
-    return bed.conformed["g2_locacao"].select("id_locacao", "km_saida", "km_chegada", "km_percorridos")
+    return bed.whole_conformed["g2_locacao"].select("id_locacao", "km_saida", "km_chegada", "km_percorridos")
 
 
 @query
 def conform_status_code(bed):
-    return bed.conformed["g3_reserva"].select(
+    return bed.whole_conformed["g3_reserva"].select(
         "id_reserva", "estado_reserva", "status_conformado", "duracao_prevista_dias"
     )
 
 
 @query
 def resolve_return_yard(bed):
-    return bed.conformed["g3_locacao"].select("id_locacao", "id_patio", "id_patio_entrega")
+    return bed.whole_conformed["g3_locacao"].select("id_locacao", "id_patio", "id_patio_entrega")
 
 
 @query
 def resolve_return_date(bed):
-    return bed.conformed["g3_locacao"].select("id_locacao", "data_locacao", "data_devolucao")
+    return bed.whole_conformed["g3_locacao"].select("id_locacao", "data_locacao", "data_devolucao")
 
 
 @query
 def slot_to_yard(bed):
-    return bed.conformed["g4_locacao"].select(
+    return bed.whole_conformed["g4_locacao"].select(
         "id_locacao", "id_vaga_retirada", "id_patio_retirada", "id_vaga_devolvida", "id_patio_entrega"
     )
 
@@ -408,31 +410,31 @@ def markov_steady_state(bed):
 # -- views of source G2 -------------------------------------------------------
 @query
 def src_vehicles_by_yard(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return V.vehicles_by_yard(c["g2_veiculo"], c["g2_grupo"], c["g2_patio"])
 
 
 @query
 def src_active_rentals(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return V.active_rentals(c["g2_locacao"], c["g2_veiculo"], c["g2_grupo"])
 
 
 @query
 def src_open_reservations(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return V.open_reservations(c["g2_reserva"], c["g2_grupo"], c["g2_patio"], c["g2_cliente"])
 
 
 @query
 def src_groups_by_city(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return V.groups_by_city(c["g2_locacao"], c["g2_cliente"], c["g2_veiculo"], c["g2_grupo"])
 
 
 @query
 def src_yard_movements(bed):
-    c = bed.conformed
+    c = bed.whole_conformed
     return V.yard_movements(c["g2_locacao"], c["g2_patio"])
 
 
@@ -444,7 +446,7 @@ def audit_unique(bed):
 
 @query
 def audit_orphans(bed):
-    g3, g4 = bed.roles.g3, bed.roles.g4
+    g3, g4 = bed.whole_roles.g3, bed.whole_roles.g4
     return _union(
         Q.audit_orphans(g3["Locacao"], "Id_reserva", g3["Reserva"], "Id_reserva", "G3.Locacao:referencia:Id_reserva"),
         Q.audit_orphans(g4["Locacao"], "IDVagaRetirada", g4["Vaga"], "IDVaga", "G4.Locacao:referencia:IDVagaRetirada"),
@@ -454,7 +456,7 @@ def audit_orphans(bed):
 
 @query
 def audit_required(bed):
-    g1 = bed.roles.g1
+    g1 = bed.whole_roles.g1
     return _union(
         Q.audit_rows(g1["Locacao"], ["ID_Locacao"], Q.required("ID_Reserva", "ID_Patio_Chegada_Realizada"), "G1.Locacao:"),
         Q.audit_rows(g1["Veiculo"], ["ID_Veiculo"], Q.required("Mecanizacao"), "G1.Veiculo:"),
@@ -463,7 +465,7 @@ def audit_required(bed):
 
 @query
 def audit_domain(bed):
-    g2, g4 = bed.roles.g2, bed.roles.g4
+    g2, g4 = bed.whole_roles.g2, bed.whole_roles.g4
     return _union(
         Q.audit_rows(g4["Categoria"], ["IDCategoria"], [Q.one_of("ClasseLuxo", "A", "B", "C")], "G4.Categoria:"),
         Q.audit_rows(g2["veiculo"], ["id_veiculo"], [Q.one_of("mecanizacao", "MANUAL", "AUTOMATICA")], "G2.veiculo:"),
@@ -501,19 +503,19 @@ def audit_length(bed):
 @query
 def audit_xor(bed):
     rules = [*CATALOG["G3.Documento_cliente"].checks[:2], Q.exactly_one("titular", "CNH", "Habilitacao_estrangeira")]
-    return Q.audit_rows(bed.roles.g3["Documento_cliente"], ["Id_documento"], rules, "G3.Documento_cliente:")
+    return Q.audit_rows(bed.whole_roles.g3["Documento_cliente"], ["Id_documento"], rules, "G3.Documento_cliente:")
 
 
 @query
 def audit_one_active(bed):
     return Q.audit_one_active(
-        bed.conformed["g2_locacao"], "veiculo_id", "status", "EM_ANDAMENTO", "G2.locacao:um_ativo:veiculo_id"
+        bed.whole_conformed["g2_locacao"], "veiculo_id", "status", "EM_ANDAMENTO", "G2.locacao:um_ativo:veiculo_id"
     )
 
 
 @query
 def audit_future(bed):
-    people = bed.roles.g4["PessoaFisica"]
+    people = bed.whole_roles.g4["PessoaFisica"]
     return _union(
         Q.audit_rows(people, ["IDFisica"], [Q.past("DtNascimento")], "G4.PessoaFisica:", date(1976, 1, 1)),
         Q.audit_rows(bed.roles.table("orders"), ["o_orderkey"], [Q.not_future("o_orderdate")], "reserva:", AS_OF),

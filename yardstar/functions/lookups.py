@@ -17,6 +17,7 @@ def lookup(
     take: Mapping[str, str],
     how: str = "left",
     spread_nulls_by: Sequence[str] = (),
+    lowest: bool = False,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on ``{left column: right column}`` and take ``{right column: new name}``.
 
@@ -24,17 +25,26 @@ def lookup(
     the threshold and otherwise sort-merges with AQE's skew split. Rows whose
     key is NULL match nothing but would all hash to one partition;
     ``spread_nulls_by`` names columns whose hash scatters them.
+
+    With ``lowest`` several matches count as one with the lowest value of each
+    taken column. The reduced side is then shuffled once more for the join: AQE
+    splits a hot key only where the join reads both sides straight from a
+    shuffle, not through an aggregation.
     """
     keys = {l: f"__key_{i}" for i, l in enumerate(on)}
     kept = left.columns
-    needed = [*(F.col(r).alias(keys[l]) for l, r in on.items()), *(F.col(r).alias(n) for r, n in take.items())]
-    if spread_nulls_by:
+    found = right.select(
+        *(F.col(r).alias(keys[l]) for l, r in on.items()), *(F.col(r).alias(n) for r, n in take.items())
+    )
+    if lowest:
+        found = found.groupBy(*keys.values()).agg(*(F.min(n).alias(n) for n in take.values()))
+    if spread_nulls_by or lowest:
         is_null = " OR ".join(f"`{l}` IS NULL" for l in on)
-        spread = f"if({is_null}, pmod(xxhash64({', '.join(spread_nulls_by)}), {NULL_SPREAD}), 0) AS __spread"
-        left = left.selectExpr("*", spread)
+        scattered = ", ".join(spread_nulls_by or on)
+        left = left.selectExpr("*", f"if({is_null}, pmod(xxhash64({scattered}), {NULL_SPREAD}), 0) AS __spread")
         # Always 0, but not a literal: Catalyst would fold a literal into the
         # condition and the column would no longer be a partitioning key.
-        needed.append(F.expr(f"pmod(xxhash64({', '.join(on.values())}), 1) AS __zero"))
+        found = found.selectExpr("*", f"pmod(xxhash64({', '.join(keys.values())}), 1) AS __zero")
         keys["__spread"] = "__zero"
     matches = F.expr(" AND ".join(f"`{l}` = `{k}`" for l, k in keys.items()))
-    return left.join(right.select(*needed), matches, how).select(*kept, *take.values())
+    return left.join(found, matches, how).select(*kept, *take.values())

@@ -45,13 +45,13 @@ def planned_days_from_reservation(rentals: DataFrame, reservations: DataFrame) -
     Should a reservation appear twice, its shortest plan counts.
     """
     days = X.whole_days("data_retirada_prevista", "data_devolucao_prevista")
-    planned = reservations.groupBy("id_reserva").agg(F.min(days).alias("dias"))
     return lookup(
         rentals,
-        planned,
+        reservations.withColumn("dias", days),
         {"reserva_id": "id_reserva"},
         {"dias": "duracao_dias_prevista"},
         spread_nulls_by=["id_locacao"],
+        lowest=True,
     )
 
 
@@ -72,24 +72,25 @@ def conform_g2(s: Frames) -> dict[str, DataFrame]:
     }
 
 
-def slot_yards(slots: DataFrame) -> DataFrame:
-    """One yard per slot (the lowest, should a slot appear twice)."""
-    return slots.groupBy("id_vaga").agg(F.min("id_patio").alias("id_patio"))
-
-
 def resolve_returns(rentals: DataFrame, returns: DataFrame, slots: DataFrame) -> DataFrame:
     """Return yard and return date of every rental.
 
     Each is the lowest-numbered return that satisfies its own lookup: the yard
     needs a known slot, the date does not. Both come from one aggregation.
     """
-    with_yard = lookup(returns, slot_yards(slots), {"id_vaga": "id_vaga"}, {"id_vaga": "vaga", "id_patio": "patio"})
+    with_yard = lookup(
+        returns, slots, {"id_vaga": "id_vaga"}, {"id_vaga": "vaga", "id_patio": "patio"}, lowest=True
+    )
     first = with_yard.groupBy("id_locacao").agg(
         F.min_by("patio", F.when(F.col("vaga").isNotNull(), F.col("id_devolucao"))).alias("patio"),
         F.min_by("data_devolucao", "id_devolucao").alias("data"),
     )
     return lookup(
-        rentals, first, {"id_locacao": "id_locacao"}, {"patio": "id_patio_entrega", "data": "data_devolucao"}
+        rentals,
+        first,
+        {"id_locacao": "id_locacao"},
+        {"patio": "id_patio_entrega", "data": "data_devolucao"},
+        spread_nulls_by=["id_veiculo"],
     )
 
 
@@ -115,18 +116,12 @@ def conform_g3(s: Frames) -> dict[str, DataFrame]:
 
 
 def resolve_slots(rentals: DataFrame, slots: DataFrame) -> DataFrame:
-    """Pickup and return yards from the slots a rental names."""
-    yards = slot_yards(slots)
-    df = lookup(
-        rentals,
-        yards,
-        {"id_vaga_retirada": "id_vaga"},
-        {"id_patio": "id_patio_retirada"},
-        spread_nulls_by=["id_locacao"],
-    )
-    return lookup(
-        df, yards, {"id_vaga_devolvida": "id_vaga"}, {"id_patio": "id_patio_entrega"}, spread_nulls_by=["id_locacao"]
-    )
+    """Pickup and return yards from the slots a rental names (the lowest, should a slot appear twice)."""
+    for slot, yard in (("id_vaga_retirada", "id_patio_retirada"), ("id_vaga_devolvida", "id_patio_entrega")):
+        rentals = lookup(
+            rentals, slots, {slot: "id_vaga"}, {"id_patio": yard}, spread_nulls_by=["id_locacao"], lowest=True
+        )
+    return rentals
 
 
 def conform_g4(s: Frames) -> dict[str, DataFrame]:

@@ -52,13 +52,13 @@ def _rental(df: DataFrame, tag: str, **cols: str | Column | None) -> DataFrame:
 
 def rentals_g1(s: Frames) -> DataFrame:
     """The client comes from the reservation: walk-ins have none."""
-    client = s["g1_reserva"].groupBy("id_reserva").agg(F.min("id_cliente").alias("id_cliente"))
     df = lookup(
         s["g1_locacao"],
-        client,
+        s["g1_reserva"],
         {"id_reserva": "id_reserva"},
         {"id_cliente": "id_cliente"},
         spread_nulls_by=["id_locacao"],
+        lowest=True,
     )
     return _rental(
         df,

@@ -14,18 +14,20 @@ from yardstar.schemas import conform_to, star_schema
 
 Frames = Mapping[str, DataFrame]
 
-SPREAD = 64
+SPREAD = 1024
 
 
 def every_yard(vehicles: DataFrame, yards: DataFrame, spread: int = SPREAD) -> DataFrame:
     """Each vehicle paired with all yards of its source (the G1 rule).
 
     The source tag alone would be one join key for everything, so the yards are
-    repeated ``spread`` times and each vehicle meets one of the copies.
+    repeated ``spread`` times and each vehicle meets one of the copies. The hint
+    keeps Spark from broadcasting the copies: it estimates their size before
+    the repetition.
     """
     v = vehicles.withColumn("__slice", F.pmod(F.xxhash64("sk_veiculo"), F.lit(spread)).cast("int"))
     y = yards.withColumn("__slice", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return v.join(y, ["fonte_grupo", "__slice"]).drop("__slice")
+    return v.join(y.hint("merge"), ["fonte_grupo", "__slice"]).drop("__slice")
 
 
 def snapshot_rows(s: Frames, dims: Frames, as_of: Column) -> DataFrame:

@@ -38,7 +38,8 @@ def expand_quantities(df: DataFrame, origins: str, destinations: str, quantities
         F.col(quantities).alias("__q"),
         F.posexplode(F.arrays_zip(F.col(origins).alias("o"), F.col(destinations).alias("d"), F.col(quantities).alias("q"))).alias("__i", "__m"),
     )
-    before = F.aggregate(F.slice("__q", 1, F.col("__i")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    units_of = lambda q: F.greatest(F.coalesce(q, F.lit(0)), F.lit(0))
+    before = F.aggregate(F.slice("__q", 1, F.col("__i")), F.lit(0).cast("bigint"), lambda a, q: a + units_of(q))
     units = F.when(F.col("__m.q") > 0, F.sequence(F.lit(1), F.col("__m.q")))
     return (
         zipped.withColumn("__before", before)

@@ -5,7 +5,8 @@ brands vehicle groups, nations yards, regions companies and suppliers parking
 slots. Clients and their orders belong to source ``1 + custkey % 4``; yards,
 groups, vehicles and slots exist in all four. Each source gets its own table and
 column names, spellings and gaps (walk-ins, unknown slots and groups), so the
-whole pipeline runs on it, extraction included.
+whole pipeline runs on it, extraction included. With ``whole`` every source has
+all clients, orders and line items, to run one source's rules over everything.
 """
 
 from __future__ import annotations
@@ -39,9 +40,10 @@ def _blank(expr: str) -> str:
 class RentalRoles:
     """Source tables by system. ``rentals`` is the line-item base, written once by the caller."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rentals: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, rentals: DataFrame | None = None, whole: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.whole = whole
         self._rentals = rentals
         self._schemas: dict[str, StructType] = {}
 
@@ -51,6 +53,9 @@ class RentalRoles:
             self._schemas[name] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(self._schemas[name]).parquet(path)
 
+    def _belonging(self, df: DataFrame, to: str) -> DataFrame:
+        return df if self.whole else df.where(to)
+
     # -- shared bases -----------------------------------------------------
     @cached_property
     def places(self) -> DataFrame:
@@ -94,8 +99,7 @@ class RentalRoles:
 
     def clients(self, source: int) -> DataFrame:
         return (
-            self.table("customer")
-            .where(f"c_custkey % 4 = {source - 1}")
+            self._belonging(self.table("customer"), f"c_custkey % 4 = {source - 1}")
             .selectExpr(
                 "c_custkey",
                 "c_name",
@@ -108,8 +112,7 @@ class RentalRoles:
     def orders(self, source: int) -> DataFrame:
         """Orders of a source with the dates and yards of a reservation."""
         return (
-            self.table("orders")
-            .where(f"o_custkey % 4 = {source - 1}")
+            self._belonging(self.table("orders"), f"o_custkey % 4 = {source - 1}")
             .selectExpr(
                 "o_orderkey",
                 "o_custkey",
@@ -160,7 +163,7 @@ class RentalRoles:
 
     def rentals(self, source: int) -> DataFrame:
         base = self.rental_base() if self._rentals is None else self._rentals
-        return base.where(f"source = {source}")
+        return self._belonging(base, f"source = {source}")
 
     # -- the four systems -------------------------------------------------
     @cached_property

@@ -65,6 +65,19 @@ class Testbed:
     def conformed(self) -> Mapping[str, DataFrame]:
         return conform(self.staging)
 
+    @cached_property
+    def whole_roles(self) -> RentalRoles:
+        """Each source with all rows: the rules of one source over the whole tables."""
+        return RentalRoles(self.spark, self.sf_dir, self.rentals, whole=True)
+
+    @cached_property
+    def whole_staging(self) -> Mapping[str, DataFrame]:
+        return extract_all(self.whole_roles.sources(), CONFIG)
+
+    @cached_property
+    def whole_conformed(self) -> Mapping[str, DataFrame]:
+        return conform(self.whole_staging)
+
     @cached_property
     def warehouse(self) -> Warehouse:
         return load(self.staging, Store(self.spark, f"{self.root}/dw"), CONFIG)
