@@ -79,11 +79,6 @@ class Warehouse(Mapping):
     def key_map(self, table: str) -> DataFrame:
         return self.store.read(f"chave_{table}", self.version)
 
-    def create_views(self) -> None:
-        """Temporary views with the tables' names, for SQL."""
-        for table, df in self.items():
-            df.createOrReplaceTempView(table)
-
 
 def dimension_rows(
     spark: SparkSession, conformed: Mapping[str, DataFrame], cfg: LoadConfig
