@@ -378,7 +378,7 @@ GROUP BY 1, 2, 3
     "report_d_group_by_city": """
 SELECT c.cidade AS cidade_cliente, c.uf AS uf_cliente, g.nome AS grupo_veiculo, g.classe AS classe_luxo,
   COUNT(*) AS total_locacoes, CAST(SUM(reais) AS BIGINT) AS total_dias_locados, SUM(total) AS receita_total,
-  CAST((2 * CAST(SUM(total) * 100 AS HUGEINT) + COUNT(total)) // (2 * COUNT(total)) AS DECIMAL(28,0)) * 0.01 AS ticket_medio
+  CAST(CAST((2 * CAST(SUM(total) * 100 AS HUGEINT) + COUNT(total)) // (2 * COUNT(total)) AS DECIMAL(28,0)) * 0.01 AS DECIMAL(28,2)) AS ticket_medio
 FROM fl JOIN d_cliente c ON c.sk = fl.sk_cliente JOIN d_grupo g ON g.sk = fl.sk_grupo
 WHERE status = 'CONCLUIDA' GROUP BY 1, 2, 3, 4
 """,

@@ -163,6 +163,13 @@ def test_expand_quantities(spark):
     assert [tuple(r) for r in expand_quantities(df.where("k = 'y'"), "o", "d", "q").collect()] == [("y", 7, 7, 1)]
 
 
+@pytest.mark.parametrize("n", [65_535, 65_536, 65_537, 200_000])
+def test_large_quantities_expand_completely(spark, n):
+    df = spark.createDataFrame([([1, 2], [3, 4], [n, 2])], "o array<int>, d array<int>, q array<int>")
+    got = expand_quantities(df, "o", "d", "q").agg(F.count("*"), F.countDistinct("numero"), F.min("numero"), F.max("numero"))
+    assert tuple(got.first()) == (n + 2, n + 2, 1, n + 2)
+
+
 def test_golden_moves():
     assert sum(q for *_, q in MOVES) == 60
     assert {sum(q for o, _, q in MOVES if o == i) for i in range(1, 7)} == {10}

@@ -26,6 +26,9 @@ MOVES = [
 ]
 
 
+UNITS_AT_ONCE = 65_536
+
+
 def expand_quantities(df: DataFrame, origins: str, destinations: str, quantities: str) -> DataFrame:
     """One row per unit of three parallel arrays, numbered 1..n within its input row.
 
@@ -40,9 +43,13 @@ def expand_quantities(df: DataFrame, origins: str, destinations: str, quantities
     )
     units_of = lambda q: F.greatest(F.coalesce(q, F.lit(0)), F.lit(0))
     before = F.aggregate(F.slice("__q", 1, F.col("__i")), F.lit(0).cast("bigint"), lambda a, q: a + units_of(q))
-    units = F.when(F.col("__m.q") > 0, F.sequence(F.lit(1), F.col("__m.q")))
+    # In two steps, so that a very large quantity is never one array.
+    count, block = F.col("__m.q").cast("bigint"), F.col("__block")
+    blocks = F.when(count > 0, F.sequence(F.lit(1).cast("bigint"), count, F.lit(UNITS_AT_ONCE).cast("bigint")))
+    units = F.sequence(block, F.least(block + (UNITS_AT_ONCE - 1), count))
     return (
         zipped.withColumn("__before", before)
+        .withColumn("__block", F.explode(blocks))
         .withColumn("__unit", F.explode(units))
         .select(
             *keep,
