@@ -15,7 +15,7 @@ from yardstar.operators import facts
 from yardstar.operators.conform import conform
 from yardstar.operators.keys import assign_keys
 from yardstar.operators.snapshot import snapshot_rows
-from yardstar.schemas import STAR_DDL, star_schema
+from yardstar.schemas import STAR_DDL, conform_to, star_schema
 from yardstar.sources.extract import complete_staging, extract_all
 from yardstar.sources.readers import Source
 from yardstar.sources.store import Store
@@ -117,24 +117,18 @@ def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg
     ``rebalance`` sizes the files and splits a period that holds a large share
     of all rows over several tasks.
     """
-    columns = [f.name for f in star_schema(table).fields]
-    laid = resolved.select(
-        *(F.col(f.name).cast(f.dataType) for f in star_schema(table).fields if f.name in resolved.columns),
-        *(
-            F.lit(None).cast(f.dataType).alias(f.name)
-            for f in star_schema(table).fields
-            if f.name not in resolved.columns
-        ),
-        "motivos",
-        F.when(F.size("motivos") == 0, ACCEPTED).otherwise(REJECTED).alias("carga"),
-        F.trunc("data_retirada", cfg.partition_grain).alias("periodo_retirada"),
-    ).select(*columns, "motivos", "carga", "periodo_retirada")
-    laid = laid.hint("rebalance", "carga", "periodo_retirada")
-    # Unique within the load; nothing refers to a fact's key, so it need not be dense.
-    keyed = laid.withColumn(FACT_KEYS[table], F.monotonically_increasing_id() + 1)
-    return store.write(
-        keyed.withColumn("dt_carga", cfg.batch_column), table, version, ("carga", "periodo_retirada")
+    laid = resolved.withColumns(
+        {
+            "carga": F.when(F.size("motivos") == 0, ACCEPTED).otherwise(REJECTED),
+            "periodo_retirada": F.trunc("data_retirada", cfg.partition_grain),
+        }
     )
+    own = (FACT_KEYS[table], "dt_carga")
+    declared = T.StructType([f for f in stored_schema(table).fields if f.name not in own])
+    laid = conform_to(laid, declared).hint("rebalance", "carga", "periodo_retirada")
+    # Unique within the load; nothing refers to a fact's key, so it need not be dense.
+    keyed = laid.withColumns({own[0]: F.monotonically_increasing_id() + 1, own[1]: cfg.batch_column})
+    return store.write(keyed, table, version, ("carga", "periodo_retirada"))
 
 
 def _number_snapshot(rows: DataFrame, start: int, cfg: LoadConfig) -> DataFrame:

@@ -22,8 +22,8 @@ from yardstar.functions.lookups import lookup
 Star = Mapping[str, DataFrame]
 
 
-def _group(df: DataFrame, star: Star, how: str = "inner", **take: str) -> DataFrame:
-    return lookup(df, star["dim_grupo_veiculo"], {"sk_grupo": "sk_grupo"}, {c: n for n, c in take.items()}, how)
+def _group(df: DataFrame, star: Star, **take: str) -> DataFrame:
+    return lookup(df, star["dim_grupo_veiculo"], {"sk_grupo": "sk_grupo"}, {c: n for n, c in take.items()}, "inner")
 
 
 def _yard(df: DataFrame, star: Star, key: str, **take: str) -> DataFrame:
@@ -104,7 +104,8 @@ def report_b_rental_control(star: Star, as_of: date | None = None) -> DataFrame:
     df = _date(df, star, "sk_tempo_retirada", data="data_completa")
     # Days left = planned - (as_of - pickup), summed over the rentals of the day.
     elapsed = F.datediff(C.as_of_column(as_of), "data") * F.col("n_previstos")
-    df = _group(df.withColumn("restantes", F.col("previstos") - elapsed), star, grupo_veiculo="nome_grupo", classe_luxo="classe_luxo")
+    df = df.withColumn("restantes", F.col("previstos") - elapsed)
+    df = _group(df, star, grupo_veiculo="nome_grupo", classe_luxo="classe_luxo")
     total = df.groupBy("grupo_veiculo", "classe_luxo", F.col("status_locacao").alias("status")).agg(
         F.sum("n").alias("total_locacoes"),
         F.sum("dias").alias("dias"),
