@@ -9,8 +9,8 @@ from compare import connect, difference
 from conftest import SF
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
