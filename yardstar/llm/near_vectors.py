@@ -59,8 +59,8 @@ def learn_codes(sample: np.ndarray, tables: int, key_bits: int, rounds: int = 30
     """
     width = sample.shape[1]
     mean = sample.mean(axis=0)
-    _, _, axes = np.linalg.svd(sample - mean, full_matrices=True)
-    projected = (sample - mean) @ axes.T
+    _, axes = np.linalg.eigh((sample - mean).T @ (sample - mean))
+    projected = (sample - mean) @ axes
     rng = np.random.default_rng(seed)
     planes = []
     for _ in range(-(-tables * key_bits // width)):
@@ -68,7 +68,7 @@ def learn_codes(sample: np.ndarray, tables: int, key_bits: int, rounds: int = 30
         for _ in range(rounds):
             u, _, v = np.linalg.svd(np.where(projected @ rotation > 0, 1.0, -1.0).T @ projected)
             rotation = (u @ v).T
-        planes.append(axes.T @ rotation)
+        planes.append(axes @ rotation)
     # Neighbouring bits of a rotation go to different tables.
     planes = np.concatenate(planes, axis=1)
     order = np.argsort(np.arange(planes.shape[1]) % tables, kind="stable")
