@@ -65,7 +65,7 @@ def mix(
     weights: Sequence[int] = (5, 2, 1),
     most_epochs: int = 3,
     seed: int = 20240501,
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 8_192,
 ) -> DataFrame:
     """Every row of ``docs`` with the number of its words that the mix takes.
 

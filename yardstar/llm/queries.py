@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardstar.llm import line_dedup, mixing, near_vectors, topk, url_rules
+from yardstar.llm import line_dedup, mixing, near_vectors, packing, quality, topk, url_rules
 from yardstar.session import configure
 
 URL_RULES = (
@@ -37,10 +38,24 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return packing.piece_table(packed)
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), label_col="quality")
+    return quality.score(docs, model).select(
+        "doc_id", quality.is_held_out("doc_id").alias("held_out"), "score", quality.predict().alias("predicted")
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, "source", "text", ratio=0.05, min_pages=5)
@@ -48,5 +63,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_vectors, op3_source_mix, op5_url_rules, op7_exact_top_k, op10_line_dedup)
+    for f in (
+        op1_near_vectors,
+        op3_source_mix,
+        op5_url_rules,
+        op6_best_fit_packing,
+        op7_exact_top_k,
+        op8_quality,
+        op10_line_dedup,
+    )
 }
