@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardstar.llm import line_dedup, mixing, near_vectors, packing, quality, topk, url_rules
+from yardstar.llm import html, licenses, line_dedup, mixing, near_vectors, packing, quality, topk, url_rules
 from yardstar.session import configure
 
 URL_RULES = (
@@ -33,6 +33,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.TEMPLATES, containment=0.8)
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
@@ -56,6 +60,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, "source", "text", ratio=0.05, min_pages=5)
@@ -66,10 +74,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_near_vectors,
         op3_source_mix,
+        op4_license_scan,
         op5_url_rules,
         op6_best_fit_packing,
         op7_exact_top_k,
         op8_quality,
+        op9_main_text,
         op10_line_dedup,
     )
 }
