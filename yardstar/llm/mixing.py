@@ -95,7 +95,7 @@ def mix(
         F.round("target").cast("long").alias("_budget"),
         F.ceil(F.col("n_rows") / bucket_rows).alias("_ranges"),
     )
-    draw = F.xxhash64(F.lit(seed), "_id")
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
     keyed = sized.join(plan, F.col("_source").eqNullSafe(F.col("_of"))).select(
         "_id",
         "_source",
@@ -104,8 +104,8 @@ def mix(
         "target",
         "_budget",
         draw.alias("_key"),
-        # The key is uniform: equal ranges of its top bits hold about equally many rows.
-        F.floor((F.shiftrightunsigned(draw, 33).cast("double") / 2.0**31) * F.col("_ranges")).alias("_range"),
+        # The key is uniform: equal ranges of its first digits hold about equally many rows.
+        F.floor(F.conv(F.substring(draw, 1, 7), 16, 10).cast("double") / 16**7 * F.col("_ranges")).alias("_range"),
     )
     sums = keyed.groupBy("_source", "_range").agg(F.sum("size").alias("_words"))
     earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

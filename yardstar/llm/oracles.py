@@ -24,6 +24,58 @@ SELECT e.vec_id,
 FROM embeddings e JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
 """
 
+ORACLES["op2_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+      THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM w
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (min(a.n) + min(b.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+ORACLES["op3_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), per AS (
+  SELECT source, sum(size)::BIGINT AS c, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM sized GROUP BY source
+), level AS (
+  SELECT p.*, (SELECT sum(c) FROM per)::BIGINT AS total,
+    ((SELECT sum(c) FROM per)::BIGINT - 3 * coalesce(sum(c) OVER before, 0)::BIGINT)
+      / ((SELECT sum(w) FROM per)::BIGINT - coalesce(sum(w) OVER before, 0)::BIGINT) AS l
+  FROM per p
+  WINDOW before AS (ORDER BY c / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), final AS (
+  SELECT l FROM level WHERE l * w < 3 * c ORDER BY c / w, source NULLS LAST LIMIT 1
+), target AS (
+  SELECT source, c, CASE WHEN total > 0 THEN least(3 * c::DOUBLE, coalesce((SELECT l FROM final) * w, 3 * c::DOUBLE)) ELSE 0 END AS t
+  FROM level
+), placed AS (
+  SELECT s.*, t.c, t.t, round(t.t)::BIGINT AS budget,
+    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY md5('20240501:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
+  FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, c AS source_size, t AS target,
+  CASE WHEN c = 0 THEN 0
+    ELSE size * (budget // c) + greatest(0, least(size, budget - (budget // c) * c - earlier)) END AS taken
+FROM placed
+"""
+
 ORACLES["op5_url_rules"] = r"""
 WITH rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),

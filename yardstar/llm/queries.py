@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardstar.llm import html, licenses, line_dedup, mixing, near_vectors, packing, quality, topk, url_rules
+from yardstar.llm import html, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, quality, topk, url_rules
 from yardstar.session import configure
 
 URL_RULES = (
@@ -28,6 +29,10 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most_epochs=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -69,10 +74,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, "source", "text", ratio=0.05, min_pages=5)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_vectors,
+        op2_ngram_jaccard,
         op3_source_mix,
         op4_license_scan,
         op5_url_rules,
@@ -81,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_main_text,
         op10_line_dedup,
+        pipeline,
     )
 }
