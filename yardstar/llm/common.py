@@ -25,6 +25,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns ``c0, c1, ...`` and the number of each name, so that working columns can't clash with it."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     checkpoint_ready(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -94,7 +100,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = checkpoint(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = checkpoint(small.unionByName(low.withColumnRenamed("m", "v")).distinct())

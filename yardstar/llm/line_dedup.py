@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yardstar.llm.common import materialize
+from yardstar.llm.common import materialize, numbered
 
 BLANK = " \t\r\f\x0b"
 
@@ -58,10 +58,15 @@ def drop_boilerplate(
     are more than ``ratio`` of its pages. All its copies go; the other lines
     stay as they were and in order. Blank lines always stay, and a page
     may become empty. NULL text stays NULL with 0 lines; rows with NULL host
-    stay as they are. The found lines are written to the shared folder first,
+    stay as they are. Columns of the input named ``n_lines`` or ``n_dropped`` are
+    replaced. The found lines are written to the shared folder first,
     so that Spark knows their size: small tables are broadcast, others
     sort-merged with AQE splitting a hot host.
     """
+    docs = docs.drop("n_lines", "n_dropped")
+    columns = docs.columns
+    docs, number = numbered(docs)
+    host_col, text_col = number[host_col], number[text_col]
     found = materialize(boilerplate_lines(docs, host_col, text_col, ratio, min_pages), "boilerplate")
     found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_found"))
     lines = F.split(F.col(text_col), "\n", -1)
@@ -73,7 +78,7 @@ def drop_boilerplate(
     text = F.when(F.col("_found").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
     n_lines = F.coalesce(F.size("_lines"), F.lit(0))
     return joined.select(
-        *(text.alias(c) if c == text_col else F.col(c) for c in docs.columns),
+        *(text.alias(c) if number[c] == text_col else F.col(number[c]).alias(c) for c in columns),
         F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).alias("n_lines"),
         F.when(F.col(text_col).isNull(), 0).otherwise(n_lines - F.size("_kept")).alias("n_dropped"),
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yardstar.llm.common import numbered
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -142,21 +144,25 @@ def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: st
     taken and with the length of that text; rows of which nothing is taken go.
     Ids should be unique. The columns are those of ``docs``.
     """
-    mixed = mixed.select(F.col(id_col).alias("_mixed_id"), "size", "taken")
+    mixed = mixed.select(F.col(id_col).alias("_id"), "size", "taken")
+    columns, schema = docs.columns, docs.schema
+    docs, number = numbered(docs)
+    text = F.col(number[text_col])
     epochs = F.expr("sequence(1L, (taken + size - 1) div size)")
-    left = F.expr("least(size, taken - (_epoch - 1) * size)")
+    left = F.expr("least(size, taken - (epoch - 1) * size)")
     rows = (
-        docs.join(mixed.where("taken > 0"), F.col(id_col).eqNullSafe(F.col("_mixed_id")))
-        .select("*", F.explode(epochs).alias("_epoch"))
-        .select("*", left.alias("_left"))
+        docs.join(mixed.where("taken > 0"), F.col(number[id_col]).eqNullSafe(F.col("_id")))
+        .select("*", F.explode(epochs).alias("epoch"))
+        .select("*", left.alias("left"))
     )
     # A word and the white space behind it; white space at the start is a piece of its own.
-    pieces = F.split(text_col, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1)
-    n_pieces = F.col("_left") + F.col(text_col).rlike(r"^[\x20\x09-\x0D]").cast("int")
+    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1)
+    n_pieces = F.col("left") + text.rlike(r"^[\x20\x09-\x0D]").cast("int")
     cut = F.rtrim(F.array_join(F.slice(pieces, 1, n_pieces.cast("int")), ""), F.lit(" \t\n\x0b\x0c\r"))
-    text = F.when(F.col("_left") < F.col("size"), cut).otherwise(F.col(text_col))
-    rows = rows.withColumn(text_col, text)
-    if n_chars_col in docs.columns:
-        n_chars = F.when(F.col("_left") < F.col("size"), F.length(text_col)).otherwise(F.col(n_chars_col))
-        rows = rows.withColumn(n_chars_col, n_chars.cast(docs.schema[n_chars_col].dataType))
-    return rows.select(*docs.columns)
+    in_part = F.col("left") < F.col("size")
+    out = {c: F.col(n) for c, n in number.items()}
+    out[text_col] = F.when(in_part, cut).otherwise(text)
+    if n_chars_col in out:
+        n_chars = F.when(in_part, F.length(out[text_col])).otherwise(out[n_chars_col])
+        out[n_chars_col] = n_chars.cast(schema[n_chars_col].dataType)
+    return rows.select(*(out[c].alias(c) for c in columns))

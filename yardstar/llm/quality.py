@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yardstar.llm.common import numbered
 from yardstar.llm.text import LOWER, SPACE, buffer, mix, slices, words
 
 BITS = 18
@@ -218,10 +219,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """``docs`` with the score of every whole text: 0 to 1, higher where label 1 is likelier.
 
     A NULL or empty text has no indicators and scores by the bias alone. One
-    pass without a shuffle; all other columns are kept as they are.
+    pass without a shuffle; all other columns are kept as they are, but one
+    named like the score is replaced.
     """
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names).select("*", F.col(names[docs.columns.index(text_col)]).alias("text"))
+    docs = docs.drop(score_col)
+    plain, number = numbered(docs)
+    names = list(number.values())
+    plain = plain.select("*", F.col(number[text_col]).alias("text"))
 
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _few(batches):
