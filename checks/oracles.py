@@ -414,6 +414,14 @@ passos AS (
   SELECT passo + 1, destino, SUM(p * prob / 10000.0::DOUBLE) FROM passos JOIN matriz ON origem = patio WHERE passo < 10
   GROUP BY passo, destino)
 SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio FROM passos WHERE passo = 10
+""",
+    "markov_converged": """,
+passos AS (
+  SELECT 0 AS passo, nome AS patio, 1.0::DOUBLE / COUNT(*) OVER () AS p FROM (SELECT DISTINCT nome FROM d_patio)
+  UNION ALL
+  SELECT passo + 1, destino, SUM(p * prob / 10000.0::DOUBLE) FROM passos JOIN matriz ON origem = patio WHERE passo < 200
+  GROUP BY passo, destino)
+SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio, TRUE AS convergiu FROM passos WHERE passo = 200
 """,
     "src_vehicles_by_yard": """
 SELECT upper(l.nome) AS patio, 'C' || p.grupo AS grupo, COUNT(*) AS total

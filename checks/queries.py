@@ -407,6 +407,12 @@ def markov_steady_state(bed):
     return M.steady_state(_matrix(bed), bed.warehouse["dim_patio"])
 
 
+@query
+def markov_converged(bed):
+    """The share of vehicles in the long run, and whether it has settled."""
+    return M.steady_state(_matrix(bed), bed.warehouse["dim_patio"], tol=1e-9, max_steps=200)
+
+
 # -- views of source G2 -------------------------------------------------------
 @query
 def src_vehicles_by_yard(bed):
@@ -525,8 +531,7 @@ def audit_future(bed):
 @query
 def audit_unresolved(bed):
     return _union(
-        Q.audit_unresolved(_rentals(bed)).withColumn("fato", F.lit("fato_locacao")),
-        Q.audit_unresolved(_reservations(bed)).withColumn("fato", F.lit("fato_reserva")),
+        *(Q.audit_unresolved(bed.warehouse.rejects(t)).withColumn("fato", F.lit(t)) for t in ("fato_locacao", "fato_reserva"))
     )
 
 

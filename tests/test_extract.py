@@ -130,6 +130,10 @@ def test_jdbc_reader_splits_a_table(monkeypatch):
         read = Reader()
 
     read = jdbc_source(Session(), "jdbc:x", {"user": "u"}, "locadora_g2", {"locacao": Split("id_locacao", 1, 1000, 16)})
+    with pytest.raises(ValueError, match="no Split for table 'cliente'"):
+        read("cliente")
+    assert jdbc_source(Session(), "jdbc:x", small={"grupo"})("grupo") == "frame"
+    seen.clear()
     assert read("locacao") == "frame"
     assert seen == {
         "format": "jdbc",

@@ -104,3 +104,21 @@ def test_lookup_keeps_unmatched_and_null_keys(spark, spread):
     assert {tuple(r) for r in got.collect()} == {(1, 10, "a"), (2, 20, None), (3, None, None)}
     inner = lookup(left, right, {"k": "k"}, {"v": "nome"}, "inner", spread_nulls_by=spread)
     assert {tuple(r) for r in inner.collect()} == {(1, 10, "a")}
+
+
+def test_null_keys_match_only_where_asked(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
+    right = spark.createDataFrame([("a", 10), (None, 20)], "k string, v int")
+    plain = lookup(left, right, {"k": "k"}, {"v": "v"}, spread_nulls_by=["id"])
+    assert sorted((r.id, r.v) for r in plain.collect()) == [(1, 10), (2, None)]
+    safe = lookup(left, right, {"k": "k"}, {"v": "v"}, "inner", null_safe=True)
+    assert sorted((r.id, r.v) for r in safe.collect()) == [(1, 10), (2, 20)]
+
+
+def test_a_company_without_a_name_keeps_its_row(spark):
+    from yardstar.operators.dims import keyed
+
+    rows = spark.createDataFrame([("G3", 1, "X"), ("G3", 2, None)], "fonte_grupo string, id_empresa_orig bigint, nome_empresa string")
+    keys = spark.createDataFrame([("G3", "X", 7), ("G3", None, 8)], "fonte_grupo string, nome_empresa string, sk bigint")
+    got = keyed(rows, keys, "dim_empresa").collect()
+    assert sorted((r.sk_empresa, r.nome_empresa or "") for r in got) == [(7, "X"), (8, "")]

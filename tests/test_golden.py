@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from yardstar.plans import markov as M
 from yardstar.plans import reports as R
@@ -132,5 +133,17 @@ CONVERGED = {
 @pytest.mark.parametrize("options, want", [({"steps": 10}, TEN), ({"tol": 1e-9}, CONVERGED)])
 def test_steady_state(golden, matrix, options, want):
     got = rows(M.steady_state(matrix, golden["dim_patio"], **options))
-    assert dict(got) == {k: Decimal(v) for k, v in want.items()}
+    assert {r[0]: r[1] for r in got} == {k: Decimal(v) for k, v in want.items()}
+    assert all(r[2:] == ((True,) if "tol" in options else ()) for r in got)
+
+
+@pytest.mark.parametrize("max_steps, b", [(10, "66.67"), (11, "33.33"), (20, "66.67")])
+def test_a_chain_that_never_converges_says_so(spark, max_steps, b):
+    """A goes to B, B and C go to A: the shares swap for ever."""
+    moves = spark.createDataFrame([("A", "B"), ("B", "A"), ("C", "A")], "patio_origem string, patio_destino string")
+    matrix = moves.select("*", F.lit("1").cast("decimal(7,4)").alias("probabilidade"))
+    yards = spark.createDataFrame([("A",), ("B",), ("C",)], "nome_patio string")
+    got = M.steady_state(matrix, yards, tol=1e-9, max_steps=max_steps).collect()
+    assert {r.patio: str(r.percentual_equilibrio) for r in got}["B"] == b
+    assert not any(r.convergiu for r in got)
     assert [r[1] for r in got] == sorted((r[1] for r in got), reverse=True)

@@ -91,7 +91,7 @@ def test_a_hot_key_is_split_and_complete(spark, conf, lowest):
     )
     left = hot(spark).repartition(8)
     right = spark.range(5000).select("id", (F.col("id") * 10).alias("v"))
-    df = lookup(left, right, {"client": "id"}, {"v": "sk"}, lowest=lowest).select("rental", "client", "sk", F.length("payload"))
+    df = lookup(left, right, {"client": "id"}, {"v": "sk"}, lowest=lowest, hot=lowest).select("rental", "client", "sk", F.length("payload"))
     rows = df.collect()
     assert len(rows) == 200_000 and all(r["sk"] == r["client"] * 10 for r in rows)
     assert "skew=true" in plan(df)

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from yardstar import config as C
 
 
+UNCHECKED = "não verificada"
+
+
 @dataclass(frozen=True)
 class Rule:
     """A row-level rule: ``ok`` must not be false; ``shows`` is what a violation reports."""
@@ -155,26 +158,49 @@ def audit_unresolved(resolved: DataFrame) -> DataFrame:
 def audit_table(
     name: str, rules: TableRules, tables: Mapping[str, DataFrame], as_of: date | None = None
 ) -> DataFrame:
-    """All violations of one table. References to tables that are not given are skipped,
-    as are rules on columns the frame does not carry."""
+    """All violations of one table.
+
+    A rule that can't be checked, because its column or the table it refers to
+    isn't given, is a row of its own: no key, and the detail says what lacks.
+    """
     df = tables[name]
     columns = {c.lower() for c in df.columns}
 
     def has(*names: str) -> bool:
         return all(n.lower() in columns for n in names)
 
-    parts = [
-        audit_unique(df, k, f"{name}:unico:{'+'.join(k)}") for k in (rules.key, *rules.unique) if has(*k)
-    ]
+    parts: list[DataFrame] = []
+    unchecked: list[tuple[str, str | None, str]] = []
+
+    def checkable(rule: str, *names: str) -> bool:
+        lacking = [n for n in names if not has(n)]
+        if lacking:
+            unchecked.append((rule, None, f"{UNCHECKED}: {', '.join(lacking)}"))
+        return not lacking
+
+    for k in (rules.key, *rules.unique):
+        rule = f"{name}:unico:{'+'.join(k)}"
+        if checkable(rule, *k):
+            parts.append(audit_unique(df, k, rule))
     for column, (parent, key) in rules.references.items():
-        if has(column) and parent in tables:
-            parts.append(audit_orphans(df, column, tables[parent], key, f"{name}:referencia:{column}"))
-    row_rules = [*required(*(c for c in rules.required if has(c))), *(r for r in rules.checks if has(*r.columns))]
+        rule = f"{name}:referencia:{column}"
+        if checkable(rule, column):
+            if parent in tables:
+                parts.append(audit_orphans(df, column, tables[parent], key, rule))
+            else:
+                unchecked.append((rule, None, f"{UNCHECKED}: {parent}"))
+    row_rules = [
+        r for r in (*required(*rules.required), *rules.checks) if checkable(f"{name}:{r.name}", *r.columns)
+    ]
     if row_rules:
         parts.append(audit_rows(df, [k for k in rules.key if has(k)], row_rules, f"{name}:", as_of))
-    if rules.one_active and has(*rules.one_active[:2]):
+    if rules.one_active:
         key, status, value = rules.one_active
-        parts.append(audit_one_active(df, key, status, value, f"{name}:um_ativo:{key}"))
+        rule = f"{name}:um_ativo:{key}"
+        if checkable(rule, key, status):
+            parts.append(audit_one_active(df, key, status, value, rule))
+    if unchecked:
+        parts.append(df.sparkSession.createDataFrame(unchecked, "regra string, chave string, detalhe string"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -187,4 +213,8 @@ def audit_all(
 
 
 def summary(violations: DataFrame) -> DataFrame:
-    return violations.groupBy("regra").agg(F.count("*").alias("violacoes"))
+    """Violations by rule; rules that couldn't be checked have none and say so."""
+    unchecked = F.col("chave").isNull()
+    return violations.groupBy("regra").agg(
+        F.count_if(~unchecked).alias("violacoes"), F.bool_or(unchecked).alias("nao_verificada")
+    )

@@ -79,7 +79,7 @@ def resolve_returns(rentals: DataFrame, returns: DataFrame, slots: DataFrame) ->
     needs a known slot, the date does not. Both come from one aggregation.
     """
     with_yard = lookup(
-        returns, slots, {"id_vaga": "id_vaga"}, {"id_vaga": "vaga", "id_patio": "patio"}, lowest=True
+        returns, slots, {"id_vaga": "id_vaga"}, {"id_vaga": "vaga", "id_patio": "patio"}, lowest=True, hot=True
     )
     first = with_yard.groupBy("id_locacao").agg(
         F.min_by("patio", F.when(F.col("vaga").isNotNull(), F.col("id_devolucao"))).alias("patio"),
@@ -90,7 +90,6 @@ def resolve_returns(rentals: DataFrame, returns: DataFrame, slots: DataFrame) ->
         first,
         {"id_locacao": "id_locacao"},
         {"patio": "id_patio_entrega", "data": "data_devolucao"},
-        spread_nulls_by=["id_veiculo"],
     )
 
 
@@ -117,10 +116,10 @@ def conform_g3(s: Frames) -> dict[str, DataFrame]:
 
 def resolve_slots(rentals: DataFrame, slots: DataFrame) -> DataFrame:
     """Pickup and return yards from the slots a rental names (the lowest, should a slot appear twice)."""
+    # Reduced once: both joins read the same shuffled result.
+    yards = slots.groupBy("id_vaga").agg(F.min("id_patio").alias("id_patio"))
     for slot, yard in (("id_vaga_retirada", "id_patio_retirada"), ("id_vaga_devolvida", "id_patio_entrega")):
-        rentals = lookup(
-            rentals, slots, {slot: "id_vaga"}, {"id_patio": yard}, spread_nulls_by=["id_locacao"], lowest=True
-        )
+        rentals = lookup(rentals, yards, {slot: "id_vaga"}, {"id_patio": yard}, spread_nulls_by=["id_locacao"])
     return rentals
 
 

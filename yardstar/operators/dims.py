@@ -334,7 +334,7 @@ def client_rows(s: Frames) -> DataFrame:
 def keyed(rows: DataFrame, key_map: DataFrame, table: str) -> DataFrame:
     """Add the surrogate key and put the columns in their declared order."""
     keys, sk = NATURAL_KEYS[table], SURROGATE[table]
-    df = lookup(rows, key_map, {k: k for k in keys}, {"sk": sk}, how="inner")
+    df = lookup(rows, key_map, {k: k for k in keys}, {"sk": sk}, how="inner", null_safe=True)
     if table == "dim_empresa":
         df = number_companies(df)
     return conform_to(df, star_schema(table))

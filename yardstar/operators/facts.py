@@ -198,7 +198,7 @@ def reservation_rows(s: Frames) -> DataFrame:
 
 
 def _date_key(df: DataFrame, dates: DataFrame, column: str, sk: str) -> DataFrame:
-    return lookup(df, dates, {column: "data_completa"}, {"sk_tempo": sk})
+    return lookup(df, dates, {column: "data_completa"}, {"sk_tempo": sk}, spread_nulls_by=["id_orig"])
 
 
 def _source_key(

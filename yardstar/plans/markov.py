@@ -53,16 +53,9 @@ def transition_matrix(counts: DataFrame) -> DataFrame:
     )
 
 
-def yard_names(star: Star, limit: int | None = None) -> list[str]:
-    """Distinct yard names in order; they become the pivot's columns.
-
-    More names than Spark pivots are refused, not cut off.
-    """
-    limit = limit or int(star["dim_patio"].sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    names = star["dim_patio"].select("nome_patio").distinct().orderBy("nome_patio").limit(limit + 1).collect()
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} yard names: query the matrix in rows instead")
-    return [r[0] for r in names]
+def yard_names(star: Star) -> list[str]:
+    """All distinct yard names in order; they become the pivot's columns, so the plan is as wide as they are many."""
+    return [r[0] for r in star["dim_patio"].select("nome_patio").distinct().orderBy("nome_patio").collect()]
 
 
 def pivot_matrix(matrix: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -99,8 +92,9 @@ def steady_state(
 ) -> DataFrame:
     """Expected share of vehicles per yard after ``steps`` moves from a uniform start.
 
-    With ``tol`` it goes on until no share changes by more than that. Shares
-    are decimals, so the result does not depend on the order of summation. A
+    With ``tol`` it goes on until no share changes by more than that, or until
+    ``max_steps``: the column ``convergiu`` tells which. A periodic chain never
+    converges. Shares are decimals, so the result does not depend on the order of summation. A
     yard without departures leaks its share; one without arrivals drops out.
 
     The matrix (at most yards squared) is checkpointed once, so the fact is not
@@ -117,19 +111,20 @@ def steady_state(
         for _ in range(steps):
             vector = _step(vector, m)
     else:
-        done = 0
-        while done < max_steps:
-            for _ in range(check_every - 1):
+        done, converged = 0, False
+        while done < max_steps and not converged:
+            several = min(check_every, max_steps - done)
+            for _ in range(several - 1):
                 vector = _step(vector, m)
             before = vector.checkpoint()
             vector = _step(before, m).checkpoint()
-            done += check_every
+            done += several
             old = before.select("patio", F.col("prob").alias("__old"))
             change = vector.join(old, "patio", "full").agg(
                 F.max(F.abs(F.coalesce("prob", F.lit(0)) - F.coalesce("__old", F.lit(0))))
             )
-            if (change.first()[0] or 0) <= tol:
-                break
-    return vector.select(
-        "patio", F.round(F.col("prob") * 100, 2).cast("decimal(10,2)").alias("percentual_equilibrio")
-    ).orderBy(F.col("percentual_equilibrio").desc_nulls_first(), F.col("patio").asc_nulls_last())
+            converged = (change.first()[0] or 0) <= tol
+    shares = ["patio", F.round(F.col("prob") * 100, 2).cast("decimal(10,2)").alias("percentual_equilibrio")]
+    if tol is not None:
+        shares.append(F.lit(converged).alias("convergiu"))
+    return vector.select(*shares).orderBy(F.col("percentual_equilibrio").desc_nulls_first(), F.col("patio").asc_nulls_last())

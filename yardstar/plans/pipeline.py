@@ -102,13 +102,9 @@ def _load_dimension(
     keys = D.NATURAL_KEYS[table]
     known = store.read(f"chave_{table}", previous) if previous else None
     key_map = assign_keys(rows, keys, store.path(f"chave_{table}_ordem", version), known)
+    key_map = store.write(key_map, f"chave_{table}", version)
     dim = D.keyed(rows, key_map, table).withColumn("dt_carga", cfg.batch_column)
-    return _together(
-        {
-            "map": lambda: store.write(key_map, f"chave_{table}", version),
-            "dim": lambda: store.write(dim, table, version),
-        }
-    )["dim"]
+    return store.write(dim, table, version)
 
 
 def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg: LoadConfig) -> DataFrame:
@@ -174,7 +170,7 @@ def load(staging: Mapping[str, DataFrame], store: Store, cfg: LoadConfig | None
     wave = _together({"dim_veiculo": lambda: dimension("dim_veiculo", done), "fato_reserva": reservations})
     done = {**done, "dim_veiculo": wave["dim_veiculo"]}
     _together({"fato_locacao": rentals, "fato_patio_snapshot": snapshot})
-    store.publish(version, [*DIMENSIONS, *FACTS])
+    store.publish(version, [*DIMENSIONS, *FACTS], previous)
     return Warehouse(store, version)
 
 

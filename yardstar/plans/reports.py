@@ -159,22 +159,28 @@ def report_b_monthly(star: Star) -> DataFrame:
 
 def report_c_reservations(star: Star) -> DataFrame:
     """Reservations by group, yard, client city, planned month and status."""
-    keys = ["sk_grupo", "sk_patio_retirada", "sk_cliente", "status_reserva"]
+    keys = ["sk_grupo", "sk_patio_retirada", "status_reserva"]
+    # A client has few reservations: counting pays only by city.
+    df = _client(
+        star["fato_reserva"].select(*keys, "sk_cliente", "sk_tempo_retirada_prev", "duracao_prevista_dias"),
+        star,
+        cidade_cliente="cidade_origem",
+        uf_cliente="uf_origem",
+    )
+    df = df.groupBy(*keys, "cidade_cliente", "uf_cliente", "sk_tempo_retirada_prev").agg(
+        F.count("*").alias("n"),
+        F.sum("duracao_prevista_dias").alias("dias"),
+        F.count("duracao_prevista_dias").alias("n_dias"),
+    )
+    month = ["ano_retirada_prevista", "mes_retirada_prevista", "nome_mes_retirada"]
     df = _date(
-        star["fato_reserva"].select(*keys, "sk_tempo_retirada_prev", "duracao_prevista_dias"),
+        df,
         star,
         "sk_tempo_retirada_prev",
         ano_retirada_prevista="ano",
         mes_retirada_prevista="mes",
         nome_mes_retirada="nome_mes",
     )
-    month = ["ano_retirada_prevista", "mes_retirada_prevista", "nome_mes_retirada"]
-    df = df.groupBy(*keys, *month).agg(
-        F.count("*").alias("n"),
-        F.sum("duracao_prevista_dias").alias("dias"),
-        F.count("duracao_prevista_dias").alias("n_dias"),
-    )
-    df = _client(df, star, cidade_cliente="cidade_origem", uf_cliente="uf_origem")
     df = _group(df, star, grupo_veiculo="nome_grupo")
     df = _yard(df, star, "sk_patio_retirada", patio_retirada="nome_patio")
     by = ["grupo_veiculo", "patio_retirada", "cidade_cliente", "uf_cliente", *month]

@@ -33,12 +33,10 @@ def open_reservations(
     reservations: DataFrame, groups: DataFrame, yards: DataFrame, clients: DataFrame
 ) -> DataFrame:
     """Confirmed and waiting reservations by group code, pickup yard and client city."""
-    df = (
-        reservations.where(F.col("estado").isin(C.CONFIRMED, "EM_FILA_ESPERA"))
-        .groupBy("grupo_id", "patio_retirada_id", "cliente_id")
-        .agg(F.count("*").alias("n"))
-    )
+    # A client has few reservations: counting pays only by city.
+    df = reservations.where(F.col("estado").isin(C.CONFIRMED, "EM_FILA_ESPERA"))
     df = lookup(df, clients, {"cliente_id": "id_cliente"}, {"cidade_origem": "cidade_origem"}, "inner")
+    df = df.groupBy("grupo_id", "patio_retirada_id", "cidade_origem").agg(F.count("*").alias("n"))
     df = lookup(df, groups, {"grupo_id": "id_grupo"}, {"codigo": "grupo"}, "inner")
     df = lookup(df, yards, {"patio_retirada_id": "id_patio"}, {"nome": "patio_retirada"}, "inner")
     return df.groupBy("grupo", "patio_retirada", "cidade_origem").agg(F.sum("n").alias("total"))
@@ -46,9 +44,10 @@ def open_reservations(
 
 def groups_by_city(rentals: DataFrame, clients: DataFrame, vehicles: DataFrame, groups: DataFrame) -> DataFrame:
     """All rentals by client city and group code, most first."""
-    df = rentals.groupBy("cliente_id", "veiculo_id").agg(F.count("*").alias("n"))
-    df = lookup(df, vehicles, {"veiculo_id": "id_veiculo"}, {"grupo_id": "grupo_id"}, "inner")
+    # Client and vehicle are nearly unique together: counting pays only by city and group.
+    df = lookup(rentals, vehicles, {"veiculo_id": "id_veiculo"}, {"grupo_id": "grupo_id"}, "inner")
     df = lookup(df, clients, {"cliente_id": "id_cliente"}, {"cidade_origem": "cidade_origem"}, "inner")
+    df = df.groupBy("cidade_origem", "grupo_id").agg(F.count("*").alias("n"))
     df = lookup(df, groups, {"grupo_id": "id_grupo"}, {"codigo": "grupo"}, "inner")
     return (
         df.groupBy("cidade_origem", "grupo")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardstar.schemas import conform_to, staging_schema
@@ -33,23 +33,25 @@ def expand_quantities(df: DataFrame, origins: str, destinations: str, quantities
     """One row per unit of three parallel arrays, numbered 1..n within its input row.
 
     Adds ``origem``, ``destino`` and ``numero``; the arrays are dropped, other
-    columns stay. The number is the sum of the quantities before plus the unit.
+    columns stay. The number is the sum of the quantities before, a running sum
+    over the row's elements, plus the unit. Quantities are opened in blocks,
+    which are dealt out before they become rows: one row with a very large
+    quantity is the work of several tasks.
     """
+    spark = df.sparkSession
     keep = [c for c in df.columns if c not in (origins, destinations, quantities)]
-    zipped = df.select(
-        *keep,
-        F.col(quantities).alias("__q"),
-        F.posexplode(F.arrays_zip(F.col(origins).alias("o"), F.col(destinations).alias("d"), F.col(quantities).alias("q"))).alias("__i", "__m"),
-    )
-    units_of = lambda q: F.greatest(F.coalesce(q, F.lit(0)), F.lit(0))
-    before = F.aggregate(F.slice("__q", 1, F.col("__i")), F.lit(0).cast("bigint"), lambda a, q: a + units_of(q))
-    # In two steps, so that a very large quantity is never one array.
+    moves = F.arrays_zip(F.col(origins).alias("o"), F.col(destinations).alias("d"), F.col(quantities).alias("q"))
+    moved = df.select(*keep, F.monotonically_increasing_id().alias("__row"), moves.alias("__moves"))
+    moved = moved.select(*keep, "__row", F.posexplode("__moves").alias("__i", "__m"))
     count, block = F.col("__m.q").cast("bigint"), F.col("__block")
+    earlier = Window.partitionBy("__row").orderBy("__i").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.greatest(F.coalesce(count, F.lit(0)), F.lit(0))).over(earlier), F.lit(0))
     blocks = F.when(count > 0, F.sequence(F.lit(1).cast("bigint"), count, F.lit(UNITS_AT_ONCE).cast("bigint")))
     units = F.sequence(block, F.least(block + (UNITS_AT_ONCE - 1), count))
     return (
-        zipped.withColumn("__before", before)
+        moved.withColumn("__before", before)
         .withColumn("__block", F.explode(blocks))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "__row", "__i", "__block")
         .withColumn("__unit", F.explode(units))
         .select(
             *keep,
@@ -61,7 +63,10 @@ def expand_quantities(df: DataFrame, origins: str, destinations: str, quantities
 
 
 def golden_staging(spark: SparkSession) -> dict[str, DataFrame]:
-    """Staging tables of G1 with one client, one vehicle and 60 rentals."""
+    """Staging tables of G1 with one client, one vehicle and 60 rentals.
+
+    Fixed values: yards, ids, dates and amounts, which the expected results depend on.
+    """
     yards = spark.createDataFrame(YARDS, "id_patio bigint, nome_localizacao string, capacidade_vagas int, empresa_dona string")
     one = spark.range(1)
 
@@ -77,11 +82,11 @@ def golden_staging(spark: SparkSession) -> dict[str, DataFrame]:
     vehicles = one.select(
         F.lit(101).alias("id_veiculo"),
         F.lit(1).alias("id_grupo"),
-        F.lit("KXP1234").alias("placa"),
-        F.lit("9BWZZZ99Z99999999").alias("chassi"),
-        F.lit("Volkswagen").alias("marca"),
-        F.lit("Gol").alias("modelo"),
-        F.lit("Branco").alias("cor"),
+        F.lit("YRD0A01").alias("placa"),
+        F.lit("YARDSTARGOLDEN001").alias("chassi"),
+        F.lit("Marca").alias("marca"),
+        F.lit("Modelo").alias("modelo"),
+        F.lit("Verde").alias("cor"),
         F.lit(True).alias("ar_condicionado"),
         F.lit("MANUAL").alias("mecanizacao"),
         F.lit("Disponível").alias("status_disponibilidade"),
@@ -89,9 +94,9 @@ def golden_staging(spark: SparkSession) -> dict[str, DataFrame]:
     clients = one.select(
         F.lit(501).alias("id_cliente"),
         F.lit("PF").alias("tipo_cliente"),
-        F.lit("Cliente Teste de Integração").alias("nome_razao_social"),
-        F.lit("12345678901").alias("cpf_cnpj"),
-        F.lit("NAO_INFORMADO").alias("endereco_completo"),
+        F.lit("Cliente um").alias("nome_razao_social"),
+        F.lit("00000000191").alias("cpf_cnpj"),
+        F.lit("Rua um, 1").alias("endereco_completo"),
     )
     arrays = one.select(
         *(F.array(*(F.lit(m[i]) for m in MOVES)).alias(n) for i, n in enumerate(("origens", "destinos", "quantidades")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,11 +44,18 @@ def jdbc_source(
     properties: Mapping[str, str] | None = None,
     schema: str | None = None,
     splits: Mapping[str, Split] | None = None,
+    small: Collection[str] = (),
 ) -> Source:
-    """Live database tables; a table with a ``Split`` is read by many executors at once."""
+    """Live database tables; a table with a ``Split`` is read by many executors at once.
+
+    Without one a single task would read it over a single connection, so it is
+    refused unless it is named in ``small``.
+    """
     splits = splits or {}
 
     def read(table: str) -> DataFrame:
+        if table not in splits and table not in small:
+            raise ValueError(f"no Split for table {table!r}: give one, or name it in small")
         name = f"{schema}.{table}" if schema else table
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
         reader = reader.options(**{"fetchsize": "10000", **dict(properties or {})})

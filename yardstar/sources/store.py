@@ -44,8 +44,14 @@ class Store:
         """A fresh version name; nothing reads it until it is published."""
         return f"v-{uuid.uuid4().hex}"
 
-    def publish(self, version: str, tables: Sequence[str]) -> None:
+    def publish(self, version: str, tables: Sequence[str], based_on: str | None = None) -> None:
+        """Make a version the newest one, if the one it started from still is.
+
+        Two loads at once would hand out the same keys: the later one stops.
+        """
         last = self._last()
+        if (last["version"] if last else None) != based_on:
+            raise RuntimeError(f"{version} was based on {based_on}, but another load has been published since")
         row = (
             version,
             (last["seq"] if last else 0) + 1,
