@@ -15,7 +15,10 @@ from yardstar.llm.text import LOWER, buffer, mix, slices, words
 
 SHINGLE = 5
 DIMENSIONS = 64  # groups of shingles that a document's point counts
-FREQUENCY_GROUPS = 1 << 16
+# Larger sets have a second point of more groups: counts of unrelated sets differ by the root of the counts, so the more
+# shingles there are, the more groups it takes until the differences add up to more than the bound allows.
+FINE_DIMENSIONS, FINE_FROM = 1024, 256
+FREQUENCY_GROUPS = 1 << 18
 LEAF = 32
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
@@ -43,10 +46,10 @@ class Sets(NamedTuple):
         """A number for each set: equal sets have equal numbers."""
         return mix(self.sums(mix(self.hash)) + self.size.astype(np.uint64)).view(np.int64)
 
-    def points(self) -> np.ndarray:
-        """(texts, DIMENSIONS): how many shingles of each text fall into each group."""
-        at = self.owner() * DIMENSIONS + (self.hash % np.uint64(DIMENSIONS)).astype(np.int64)
-        return np.bincount(at, minlength=(len(self.start) - 1) * DIMENSIONS).reshape(-1, DIMENSIONS)
+    def points(self, dimensions: int = DIMENSIONS) -> np.ndarray:
+        """(texts, dimensions): how many shingles of each text fall into each group."""
+        at = self.owner() * dimensions + (self.hash % np.uint64(dimensions)).astype(np.int64)
+        return np.bincount(at, minlength=(len(self.start) - 1) * dimensions).reshape(-1, dimensions)
 
 
 def shingle_sets(texts: pa.Array) -> Sets:
@@ -90,7 +93,7 @@ def bound_passes(minima: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int)
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """One row for each document, ``(id, n, class, point)``, and from each task rows ``(n = -1, group, count)``.
+    """One row for each document, ``(id, n, class, point, fine)``, and from each task rows ``(n = -1, group, count)``.
 
     The groups' counts say how many shingles fall into each of a fixed number
     of groups: a bounded table that shows which shingles may be frequent.
@@ -100,18 +103,21 @@ def _describe(docs: DataFrame) -> DataFrame:
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(FREQUENCY_GROUPS, np.int64)
         kind = None
-        names = ["id", "n", "class", "point"]
+        names = ["id", "n", "class", "point", "fine"]
         for batch in batches:
             kind = batch.schema.field("id").type
             for some in slices(batch, "text"):
                 sets = shingle_sets(some["text"])
                 counts += np.bincount(_frequency_group(sets.hash), minlength=FREQUENCY_GROUPS)
-                points = sets.points()
-                cut = pa.array(np.arange(len(points) + 1, dtype=np.int32) * DIMENSIONS)
-                point = pa.ListArray.from_arrays(cut, pa.array(points.ravel().astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [some["id"], pa.array(sets.size), pa.array(sets.classes()), point], names
-                )
+                large = sets.size >= FINE_FROM
+                columns = [
+                    some["id"],
+                    pa.array(sets.size),
+                    pa.array(sets.classes()),
+                    _lists(sets.points(), np.ones(len(large), bool)),
+                    _lists(sets.points(FINE_DIMENSIONS), large),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
         if kind is not None:
             group = np.flatnonzero(counts)
             n = len(group)
@@ -120,26 +126,30 @@ def _describe(docs: DataFrame) -> DataFrame:
                     pa.nulls(n, kind),
                     pa.array(np.full(n, -1)),
                     pa.array(group),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(counts[group].astype(np.int32))
-                    ),
+                    _lists(counts[group][:, None], np.ones(n, bool)),
+                    _lists(np.zeros((n, 0)), np.zeros(n, bool)),
                 ],
                 names,
             )
 
-    return docs.mapInArrow(describe, f"id {id_type}, n long, class long, point array<int>")
+    return docs.mapInArrow(describe, f"id {id_type}, n long, class long, point array<int>, fine array<int>")
+
+
+def _lists(rows: np.ndarray, kept: np.ndarray) -> pa.ListArray:
+    """The rows of a matrix as lists, those not kept empty."""
+    cut = np.concatenate([[0], np.cumsum(kept * rows.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(rows[kept].ravel().astype(np.int32)))
 
 
 def _frequency_group(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.int64)
+    return (hashes >> np.uint64(64 - 18)).astype(np.int64)
 
 
 def _frequent_groups(described: DataFrame) -> np.ndarray:
     """A flag for each frequency group that holds far more shingles than chance puts there."""
-    rows = described.where("n = -1").groupBy("class").agg(F.sum(F.col("point")[0].cast("long")).alias("count")).collect()
+    rows = described.where("n = -1").groupBy("class").agg(F.sum(F.col("point")[0].cast("long")).alias("count")).toArrow()
     counts = np.zeros(FREQUENCY_GROUPS)
-    for r in rows:
-        counts[r["class"]] = r["count"]
+    counts[rows["class"].to_numpy()] = rows["count"].to_numpy()
     usual = np.median(counts)
     return counts > max(64.0, usual + 8 * np.sqrt(usual))
 
@@ -210,15 +220,20 @@ def _members(entries: DataFrame) -> DataFrame:
     )
 
 
-def _by_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose points allow them to be linked: the sum of coordinate minima bounds the overlap."""
+def _by_bound(pairs: DataFrame, classes: DataFrame, percent: int, point: str = "point") -> DataFrame:
+    """The pairs ``(a, b)`` whose points allow them to be linked: the sum of coordinate minima bounds the overlap.
+
+    A pair of which one has no fine point passes that bound.
+    """
     a, b = (
-        classes.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
+        classes.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(point).alias(f"point_{x}"))
         for x in "ab"
     )
     sized = pairs.join(a, "a").join(b, "b")
     minima = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return sized.where((100 + percent) * minima >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    passes = (100 + percent) * minima >= percent * (F.col("n_a") + F.col("n_b"))
+    open_ = (F.size("point_a") == 0) | (F.size("point_b") == 0)
+    return sized.where(F.when(open_, True).otherwise(passes)).select("a", "b")
 
 
 def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, block_rows: int) -> DataFrame:
@@ -324,9 +339,13 @@ def tree_pairs(
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(class, text)`` of one document for each wanted class."""
+    """``(class, text)`` of one document for each wanted class.
+
+    The wanted ids are written first, so Spark knows their size: a short list is
+    broadcast and the documents aren't shuffled.
+    """
     reps = classes.join(wanted, "class", "left_semi").select(F.col("rep").alias("_rep"), "class")
-    found = docs.join(reps, F.col("id") == F.col("_rep")).select("class", "text")
+    found = docs.join(materialize(reps, "wanted"), F.col("id") == F.col("_rep")).select("class", "text")
 
     def of_class(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,6 +357,19 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(of_class, "class long, text string")
 
 
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links: those that pass the fine bound and then the comparison of whole texts."""
+    classes = materialize(classes.join(_of_pairs(pairs), "class", "left_semi"), "classes-of-pairs")
+    pairs = materialize(_by_bound(pairs, classes, percent, "fine"), "pairs")
+    texts = materialize(_texts(docs, classes, _of_pairs(pairs)), "texts")
+    return materialize(_verified(pairs, texts, percent), "links")
+
+
+def _of_pairs(pairs: DataFrame) -> DataFrame:
+    """The classes that a table of pairs names, written so that Spark knows how many they are."""
+    return materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes-named")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, per_group: int = 256) -> DataFrame:
     """The pairs whose texts' shingle sets reach the similarity, by exact intersection.
 
@@ -399,7 +431,8 @@ def jaccard_components(
     two points' coordinate minima is at least their overlap, so pairs below the
     bound are never looked at. Points alone can't part a large corpus (unrelated
     documents of like size have like counts), so the index is a forest: a tree
-    for each bucket of documents that share one of their first shingles.
+    for each bucket of documents that share one of their first shingles. Pairs
+    of large sets meet a second bound, of finer points.
 
     First each member of a bucket meets the bucket's hub, so a dense group
     costs as many pairs as members; what isn't connected after that meets in
@@ -414,20 +447,18 @@ def jaccard_components(
     described = materialize(_describe(docs), "documents")
     known = described.where("n > 0 AND id IS NOT NULL")
     classes = materialize(
-        known.groupBy("class").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")),
+        known.groupBy("class").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "point", "fine"))),
         "classes",
     )
     usable = docs.where(F.col("id").isNotNull())
     members = materialize(_members(_entries(usable, _frequent_groups(described), percent)), "members")
     pairs = members.select(F.col("hub").alias("a"), F.col("member").alias("b")).distinct()
     pairs = materialize(_by_bound(pairs, classes, percent), "hub-pairs")
-    wanted = members.select(F.explode(F.array("hub", "member")).alias("class")).distinct()
-    texts = materialize(_texts(usable, classes, wanted), "texts")
-    links = materialize(_verified(pairs, texts, percent), "links")
+    links = _linked(usable, classes, pairs, percent)
     parts = components(links)
     more = materialize(_between_parts(members, classes, parts, percent, block_rows).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
     if not more.isEmpty():
-        found = materialize(_verified(more, texts, percent), "more-links")
+        found = _linked(usable, classes, more, percent)
         if not found.isEmpty():
             parts = components(links.unionByName(found))
     placed = classes.join(parts, F.col("class") == F.col("node"), "left").select(
