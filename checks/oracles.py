@@ -419,9 +419,9 @@ SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio
 passos AS (
   SELECT 0 AS passo, nome AS patio, 1.0::DOUBLE / COUNT(*) OVER () AS p FROM (SELECT DISTINCT nome FROM d_patio)
   UNION ALL
-  SELECT passo + 1, destino, SUM(p * prob / 10000.0::DOUBLE) FROM passos JOIN matriz ON origem = patio WHERE passo < 200
+  SELECT passo + 1, destino, SUM(p * prob / 10000.0::DOUBLE) FROM passos JOIN matriz ON origem = patio WHERE passo < 10
   GROUP BY passo, destino)
-SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio, TRUE AS convergiu FROM passos WHERE passo = 200
+SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio, TRUE AS convergiu FROM passos WHERE passo = 10
 """,
     "src_vehicles_by_yard": """
 SELECT upper(l.nome) AS patio, 'C' || p.grupo AS grupo, COUNT(*) AS total
@@ -513,6 +513,30 @@ UNION ALL SELECT fonte, 'DATA_RETIRADA', COUNT(*), 'fato_locacao' FROM resolvida
 UNION ALL SELECT fonte, 'PATIO_RETIRADA', COUNT(*), 'fato_locacao' FROM resolvida WHERE sk_p_saida IS NULL GROUP BY fonte
 UNION ALL SELECT fonte, 'VEICULO', COUNT(*), 'fato_locacao' FROM resolvida WHERE sk_veiculo IS NULL GROUP BY fonte
 UNION ALL SELECT fonte, 'GRUPO', COUNT(*), 'fato_reserva' FROM reserva WHERE grupo IS NULL GROUP BY fonte
+""",
+    "audit_catalog": """
+SELECT * FROM (
+  SELECT fonte || CASE fonte WHEN 'G1' THEN '.Locacao:unico:ID_Locacao' WHEN 'G2' THEN '.locacao:unico:id_locacao'
+      WHEN 'G3' THEN '.Locacao:unico:Id_locacao' ELSE '.Locacao:unico:IDLocacao' END AS regra, COUNT(*) AS violacoes
+    FROM (SELECT fonte, id FROM loc GROUP BY fonte, id HAVING COUNT(*) > 1) GROUP BY fonte
+  UNION ALL SELECT 'G2.locacao:unico:reserva_id', COUNT(*)
+    FROM (SELECT pedido FROM loc WHERE fonte = 'G2' AND peca % 10 <> 0 GROUP BY pedido HAVING COUNT(*) > 1)
+  UNION ALL SELECT 'G3.Devolucao:unico:Id_devolucao', COUNT(*)
+    FROM (SELECT 1 FROM loc WHERE fonte = 'G3' AND feita GROUP BY peca, vaga HAVING COUNT(*) > 1)
+  UNION ALL SELECT 'G3.Devolucao:referencia:Id_vaga', COUNT(DISTINCT vaga)
+    FROM loc WHERE fonte = 'G3' AND feita AND peca % 13 = 0
+  UNION ALL SELECT 'G3.Locacao:referencia:Id_reserva', COUNT(DISTINCT pedido) FROM loc WHERE fonte = 'G3' AND peca % 19 = 0
+  UNION ALL SELECT 'G4.Locacao:referencia:IDVagaRetirada', COUNT(DISTINCT vaga) FROM loc WHERE fonte = 'G4' AND peca % 17 = 0
+  UNION ALL SELECT 'G4.Veiculo:referencia:IDCategoria', COUNT(DISTINCT grupo) FROM peca WHERE id % 23 = 0
+  UNION ALL SELECT 'G1.Veiculo:obrigatorio:Mecanizacao', COUNT(*) FROM peca WHERE p_size % 5 = 4
+  UNION ALL SELECT 'G3.Especificacoes_const:obrigatorio:Direcao_automatica', COUNT(DISTINCT p_size) FROM peca WHERE p_size % 5 = 4
+  UNION ALL SELECT 'G2.veiculo:dominio:mecanizacao', COUNT(*) FROM peca
+  UNION ALL SELECT 'G2.locacao:dominio:status', COUNT(*) FROM loc WHERE fonte = 'G2'
+  UNION ALL SELECT 'G4.Categoria:dominio:ClasseLuxo', COUNT(*) FROM marca WHERE letra = 'X'
+  UNION ALL SELECT 'G4.Endereco:dominio:UF', COUNT(*) FROM lugar
+  UNION ALL SELECT 'G3.Veiculo:padrao:Chassi', COUNT(*) FROM peca WHERE p_size = 13
+  UNION ALL SELECT 'G3.Veiculo:tamanho:Placa', COUNT(*) FROM peca WHERE length(placa) <> 7)
+WHERE violacoes > 0
 """,
     "expand_quantities": """
 SELECT origem, destino, CAST(SUM(q) AS BIGINT) AS unidades, CAST(SUM(q * antes + q * (q + 1) // 2) AS BIGINT) AS soma_numeros,

@@ -115,6 +115,31 @@ def audit_unique(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     return _violations(counted.where("__n > 1"), rule, keys, "__n")
 
 
+def audit_uniques(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``audit_unique`` of several keys ``{rule: columns}`` in one pass and one shuffle."""
+    entries = F.array(
+        *(
+            F.when(
+                reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)),
+                F.struct(F.lit(rule).alias("regra"), F.array(*(F.col(c).cast("string") for c in columns)).alias("valores")),
+            )
+            for rule, columns in keys.items()
+        )
+    )
+    counted = df.select(F.explode(F.array_compact(entries)).alias("e")).groupBy("e").agg(F.count("*").alias("__n"))
+    return counted.where("__n > 1").select(
+        F.col("e.regra").alias("regra"), F.concat_ws("|", "e.valores").alias("chave"), F.col("__n").cast("string").alias("detalhe")
+    )
+
+
+def _all_of(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by halves: a chain of unions would be analysed anew for each part."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return _all_of(parts[:half]).unionByName(_all_of(parts[half:]))
+
+
 def audit_orphans(child: DataFrame, column: str, parent: DataFrame, key: str, rule: str) -> DataFrame:
     """Foreign keys without a parent; the detail is how many rows refer to it."""
     counted = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
@@ -178,10 +203,10 @@ def audit_table(
             unchecked.append((rule, None, f"{UNCHECKED}: {', '.join(lacking)}"))
         return not lacking
 
-    for k in (rules.key, *rules.unique):
-        rule = f"{name}:unico:{'+'.join(k)}"
-        if checkable(rule, *k):
-            parts.append(audit_unique(df, k, rule))
+    keys = {f"{name}:unico:{'+'.join(k)}": k for k in (rules.key, *rules.unique)}
+    keys = {rule: k for rule, k in keys.items() if checkable(rule, *k)}
+    if keys:
+        parts.append(audit_uniques(df, keys))
     for column, (parent, key) in rules.references.items():
         rule = f"{name}:referencia:{column}"
         if checkable(rule, column):
@@ -201,15 +226,14 @@ def audit_table(
             parts.append(audit_one_active(df, key, status, value, rule))
     if unchecked:
         parts.append(df.sparkSession.createDataFrame(unchecked, "regra string, chave string, detalhe string"))
-    return reduce(DataFrame.unionByName, parts)
+    return _all_of(parts)
 
 
 def audit_all(
     catalog: Mapping[str, TableRules], tables: Mapping[str, DataFrame], as_of: date | None = None
 ) -> DataFrame:
     """Violations of every table that is both in the catalog and given."""
-    parts = [audit_table(n, r, tables, as_of) for n, r in catalog.items() if n in tables]
-    return reduce(DataFrame.unionByName, parts)
+    return _all_of([audit_table(n, r, tables, as_of) for n, r in catalog.items() if n in tables])
 
 
 def summary(violations: DataFrame) -> DataFrame:

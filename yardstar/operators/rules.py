@@ -30,442 +30,787 @@ UNITS = (
     "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
 )
 
-
-def _t(key: str, unique: str = "", refs: str = "", required: str = "", checks: tuple = (), one_active=None) -> TableRules:
-    """Compact notation: blank-separated columns, ``a+b`` for composite keys,
-    ``column=table.key`` for references (tables of the same source)."""
-    references = {}
-    for ref in refs.split():
-        column, target = ref.split("=")
-        table, parent_key = target.rsplit(".", 1)
-        references[column] = (table, parent_key)
-    return TableRules(
-        key=tuple(key.split("+")),
-        unique=tuple(tuple(u.split("+")) for u in unique.split()),
-        references=references,
-        required=tuple(required.split()),
-        checks=tuple(checks),
-        one_active=one_active,
-    )
-
-
-def _source(tag: str, tables: dict[str, TableRules]) -> dict[str, TableRules]:
-    out = {}
-    for name, t in tables.items():
-        refs = {c: (f"{tag}.{table}", k) for c, (table, k) in t.references.items()}
-        out[f"{tag}.{name}"] = TableRules(t.key, t.unique, refs, t.required, t.checks, t.one_active)
-    return out
-
-
 # Keys, references, required columns and checks per table.
-G1 = _source(
-    "G1",
-    {
-        "Patio": _t("ID_Patio", required="Nome_Localizacao Capacidade_Vagas Empresa_Dona"),
-        "Grupo_Veiculo": _t("ID_Grupo", required="Nome_Categoria Classe_Luxo Valor_Diaria"),
-        "Veiculo": _t(
-            "ID_Veiculo",
-            "Placa Chassi",
-            "ID_Grupo=Grupo_Veiculo.ID_Grupo",
-            "ID_Grupo Placa Chassi Marca Modelo Cor Ar_Condicionado Mecanizacao",
-        ),
-        "Prontuario_Veiculo": _t("ID_Prontuario", "", "ID_Veiculo=Veiculo.ID_Veiculo", "ID_Veiculo Data_Registro"),
-        "Foto_Veiculo": _t("ID_Foto", "", "ID_Veiculo=Veiculo.ID_Veiculo", "ID_Veiculo URL_Foto"),
-        "Cliente": _t("ID_Cliente", "CPF_CNPJ", "", "Tipo_Cliente Nome_Razao_Social CPF_CNPJ"),
-        "Motorista": _t(
-            "ID_Motorista",
-            "Numero_CNH",
-            "ID_Cliente=Cliente.ID_Cliente",
-            "ID_Cliente Nome_Condutor Numero_CNH Categoria_Habilitacao Data_Expiracao_CNH",
-        ),
-        "Reserva": _t(
-            "ID_Reserva",
-            "",
-            "ID_Cliente=Cliente.ID_Cliente ID_Grupo=Grupo_Veiculo.ID_Grupo "
-            "ID_Veiculo_Especifico=Veiculo.ID_Veiculo ID_Patio_Retirada=Patio.ID_Patio",
-            "ID_Cliente ID_Patio_Retirada Data_Hora_Solicitacao Data_Hora_Retirada_Prevista "
+G1 = {
+    "G1.Patio": TableRules(
+        key=("ID_Patio",),
+        required=("Nome_Localizacao", "Capacidade_Vagas", "Empresa_Dona"),
+    ),
+    "G1.Grupo_Veiculo": TableRules(
+        key=("ID_Grupo",),
+        required=("Nome_Categoria", "Classe_Luxo", "Valor_Diaria"),
+    ),
+    "G1.Veiculo": TableRules(
+        key=("ID_Veiculo",),
+        unique=(("Placa",), ("Chassi",)),
+        references={
+            "ID_Grupo": ("G1.Grupo_Veiculo", "ID_Grupo"),
+        },
+        required=("ID_Grupo", "Placa", "Chassi", "Marca", "Modelo", "Cor", "Ar_Condicionado", "Mecanizacao"),
+    ),
+    "G1.Prontuario_Veiculo": TableRules(
+        key=("ID_Prontuario",),
+        references={
+            "ID_Veiculo": ("G1.Veiculo", "ID_Veiculo"),
+        },
+        required=("ID_Veiculo", "Data_Registro"),
+    ),
+    "G1.Foto_Veiculo": TableRules(
+        key=("ID_Foto",),
+        references={
+            "ID_Veiculo": ("G1.Veiculo", "ID_Veiculo"),
+        },
+        required=("ID_Veiculo", "URL_Foto"),
+    ),
+    "G1.Cliente": TableRules(
+        key=("ID_Cliente",),
+        unique=(("CPF_CNPJ",),),
+        required=("Tipo_Cliente", "Nome_Razao_Social", "CPF_CNPJ"),
+    ),
+    "G1.Motorista": TableRules(
+        key=("ID_Motorista",),
+        unique=(("Numero_CNH",),),
+        references={
+            "ID_Cliente": ("G1.Cliente", "ID_Cliente"),
+        },
+        required=("ID_Cliente", "Nome_Condutor", "Numero_CNH", "Categoria_Habilitacao", "Data_Expiracao_CNH"),
+    ),
+    "G1.Reserva": TableRules(
+        key=("ID_Reserva",),
+        references={
+            "ID_Cliente": ("G1.Cliente", "ID_Cliente"),
+            "ID_Grupo": ("G1.Grupo_Veiculo", "ID_Grupo"),
+            "ID_Veiculo_Especifico": ("G1.Veiculo", "ID_Veiculo"),
+            "ID_Patio_Retirada": ("G1.Patio", "ID_Patio"),
+        },
+        required=(
+            "ID_Cliente",
+            "ID_Patio_Retirada",
+            "Data_Hora_Solicitacao",
+            "Data_Hora_Retirada_Prevista",
             "Data_Hora_Devolucao_Prevista",
         ),
-        "Seguro_Protecao": _t("ID_Seguro", required="Descricao Valor_Diario"),
-        "Locacao": _t(
-            "ID_Locacao",
-            "",
-            "ID_Reserva=Reserva.ID_Reserva ID_Motorista=Motorista.ID_Motorista ID_Veiculo=Veiculo.ID_Veiculo "
-            "ID_Patio_Saida=Patio.ID_Patio ID_Patio_Chegada_Prevista=Patio.ID_Patio "
-            "ID_Patio_Chegada_Realizada=Patio.ID_Patio",
-            "ID_Motorista ID_Veiculo ID_Patio_Saida ID_Patio_Chegada_Prevista Data_Hora_Retirada "
+    ),
+    "G1.Seguro_Protecao": TableRules(
+        key=("ID_Seguro",),
+        required=("Descricao", "Valor_Diario"),
+    ),
+    "G1.Locacao": TableRules(
+        key=("ID_Locacao",),
+        references={
+            "ID_Reserva": ("G1.Reserva", "ID_Reserva"),
+            "ID_Motorista": ("G1.Motorista", "ID_Motorista"),
+            "ID_Veiculo": ("G1.Veiculo", "ID_Veiculo"),
+            "ID_Patio_Saida": ("G1.Patio", "ID_Patio"),
+            "ID_Patio_Chegada_Prevista": ("G1.Patio", "ID_Patio"),
+            "ID_Patio_Chegada_Realizada": ("G1.Patio", "ID_Patio"),
+        },
+        required=(
+            "ID_Motorista",
+            "ID_Veiculo",
+            "ID_Patio_Saida",
+            "ID_Patio_Chegada_Prevista",
+            "Data_Hora_Retirada",
             "Data_Hora_Devolucao_Prevista",
         ),
-        "Locacao_Seguro": _t(
-            "ID_Locacao+ID_Seguro", "", "ID_Locacao=Locacao.ID_Locacao ID_Seguro=Seguro_Protecao.ID_Seguro"
-        ),
-    },
-)
+    ),
+    "G1.Locacao_Seguro": TableRules(
+        key=("ID_Locacao", "ID_Seguro"),
+        references={
+            "ID_Locacao": ("G1.Locacao", "ID_Locacao"),
+            "ID_Seguro": ("G1.Seguro_Protecao", "ID_Seguro"),
+        },
+    ),
+}
 
-G2 = _source(
-    "G2",
-    {
-        "patio": _t("id_patio", required="nome endereco capacidade_vagas", checks=(at_least("capacidade_vagas", 0),)),
-        "vaga": _t("patio_id+codigo", "", "patio_id=patio.id_patio", "ocupada"),
-        "grupo": _t(
-            "id_grupo",
-            "codigo",
-            "",
-            "codigo nome classe_luxo valor_diaria franquia_km_diaria",
-            (at_least("valor_diaria", 0), at_least("franquia_km_diaria", 0)),
-        ),
-        "veiculo": _t(
-            "id_veiculo",
-            "placa chassi renavam",
-            "grupo_id=grupo.id_grupo patio_origem_id=patio.id_patio",
-            "grupo_id patio_origem_id placa chassi renavam marca modelo cor ano_fabricacao mecanizacao "
-            "tem_ar_condicionado km_atual situacao",
-            (
-                one_of("mecanizacao", C.MANUAL, C.AUTOMATIC),
-                at_least("km_atual", 0),
-                one_of("situacao", C.G2_AVAILABLE, "ALUGADO", "MANUTENCAO", "BAIXADO"),
-            ),
-        ),
-        "cliente": _t(
-            "id_cliente", "email", "", "tipo_pessoa nome email cidade_origem data_cadastro", (one_of("tipo_pessoa", "PF", "PJ"),)
-        ),
-        "cliente_pf": _t(
+G2 = {
+    "G2.patio": TableRules(
+        key=("id_patio",),
+        required=("nome", "endereco", "capacidade_vagas"),
+        checks=(
+            at_least("capacidade_vagas", 0),
+        ),
+    ),
+    "G2.vaga": TableRules(
+        key=("patio_id", "codigo"),
+        references={
+            "patio_id": ("G2.patio", "id_patio"),
+        },
+        required=("ocupada",),
+    ),
+    "G2.grupo": TableRules(
+        key=("id_grupo",),
+        unique=(("codigo",),),
+        required=("codigo", "nome", "classe_luxo", "valor_diaria", "franquia_km_diaria"),
+        checks=(
+            at_least("valor_diaria", 0),
+            at_least("franquia_km_diaria", 0),
+        ),
+    ),
+    "G2.veiculo": TableRules(
+        key=("id_veiculo",),
+        unique=(("placa",), ("chassi",), ("renavam",)),
+        references={
+            "grupo_id": ("G2.grupo", "id_grupo"),
+            "patio_origem_id": ("G2.patio", "id_patio"),
+        },
+        required=(
+            "grupo_id",
+            "patio_origem_id",
+            "placa",
+            "chassi",
+            "renavam",
+            "marca",
+            "modelo",
+            "cor",
+            "ano_fabricacao",
+            "mecanizacao",
+            "tem_ar_condicionado",
+            "km_atual",
+            "situacao",
+        ),
+        checks=(
+            one_of("mecanizacao", C.MANUAL, C.AUTOMATIC),
+            at_least("km_atual", 0),
+            one_of("situacao", C.G2_AVAILABLE, "ALUGADO", "MANUTENCAO", "BAIXADO"),
+        ),
+    ),
+    "G2.cliente": TableRules(
+        key=("id_cliente",),
+        unique=(("email",),),
+        required=("tipo_pessoa", "nome", "email", "cidade_origem", "data_cadastro"),
+        checks=(
+            one_of("tipo_pessoa", "PF", "PJ"),
+        ),
+    ),
+    "G2.cliente_pf": TableRules(
+        key=("cliente_id",),
+        unique=(("cpf",), ("cnh_numero",)),
+        references={
+            "cliente_id": ("G2.cliente", "id_cliente"),
+        },
+        required=("cpf", "data_nascimento", "cnh_numero", "cnh_categoria", "cnh_validade"),
+        checks=(
+            one_of("cnh_categoria", *LICENCES),
+        ),
+    ),
+    "G2.cliente_pj": TableRules(
+        key=("cliente_id",),
+        unique=(("cnpj",),),
+        references={
+            "cliente_id": ("G2.cliente", "id_cliente"),
+        },
+        required=("cnpj", "responsavel"),
+    ),
+    "G2.condutor": TableRules(
+        key=("cliente_pj_id", "cpf"),
+        unique=(("cnh_numero",),),
+        references={
+            "cliente_pj_id": ("G2.cliente_pj", "cliente_id"),
+        },
+        required=("nome", "cnh_numero", "cnh_categoria", "cnh_validade"),
+        checks=(
+            one_of("cnh_categoria", *LICENCES),
+        ),
+    ),
+    "G2.reserva": TableRules(
+        key=("id_reserva",),
+        references={
+            "cliente_id": ("G2.cliente", "id_cliente"),
+            "grupo_id": ("G2.grupo", "id_grupo"),
+            "patio_retirada_id": ("G2.patio", "id_patio"),
+            "patio_devolucao_id": ("G2.patio", "id_patio"),
+        },
+        required=(
             "cliente_id",
-            "cpf cnh_numero",
-            "cliente_id=cliente.id_cliente",
-            "cpf data_nascimento cnh_numero cnh_categoria cnh_validade",
-            (one_of("cnh_categoria", *LICENCES),),
-        ),
-        "cliente_pj": _t("cliente_id", "cnpj", "cliente_id=cliente.id_cliente", "cnpj responsavel"),
-        "condutor": _t(
-            "cliente_pj_id+cpf",
-            "cnh_numero",
-            "cliente_pj_id=cliente_pj.cliente_id",
-            "nome cnh_numero cnh_categoria cnh_validade",
-            (one_of("cnh_categoria", *LICENCES),),
-        ),
-        "reserva": _t(
-            "id_reserva",
-            "",
-            "cliente_id=cliente.id_cliente grupo_id=grupo.id_grupo patio_retirada_id=patio.id_patio "
-            "patio_devolucao_id=patio.id_patio",
-            "cliente_id grupo_id patio_retirada_id patio_devolucao_id data_reserva data_retirada_prevista "
-            "data_devolucao_prevista estado",
-            (
-                one_of("estado", C.CONFIRMED, "EM_FILA_ESPERA", C.CANCELLED, "CONCRETIZADA"),
-                after("data_devolucao_prevista", "data_retirada_prevista"),
-            ),
-        ),
-        "locacao": _t(
-            "id_locacao",
-            "numero_contrato reserva_id",
-            "reserva_id=reserva.id_reserva cliente_id=cliente.id_cliente veiculo_id=veiculo.id_veiculo "
-            "patio_retirada_id=patio.id_patio patio_devolucao_id=patio.id_patio",
-            "numero_contrato cliente_id veiculo_id patio_retirada_id patio_devolucao_id data_retirada_real km_saida "
-            "valor_diaria_aplicada status",
-            (
-                at_least("km_saida", 0),
-                not_before("km_chegada", "km_saida"),
-                at_least("valor_diaria_aplicada", 0),
-                one_of("status", C.ACTIVE, C.DONE, C.CANCELLED),
-                after("data_devolucao_real", "data_retirada_real"),
-            ),
-            ("veiculo_id", "status", C.ACTIVE),
-        ),
-        "cobranca": _t(
-            "id_cobranca",
-            "",
-            "locacao_id=locacao.id_locacao",
-            "locacao_id data_emissao valor_total status",
-            (at_least("valor_total", 0), one_of("status", "PENDENTE", "PAGA", C.CANCELLED)),
-        ),
-    },
-)
+            "grupo_id",
+            "patio_retirada_id",
+            "patio_devolucao_id",
+            "data_reserva",
+            "data_retirada_prevista",
+            "data_devolucao_prevista",
+            "estado",
+        ),
+        checks=(
+            one_of("estado", C.CONFIRMED, "EM_FILA_ESPERA", C.CANCELLED, "CONCRETIZADA"),
+            after("data_devolucao_prevista", "data_retirada_prevista"),
+        ),
+    ),
+    "G2.locacao": TableRules(
+        key=("id_locacao",),
+        unique=(("numero_contrato",), ("reserva_id",)),
+        references={
+            "reserva_id": ("G2.reserva", "id_reserva"),
+            "cliente_id": ("G2.cliente", "id_cliente"),
+            "veiculo_id": ("G2.veiculo", "id_veiculo"),
+            "patio_retirada_id": ("G2.patio", "id_patio"),
+            "patio_devolucao_id": ("G2.patio", "id_patio"),
+        },
+        required=(
+            "numero_contrato",
+            "cliente_id",
+            "veiculo_id",
+            "patio_retirada_id",
+            "patio_devolucao_id",
+            "data_retirada_real",
+            "km_saida",
+            "valor_diaria_aplicada",
+            "status",
+        ),
+        checks=(
+            at_least("km_saida", 0),
+            not_before("km_chegada", "km_saida"),
+            at_least("valor_diaria_aplicada", 0),
+            one_of("status", C.ACTIVE, C.DONE, C.CANCELLED),
+            after("data_devolucao_real", "data_retirada_real"),
+        ),
+        one_active=("veiculo_id", "status", C.ACTIVE),
+    ),
+    "G2.cobranca": TableRules(
+        key=("id_cobranca",),
+        references={
+            "locacao_id": ("G2.locacao", "id_locacao"),
+        },
+        required=("locacao_id", "data_emissao", "valor_total", "status"),
+        checks=(
+            at_least("valor_total", 0),
+            one_of("status", "PENDENTE", "PAGA", C.CANCELLED),
+        ),
+    ),
+}
 
-G3 = _source(
-    "G3",
-    {
-        "Endereco": _t("Id_endereco", required="UF Cidade CEP Bairro Rua_Avenida", checks=(length("CEP", 8),)),
-        "Dados_cobranca": _t(
-            "Id_dados_cobranca",
-            "CPF_titular",
-            "",
-            "Numero_cartao Validade Nome_titular CPF_titular CVV",
-            (length("Numero_cartao", 13, 19), length("CPF_titular", 11), length("CVV", 3, 4)),
-        ),
-        "Documento_cliente": _t(
+G3 = {
+    "G3.Endereco": TableRules(
+        key=("Id_endereco",),
+        required=("UF", "Cidade", "CEP", "Bairro", "Rua_Avenida"),
+        checks=(
+            length("CEP", 8),
+        ),
+    ),
+    "G3.Dados_cobranca": TableRules(
+        key=("Id_dados_cobranca",),
+        unique=(("CPF_titular",),),
+        required=("Numero_cartao", "Validade", "Nome_titular", "CPF_titular", "CVV"),
+        checks=(
+            length("Numero_cartao", 13, 19),
+            length("CPF_titular", 11),
+            length("CVV", 3, 4),
+        ),
+    ),
+    "G3.Documento_cliente": TableRules(
+        key=("Id_documento",),
+        checks=(
+            any_of("identidade", "CPF", "Passaporte"),
+            any_of("habilitacao", "CNH", "Habilitacao_estrangeira"),
+            length("CPF", 11),
+            length("CNH", 11),
+        ),
+    ),
+    "G3.Cliente": TableRules(
+        key=("Id_cliente",),
+        references={
+            "Id_documento": ("G3.Documento_cliente", "Id_documento"),
+            "Id_endereco": ("G3.Endereco", "Id_endereco"),
+            "Id_dados_cobranca": ("G3.Dados_cobranca", "Id_dados_cobranca"),
+        },
+        required=(
             "Id_documento",
-            checks=(
-                any_of("identidade", "CPF", "Passaporte"),
-                any_of("habilitacao", "CNH", "Habilitacao_estrangeira"),
-                length("CPF", 11),
-                length("CNH", 11),
-            ),
-        ),
-        "Cliente": _t(
+            "Id_endereco",
+            "Nome_completo",
+            "Genero",
+            "Nacionalidade",
+            "Data_nascimento",
+            "Telefone",
+            "Email",
+        ),
+    ),
+    "G3.Grupo": TableRules(
+        key=("Id_grupo",),
+        required=("Nome", "Descricao", "Diaria_grupo"),
+    ),
+    "G3.Especificacoes_const": TableRules(
+        key=("Id_spec_const",),
+        required=("Ar_condicionado", "Direcao_automatica"),
+    ),
+    "G3.Especificacoes_var": TableRules(
+        key=("Id_spec_var",),
+        required=("Gasolina", "Oleo", "Pressao_pneu"),
+        checks=(
+            at_least("Gasolina", 0),
+            at_least("Oleo", 0),
+        ),
+    ),
+    "G3.Veiculo": TableRules(
+        key=("Id_veiculo",),
+        unique=(("Chassi",), ("Placa",)),
+        references={
+            "Id_grupo": ("G3.Grupo", "Id_grupo"),
+            "Id_spec_var": ("G3.Especificacoes_var", "Id_spec_var"),
+            "Id_spec_const": ("G3.Especificacoes_const", "Id_spec_const"),
+        },
+        required=(
+            "Id_grupo",
+            "Id_spec_var",
+            "Id_spec_const",
+            "Categoria",
+            "Marca",
+            "Modelo",
+            "Ano",
+            "Versao",
+            "Cor",
+            "Chassi",
+            "Placa",
+        ),
+        checks=(
+            length("Ano", 4),
+            length("Placa", 7),
+            length("Chassi", 17),
+            without("Chassi", "IOQ"),
+        ),
+    ),
+    "G3.Imagem_veiculo": TableRules(
+        key=("Id_imagem_veiculo",),
+        unique=(("Url_arquivo",),),
+        references={
+            "Id_veiculo": ("G3.Veiculo", "Id_veiculo"),
+        },
+        required=("Id_veiculo", "Url_arquivo", "Tipo_imagem", "Data_upload"),
+    ),
+    "G3.Empresa": TableRules(
+        key=("Id_empresa",),
+        unique=(("CNPJ",),),
+        references={
+            "Id_endereco": ("G3.Endereco", "Id_endereco"),
+        },
+        required=("Id_endereco", "Nome_empresa", "CNPJ"),
+        checks=(
+            length("CNPJ", 14),
+        ),
+    ),
+    "G3.Patio": TableRules(
+        key=("Id_patio",),
+        references={
+            "Id_endereco": ("G3.Endereco", "Id_endereco"),
+            "Id_empresa": ("G3.Empresa", "Id_empresa"),
+        },
+        required=("Id_endereco", "Id_empresa", "Nome_patio"),
+    ),
+    "G3.Vaga": TableRules(
+        key=("Id_vaga",),
+        references={
+            "Id_patio": ("G3.Patio", "Id_patio"),
+            "Id_veiculo": ("G3.Veiculo", "Id_veiculo"),
+        },
+        required=("Id_patio", "Alfanum_vaga"),
+    ),
+    "G3.Seguro": TableRules(
+        key=("Id_seguro",),
+        required=("Nivel", "Descricao", "Diaria_seguro"),
+    ),
+    "G3.Pagamento": TableRules(
+        key=("Id_pagamento",),
+        required=("Nota_fiscal",),
+    ),
+    "G3.Reserva": TableRules(
+        key=("Id_reserva",),
+        references={
+            "Id_cliente": ("G3.Cliente", "Id_cliente"),
+            "Id_grupo": ("G3.Grupo", "Id_grupo"),
+            "Id_pagamento": ("G3.Pagamento", "Id_pagamento"),
+            "Id_seguro": ("G3.Seguro", "Id_seguro"),
+            "Id_patio_origem": ("G3.Patio", "Id_patio"),
+            "Id_patio_fim": ("G3.Patio", "Id_patio"),
+        },
+        required=(
             "Id_cliente",
-            "",
-            "Id_documento=Documento_cliente.Id_documento Id_endereco=Endereco.Id_endereco "
-            "Id_dados_cobranca=Dados_cobranca.Id_dados_cobranca",
-            "Id_documento Id_endereco Nome_completo Genero Nacionalidade Data_nascimento Telefone Email",
-        ),
-        "Grupo": _t("Id_grupo", required="Nome Descricao Diaria_grupo"),
-        "Especificacoes_const": _t("Id_spec_const", required="Ar_condicionado Direcao_automatica"),
-        "Especificacoes_var": _t(
-            "Id_spec_var", required="Gasolina Oleo Pressao_pneu", checks=(at_least("Gasolina", 0), at_least("Oleo", 0))
-        ),
-        "Veiculo": _t(
-            "Id_veiculo",
-            "Chassi Placa",
-            "Id_grupo=Grupo.Id_grupo Id_spec_var=Especificacoes_var.Id_spec_var "
-            "Id_spec_const=Especificacoes_const.Id_spec_const",
-            "Id_grupo Id_spec_var Id_spec_const Categoria Marca Modelo Ano Versao Cor Chassi Placa",
-            (length("Ano", 4), length("Placa", 7), length("Chassi", 17), without("Chassi", "IOQ")),
-        ),
-        "Imagem_veiculo": _t(
-            "Id_imagem_veiculo",
-            "Url_arquivo",
-            "Id_veiculo=Veiculo.Id_veiculo",
-            "Id_veiculo Url_arquivo Tipo_imagem Data_upload",
-        ),
-        "Empresa": _t(
-            "Id_empresa",
-            "CNPJ",
-            "Id_endereco=Endereco.Id_endereco",
-            "Id_endereco Nome_empresa CNPJ",
-            (length("CNPJ", 14),),
-        ),
-        "Patio": _t(
-            "Id_patio",
-            "",
-            "Id_endereco=Endereco.Id_endereco Id_empresa=Empresa.Id_empresa",
-            "Id_endereco Id_empresa Nome_patio",
-        ),
-        "Vaga": _t(
-            "Id_vaga", "", "Id_patio=Patio.Id_patio Id_veiculo=Veiculo.Id_veiculo", "Id_patio Alfanum_vaga"
-        ),
-        "Seguro": _t("Id_seguro", required="Nivel Descricao Diaria_seguro"),
-        "Pagamento": _t("Id_pagamento", required="Nota_fiscal"),
-        "Reserva": _t(
-            "Id_reserva",
-            "",
-            "Id_cliente=Cliente.Id_cliente Id_grupo=Grupo.Id_grupo Id_pagamento=Pagamento.Id_pagamento "
-            "Id_seguro=Seguro.Id_seguro Id_patio_origem=Patio.Id_patio Id_patio_fim=Patio.Id_patio",
-            "Id_cliente Id_grupo Id_pagamento Id_seguro Id_patio_origem Id_patio_fim Preco_final "
-            "Data_inicio_combinada Data_fim_combinada Estado_reserva Data_reserva",
-            (not_before("Data_fim_combinada", "Data_inicio_combinada"),),
-        ),
-        "Caucao": _t("Id_caucao", required="Estado_caucao"),
-        "Locacao": _t(
-            "Id_locacao",
-            "",
-            "Id_reserva=Reserva.Id_reserva Id_veiculo=Veiculo.Id_veiculo Id_spec_var=Especificacoes_var.Id_spec_var "
-            "Id_patio=Patio.Id_patio Id_caucao=Caucao.Id_caucao",
-            "Id_reserva Id_veiculo Id_spec_var Id_caucao Id_patio Data_locacao",
-        ),
-        "Custos_devolucao": _t(
-            "Id_custos_devolucao",
-            "",
-            "Id_caucao=Caucao.Id_caucao Id_pagamento=Pagamento.Id_pagamento",
-            "Id_caucao Id_pagamento",
-        ),
-        "Devolucao": _t(
-            "Id_devolucao",
-            "",
-            "Id_spec_var=Especificacoes_var.Id_spec_var Id_custos_devolucao=Custos_devolucao.Id_custos_devolucao "
-            "Id_locacao=Locacao.Id_locacao Id_vaga=Vaga.Id_vaga",
-            "Id_spec_var Id_custos_devolucao Id_locacao Id_vaga Data_devolucao",
-        ),
-        "Extensao_reserva": _t(
-            "Id_extensao_reserva",
-            "",
-            "Id_locacao=Locacao.Id_locacao Id_reserva=Reserva.Id_reserva Id_pagamento=Pagamento.Id_pagamento",
-            "Id_locacao Id_reserva Id_pagamento Qtd_dias Valor Data_extensao",
-            (above("Qtd_dias", 0),),
-        ),
-        "Imagem_devolucao": _t(
-            "Id_imagem_devolucao",
-            "Url_arquivo",
-            "Id_devolucao=Devolucao.Id_devolucao",
-            "Id_devolucao Url_arquivo Tipo_imagem Data_upload",
-        ),
-    },
-)
+            "Id_grupo",
+            "Id_pagamento",
+            "Id_seguro",
+            "Id_patio_origem",
+            "Id_patio_fim",
+            "Preco_final",
+            "Data_inicio_combinada",
+            "Data_fim_combinada",
+            "Estado_reserva",
+            "Data_reserva",
+        ),
+        checks=(
+            not_before("Data_fim_combinada", "Data_inicio_combinada"),
+        ),
+    ),
+    "G3.Caucao": TableRules(
+        key=("Id_caucao",),
+        required=("Estado_caucao",),
+    ),
+    "G3.Locacao": TableRules(
+        key=("Id_locacao",),
+        references={
+            "Id_reserva": ("G3.Reserva", "Id_reserva"),
+            "Id_veiculo": ("G3.Veiculo", "Id_veiculo"),
+            "Id_spec_var": ("G3.Especificacoes_var", "Id_spec_var"),
+            "Id_patio": ("G3.Patio", "Id_patio"),
+            "Id_caucao": ("G3.Caucao", "Id_caucao"),
+        },
+        required=("Id_reserva", "Id_veiculo", "Id_spec_var", "Id_caucao", "Id_patio", "Data_locacao"),
+    ),
+    "G3.Custos_devolucao": TableRules(
+        key=("Id_custos_devolucao",),
+        references={
+            "Id_caucao": ("G3.Caucao", "Id_caucao"),
+            "Id_pagamento": ("G3.Pagamento", "Id_pagamento"),
+        },
+        required=("Id_caucao", "Id_pagamento"),
+    ),
+    "G3.Devolucao": TableRules(
+        key=("Id_devolucao",),
+        references={
+            "Id_spec_var": ("G3.Especificacoes_var", "Id_spec_var"),
+            "Id_custos_devolucao": ("G3.Custos_devolucao", "Id_custos_devolucao"),
+            "Id_locacao": ("G3.Locacao", "Id_locacao"),
+            "Id_vaga": ("G3.Vaga", "Id_vaga"),
+        },
+        required=("Id_spec_var", "Id_custos_devolucao", "Id_locacao", "Id_vaga", "Data_devolucao"),
+    ),
+    "G3.Extensao_reserva": TableRules(
+        key=("Id_extensao_reserva",),
+        references={
+            "Id_locacao": ("G3.Locacao", "Id_locacao"),
+            "Id_reserva": ("G3.Reserva", "Id_reserva"),
+            "Id_pagamento": ("G3.Pagamento", "Id_pagamento"),
+        },
+        required=("Id_locacao", "Id_reserva", "Id_pagamento", "Qtd_dias", "Valor", "Data_extensao"),
+        checks=(
+            above("Qtd_dias", 0),
+        ),
+    ),
+    "G3.Imagem_devolucao": TableRules(
+        key=("Id_imagem_devolucao",),
+        unique=(("Url_arquivo",),),
+        references={
+            "Id_devolucao": ("G3.Devolucao", "Id_devolucao"),
+        },
+        required=("Id_devolucao", "Url_arquivo", "Tipo_imagem", "Data_upload"),
+    ),
+}
 
-G4 = _source(
-    "G4",
-    {
-        "Endereco": _t(
-            "IDEndereco",
-            required="CEP UF Cidade Bairro Logradouro Numero",
-            checks=(length("CEP", 8), one_of("UF", *UNITS)),
-        ),
-        "Parceira": _t("IDParceira", "CNPJ", "", "CNPJ Nome"),
-        "Patio": _t(
-            "IDPatio",
-            "CDPatio",
-            "IDEndereco=Endereco.IDEndereco IDParceira=Parceira.IDParceira",
-            "CDPatio Lotacao HorarioAbertura HorarioFechamento IDEndereco IDParceira",
-            (above("Lotacao", 0), after("HorarioFechamento", "HorarioAbertura")),
-        ),
-        "Vaga": _t(
-            "IDVaga", "CodVaga", "IDPatio=Patio.IDPatio", "CodVaga Coberta IDPatio", (at_least("Andar", 0),)
-        ),
-        "Categoria": _t(
+G4 = {
+    "G4.Endereco": TableRules(
+        key=("IDEndereco",),
+        required=("CEP", "UF", "Cidade", "Bairro", "Logradouro", "Numero"),
+        checks=(
+            length("CEP", 8),
+            one_of("UF", *UNITS),
+        ),
+    ),
+    "G4.Parceira": TableRules(
+        key=("IDParceira",),
+        unique=(("CNPJ",),),
+        required=("CNPJ", "Nome"),
+    ),
+    "G4.Patio": TableRules(
+        key=("IDPatio",),
+        unique=(("CDPatio",),),
+        references={
+            "IDEndereco": ("G4.Endereco", "IDEndereco"),
+            "IDParceira": ("G4.Parceira", "IDParceira"),
+        },
+        required=("CDPatio", "Lotacao", "HorarioAbertura", "HorarioFechamento", "IDEndereco", "IDParceira"),
+        checks=(
+            above("Lotacao", 0),
+            after("HorarioFechamento", "HorarioAbertura"),
+        ),
+    ),
+    "G4.Vaga": TableRules(
+        key=("IDVaga",),
+        unique=(("CodVaga",),),
+        references={
+            "IDPatio": ("G4.Patio", "IDPatio"),
+        },
+        required=("CodVaga", "Coberta", "IDPatio"),
+        checks=(
+            at_least("Andar", 0),
+        ),
+    ),
+    "G4.Categoria": TableRules(
+        key=("IDCategoria",),
+        required=("Classificacao", "ClasseLuxo", "ValorDiariaBase", "Tracao4x4"),
+        checks=(
+            one_of("ClasseLuxo", *C.LUXURY_LETTERS),
+            at_least("ValorDiariaBase", 0),
+        ),
+    ),
+    "G4.Veiculo": TableRules(
+        key=("IDVeiculo",),
+        unique=(("Placa",), ("Chassi",)),
+        references={
+            "IDCategoria": ("G4.Categoria", "IDCategoria"),
+        },
+        required=(
+            "Placa",
+            "Chassi",
+            "Modelo",
+            "Ano",
+            "Altura",
+            "Largura",
+            "Portas",
+            "UltimaKilometragem",
+            "ArCondicionado",
+            "CadeiraInfantil",
+            "BebeConforto",
+            "ValorDiaria",
             "IDCategoria",
-            "",
-            "",
-            "Classificacao ClasseLuxo ValorDiariaBase Tracao4x4",
-            (one_of("ClasseLuxo", *C.LUXURY_LETTERS), at_least("ValorDiariaBase", 0)),
-        ),
-        "Veiculo": _t(
-            "IDVeiculo",
-            "Placa Chassi",
-            "IDCategoria=Categoria.IDCategoria",
-            "Placa Chassi Modelo Ano Altura Largura Portas UltimaKilometragem ArCondicionado CadeiraInfantil "
-            "BebeConforto ValorDiaria IDCategoria",
-            (
-                at_least("Ano", 1900),
-                above("Portas", 0),
-                at_least("UltimaKilometragem", 0),
-                at_least("ValorDiaria", 0),
-                above("Altura", 0),
-                above("Largura", 0),
-            ),
-        ),
-        "PessoaFisica": _t(
-            "IDFisica",
-            "CPF",
-            "IDEndereco=Endereco.IDEndereco",
-            "CPF Nome DtNascimento RG Telefone IDEndereco",
-            (length("CPF", 11), past("DtNascimento")),
-        ),
-        "Empresa": _t(
-            "IDEmpresa",
-            "CNPJ",
-            "IDEndereco=Endereco.IDEndereco",
-            "CNPJ RazaoSocial DtAbertura Telefone IDEndereco",
-            (length("CNPJ", 14),),
-        ),
-        "Motorista": _t(
-            "IDMotorista",
-            "CNH IDFisica",
-            "IDFisica=PessoaFisica.IDFisica",
-            "CNH CategoriaCNH IDFisica",
-            (one_of("CategoriaCNH", *LICENCES),),
-        ),
-        "CentroCusto": _t(
+        ),
+        checks=(
+            at_least("Ano", 1900),
+            above("Portas", 0),
+            at_least("UltimaKilometragem", 0),
+            at_least("ValorDiaria", 0),
+            above("Altura", 0),
+            above("Largura", 0),
+        ),
+    ),
+    "G4.PessoaFisica": TableRules(
+        key=("IDFisica",),
+        unique=(("CPF",),),
+        references={
+            "IDEndereco": ("G4.Endereco", "IDEndereco"),
+        },
+        required=("CPF", "Nome", "DtNascimento", "RG", "Telefone", "IDEndereco"),
+        checks=(
+            length("CPF", 11),
+            past("DtNascimento"),
+        ),
+    ),
+    "G4.Empresa": TableRules(
+        key=("IDEmpresa",),
+        unique=(("CNPJ",),),
+        references={
+            "IDEndereco": ("G4.Endereco", "IDEndereco"),
+        },
+        required=("CNPJ", "RazaoSocial", "DtAbertura", "Telefone", "IDEndereco"),
+        checks=(
+            length("CNPJ", 14),
+        ),
+    ),
+    "G4.Motorista": TableRules(
+        key=("IDMotorista",),
+        unique=(("CNH",), ("IDFisica",)),
+        references={
+            "IDFisica": ("G4.PessoaFisica", "IDFisica"),
+        },
+        required=("CNH", "CategoriaCNH", "IDFisica"),
+        checks=(
+            one_of("CategoriaCNH", *LICENCES),
+        ),
+    ),
+    "G4.CentroCusto": TableRules(
+        key=("IDCentroCusto",),
+        references={
+            "IDEmpresa": ("G4.Empresa", "IDEmpresa"),
+            "IDFisica": ("G4.PessoaFisica", "IDFisica"),
+            "IDResponsavel": ("G4.PessoaFisica", "IDFisica"),
+        },
+        required=("IDResponsavel",),
+        checks=(
+            exactly_one("titular", "IDEmpresa", "IDFisica"),
+        ),
+    ),
+    "G4.Movimentacao": TableRules(
+        key=("IDMovimentacao",),
+        references={
+            "IDVeiculo": ("G4.Veiculo", "IDVeiculo"),
+            "IDVagaOrigem": ("G4.Vaga", "IDVaga"),
+            "IDVagaDestino": ("G4.Vaga", "IDVaga"),
+        },
+        required=("DtChegada", "DtRetirada", "IDVeiculo", "IDVagaOrigem"),
+        checks=(
+            not_before("DtChegada", "DtRetirada"),
+        ),
+    ),
+    "G4.Reserva": TableRules(
+        key=("IDReserva",),
+        references={
+            "IDCentroCusto": ("G4.CentroCusto", "IDCentroCusto"),
+        },
+        required=(
+            "QtVeiculosSolicitados",
+            "DtReserva",
+            "DtRetiradaPrevista",
+            "DtLimiteRetirada",
+            "Status",
             "IDCentroCusto",
-            "",
-            "IDEmpresa=Empresa.IDEmpresa IDFisica=PessoaFisica.IDFisica IDResponsavel=PessoaFisica.IDFisica",
-            "IDResponsavel",
-            (exactly_one("titular", "IDEmpresa", "IDFisica"),),
-        ),
-        "Movimentacao": _t(
-            "IDMovimentacao",
-            "",
-            "IDVeiculo=Veiculo.IDVeiculo IDVagaOrigem=Vaga.IDVaga IDVagaDestino=Vaga.IDVaga",
-            "DtChegada DtRetirada IDVeiculo IDVagaOrigem",
-            (not_before("DtChegada", "DtRetirada"),),
-        ),
-        "Reserva": _t(
-            "IDReserva",
-            "",
-            "IDCentroCusto=CentroCusto.IDCentroCusto",
-            "QtVeiculosSolicitados DtReserva DtRetiradaPrevista DtLimiteRetirada Status IDCentroCusto",
-            (
-                at_least("QtVeiculosSolicitados", 1),
-                after("DtLimiteRetirada", "DtRetiradaPrevista"),
-                one_of("Status", "Confirmada", "Cancelada", "Atendida"),
-            ),
-        ),
-        "Locacao": _t(
-            "IDLocacao",
-            "",
-            "IDVagaRetirada=Vaga.IDVaga IDVagaDevolvida=Vaga.IDVaga IDVeiculo=Veiculo.IDVeiculo "
-            "IDReserva=Reserva.IDReserva IDMotorista=Motorista.IDMotorista",
-            "ValorDiaria DtRetirada IDVagaRetirada IDVeiculo IDReserva IDMotorista",
-            (above("ValorDiaria", 0), not_before("DtChegada", "DtRetirada")),
-        ),
-        "Prontuario": _t(
-            "IDProntuario",
-            "",
-            "IDEndereco=Endereco.IDEndereco IDVeiculo=Veiculo.IDVeiculo",
-            "Operacao Custo IDEndereco IDVeiculo",
-            (at_least("Custo", 0),),
-        ),
-        "Avaria": _t(
-            "IDAvaria",
-            "",
-            "IDLocacao=Locacao.IDLocacao IDVeiculo=Veiculo.IDVeiculo IDProntuarioRelacionado=Prontuario.IDProntuario",
-            "DtRegistro Descricao IDLocacao IDVeiculo",
-            (not_future("DtRegistro"),),
-        ),
-    },
-)
+        ),
+        checks=(
+            at_least("QtVeiculosSolicitados", 1),
+            after("DtLimiteRetirada", "DtRetiradaPrevista"),
+            one_of("Status", "Confirmada", "Cancelada", "Atendida"),
+        ),
+    ),
+    "G4.Locacao": TableRules(
+        key=("IDLocacao",),
+        references={
+            "IDVagaRetirada": ("G4.Vaga", "IDVaga"),
+            "IDVagaDevolvida": ("G4.Vaga", "IDVaga"),
+            "IDVeiculo": ("G4.Veiculo", "IDVeiculo"),
+            "IDReserva": ("G4.Reserva", "IDReserva"),
+            "IDMotorista": ("G4.Motorista", "IDMotorista"),
+        },
+        required=("ValorDiaria", "DtRetirada", "IDVagaRetirada", "IDVeiculo", "IDReserva", "IDMotorista"),
+        checks=(
+            above("ValorDiaria", 0),
+            not_before("DtChegada", "DtRetirada"),
+        ),
+    ),
+    "G4.Prontuario": TableRules(
+        key=("IDProntuario",),
+        references={
+            "IDEndereco": ("G4.Endereco", "IDEndereco"),
+            "IDVeiculo": ("G4.Veiculo", "IDVeiculo"),
+        },
+        required=("Operacao", "Custo", "IDEndereco", "IDVeiculo"),
+        checks=(
+            at_least("Custo", 0),
+        ),
+    ),
+    "G4.Avaria": TableRules(
+        key=("IDAvaria",),
+        references={
+            "IDLocacao": ("G4.Locacao", "IDLocacao"),
+            "IDVeiculo": ("G4.Veiculo", "IDVeiculo"),
+            "IDProntuarioRelacionado": ("G4.Prontuario", "IDProntuario"),
+        },
+        required=("DtRegistro", "Descricao", "IDLocacao", "IDVeiculo"),
+        checks=(
+            not_future("DtRegistro"),
+        ),
+    ),
+}
 
-DW = _source(
-    "DW",
-    {
-        "dim_tempo": _t(
-            "sk_tempo",
+DW = {
+    "DW.dim_tempo": TableRules(
+        key=("sk_tempo",),
+        unique=(("data_completa",),),
+        required=(
             "data_completa",
-            "",
-            "data_completa dia mes trimestre semestre ano num_semana_ano dia_semana_num dia_semana_nome nome_mes "
+            "dia",
+            "mes",
+            "trimestre",
+            "semestre",
+            "ano",
+            "num_semana_ano",
+            "dia_semana_num",
+            "dia_semana_nome",
+            "nome_mes",
             "eh_fim_semana",
         ),
-        "dim_patio": _t(
-            "sk_patio",
-            "",
-            "",
-            "id_patio_orig nome_patio empresa_dona fonte_grupo",
-            (at_most("nome_patio", 100), at_most("empresa_dona", 100), at_most("cidade", 100), at_most("uf", 2)),
-        ),
-        "dim_empresa": _t("sk_empresa", "", "", "nome_empresa fonte_grupo", (at_most("nome_empresa", 150),)),
-        "dim_grupo_veiculo": _t("sk_grupo", "", "", "id_grupo_orig nome_grupo fonte_grupo", (at_most("nome_grupo", 100),)),
-        "dim_veiculo": _t(
+    ),
+    "DW.dim_patio": TableRules(
+        key=("sk_patio",),
+        required=("id_patio_orig", "nome_patio", "empresa_dona", "fonte_grupo"),
+        checks=(
+            at_most("nome_patio", 100),
+            at_most("empresa_dona", 100),
+            at_most("cidade", 100),
+            at_most("uf", 2),
+        ),
+    ),
+    "DW.dim_empresa": TableRules(
+        key=("sk_empresa",),
+        required=("nome_empresa", "fonte_grupo"),
+        checks=(
+            at_most("nome_empresa", 150),
+        ),
+    ),
+    "DW.dim_grupo_veiculo": TableRules(
+        key=("sk_grupo",),
+        required=("id_grupo_orig", "nome_grupo", "fonte_grupo"),
+        checks=(
+            at_most("nome_grupo", 100),
+        ),
+    ),
+    "DW.dim_veiculo": TableRules(
+        key=("sk_veiculo",),
+        references={
+            "sk_grupo": ("DW.dim_grupo_veiculo", "sk_grupo"),
+            "sk_empresa_origem": ("DW.dim_empresa", "sk_empresa"),
+        },
+        required=("id_veiculo_orig", "sk_grupo", "fonte_grupo"),
+        checks=(
+            at_most("placa", 10),
+            at_most("chassi", 17),
+            at_most("marca", 60),
+            at_most("modelo", 60),
+        ),
+    ),
+    "DW.dim_cliente": TableRules(
+        key=("sk_cliente",),
+        required=("id_cliente_orig", "nome", "fonte_grupo"),
+        checks=(
+            at_most("nome", 200),
+            at_most("cpf_cnpj", 14),
+            at_most("tipo_pessoa", 2),
+            at_most("uf_origem", 2),
+        ),
+    ),
+    "DW.fato_locacao": TableRules(
+        key=("sk_locacao",),
+        references={
+            "sk_tempo_retirada": ("DW.dim_tempo", "sk_tempo"),
+            "sk_tempo_devolucao": ("DW.dim_tempo", "sk_tempo"),
+            "sk_cliente": ("DW.dim_cliente", "sk_cliente"),
+            "sk_veiculo": ("DW.dim_veiculo", "sk_veiculo"),
+            "sk_grupo": ("DW.dim_grupo_veiculo", "sk_grupo"),
+            "sk_patio_retirada": ("DW.dim_patio", "sk_patio"),
+            "sk_patio_entrega": ("DW.dim_patio", "sk_patio"),
+            "sk_empresa_veiculo": ("DW.dim_empresa", "sk_empresa"),
+        },
+        required=(
+            "id_locacao_orig",
+            "sk_tempo_retirada",
+            "sk_cliente",
             "sk_veiculo",
-            "",
-            "sk_grupo=dim_grupo_veiculo.sk_grupo sk_empresa_origem=dim_empresa.sk_empresa",
-            "id_veiculo_orig sk_grupo fonte_grupo",
-            (at_most("placa", 10), at_most("chassi", 17), at_most("marca", 60), at_most("modelo", 60)),
-        ),
-        "dim_cliente": _t(
+            "sk_grupo",
+            "sk_patio_retirada",
+            "locacao_intercompanhia",
+            "fonte_grupo",
+        ),
+    ),
+    "DW.fato_reserva": TableRules(
+        key=("sk_reserva",),
+        references={
+            "sk_tempo_solicitacao": ("DW.dim_tempo", "sk_tempo"),
+            "sk_tempo_retirada_prev": ("DW.dim_tempo", "sk_tempo"),
+            "sk_tempo_devolucao_prev": ("DW.dim_tempo", "sk_tempo"),
+            "sk_cliente": ("DW.dim_cliente", "sk_cliente"),
+            "sk_grupo": ("DW.dim_grupo_veiculo", "sk_grupo"),
+            "sk_patio_retirada": ("DW.dim_patio", "sk_patio"),
+            "sk_patio_devolucao": ("DW.dim_patio", "sk_patio"),
+        },
+        required=(
+            "id_reserva_orig",
+            "sk_tempo_solicitacao",
+            "sk_tempo_retirada_prev",
+            "sk_tempo_devolucao_prev",
             "sk_cliente",
-            "",
-            "",
-            "id_cliente_orig nome fonte_grupo",
-            (at_most("nome", 200), at_most("cpf_cnpj", 14), at_most("tipo_pessoa", 2), at_most("uf_origem", 2)),
-        ),
-        "fato_locacao": _t(
-            "sk_locacao",
-            "",
-            "sk_tempo_retirada=dim_tempo.sk_tempo sk_tempo_devolucao=dim_tempo.sk_tempo "
-            "sk_cliente=dim_cliente.sk_cliente sk_veiculo=dim_veiculo.sk_veiculo sk_grupo=dim_grupo_veiculo.sk_grupo "
-            "sk_patio_retirada=dim_patio.sk_patio sk_patio_entrega=dim_patio.sk_patio "
-            "sk_empresa_veiculo=dim_empresa.sk_empresa",
-            "id_locacao_orig sk_tempo_retirada sk_cliente sk_veiculo sk_grupo sk_patio_retirada "
-            "locacao_intercompanhia fonte_grupo",
-        ),
-        "fato_reserva": _t(
-            "sk_reserva",
-            "",
-            "sk_tempo_solicitacao=dim_tempo.sk_tempo sk_tempo_retirada_prev=dim_tempo.sk_tempo "
-            "sk_tempo_devolucao_prev=dim_tempo.sk_tempo sk_cliente=dim_cliente.sk_cliente "
-            "sk_grupo=dim_grupo_veiculo.sk_grupo sk_patio_retirada=dim_patio.sk_patio "
-            "sk_patio_devolucao=dim_patio.sk_patio",
-            "id_reserva_orig sk_tempo_solicitacao sk_tempo_retirada_prev sk_tempo_devolucao_prev sk_cliente sk_grupo "
-            "sk_patio_retirada fonte_grupo",
-        ),
-        "fato_patio_snapshot": _t(
-            "sk_snapshot",
-            "",
-            "sk_tempo=dim_tempo.sk_tempo sk_patio=dim_patio.sk_patio sk_veiculo=dim_veiculo.sk_veiculo "
-            "sk_grupo=dim_grupo_veiculo.sk_grupo sk_empresa_veiculo=dim_empresa.sk_empresa",
-            "sk_tempo sk_patio sk_veiculo sk_grupo origem_veiculo fonte_grupo",
-            (one_of("origem_veiculo", C.OWN, C.FOREIGN),),
-        ),
-    },
-)
+            "sk_grupo",
+            "sk_patio_retirada",
+            "fonte_grupo",
+        ),
+    ),
+    "DW.fato_patio_snapshot": TableRules(
+        key=("sk_snapshot",),
+        references={
+            "sk_tempo": ("DW.dim_tempo", "sk_tempo"),
+            "sk_patio": ("DW.dim_patio", "sk_patio"),
+            "sk_veiculo": ("DW.dim_veiculo", "sk_veiculo"),
+            "sk_grupo": ("DW.dim_grupo_veiculo", "sk_grupo"),
+            "sk_empresa_veiculo": ("DW.dim_empresa", "sk_empresa"),
+        },
+        required=("sk_tempo", "sk_patio", "sk_veiculo", "sk_grupo", "origem_veiculo", "fonte_grupo"),
+        checks=(
+            one_of("origem_veiculo", C.OWN, C.FOREIGN),
+        ),
+    ),
+}
 
 CATALOG = {**G1, **G2, **G3, **G4, **DW}
