@@ -364,8 +364,10 @@ def test_plan_places_each_piece_once_without_overlap(seed):
             assert offset == at
             at += length
         assert at <= capacity
-    total = sum(n * c for n, c in histogram.items())
-    assert sorted(used) == list(range(len(used))) and len(used) <= 1.01 * total / capacity + 2
+    best_fit = packing.Bins(capacity)
+    for n in sorted(histogram, reverse=True):
+        best_fit.best_fit(n, histogram[n])
+    assert sorted(used) == list(range(len(used))) and len(used) <= 1.01 * best_fit.next + 2
     assert packing.plan({}, capacity) == []
 
 

@@ -74,7 +74,10 @@ class Encoder:
         line = here == 0x0A
         cut[1:-1] = self.SIGN[here] & self.WORD[before]
         cut[1:-1] |= line & (self.SIGN | self.WORD)[before]
-        cut[1:-1] |= (before == 0x0A) & (self.SIGN | self.WORD)[here]
+        # The last line end of a run of white space is a piece of its own if a word follows.
+        ends = (before == 0x0A) & (self.SIGN | self.WORD)[here]
+        cut[1:-1] |= ends
+        cut[:-2] |= ends
         cut[1:-2] |= (data[1:-1] == 0x20) & ~self.MAYBE_SPACE[data[2:]]
         cut[offsets[offsets < len(data)]] = True
         return np.flatnonzero(cut[:-1])
