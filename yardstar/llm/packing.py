@@ -72,13 +72,15 @@ class Encoder:
         cut = np.zeros(len(data) + 1, bool)
         before, here = data[:-1], data[1:]
         line = here == 0x0A
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offsets] = True  # what follows there is another text
         cut[1:-1] = self.SIGN[here] & self.WORD[before]
         cut[1:-1] |= line & (self.SIGN | self.WORD)[before]
         # The last line end of a run of white space is a piece of its own if a word follows.
-        ends = (before == 0x0A) & (self.SIGN | self.WORD)[here]
+        ends = (before == 0x0A) & (self.SIGN | self.WORD)[here] & ~begins[1:-1]
         cut[1:-1] |= ends
         cut[:-2] |= ends
-        cut[1:-2] |= (data[1:-1] == 0x20) & ~self.MAYBE_SPACE[data[2:]]
+        cut[1:-2] |= (data[1:-1] == 0x20) & ~self.MAYBE_SPACE[data[2:]] & ~begins[2:-1]
         cut[offsets[offsets < len(data)]] = True
         return np.flatnonzero(cut[:-1])
 
