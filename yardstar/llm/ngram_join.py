@@ -14,7 +14,8 @@ from yardstar.llm.common import components, materialize, whole_groups
 from yardstar.llm.text import LOWER, buffer, mix, slices, words
 
 SHINGLE = 5
-DIMENSIONS = 64  # groups of shingles that a document's point counts
+DIMENSIONS = 256  # groups of shingles that a document's point counts
+TREE_DIMENSIONS = 64  # of the trees' boxes: groups with equal remainders are added up
 # Larger sets have a second point of more groups: counts of unrelated sets differ by the root of the counts, so the more
 # shingles there are, the more groups it takes until the differences add up to more than the bound allows.
 FINE_DIMENSIONS, FINE_FROM = 1024, 256
@@ -146,12 +147,16 @@ def _frequency_group(hashes: np.ndarray) -> np.ndarray:
 
 
 def _frequent_groups(described: DataFrame) -> np.ndarray:
-    """A flag for each frequency group that holds far more shingles than chance puts there."""
+    """A flag for each frequency group that holds more shingles than most.
+
+    A flag only moves shingles back in the order in which sets are indexed, so
+    it does no harm where chance alone has filled a group.
+    """
     rows = described.where("n = -1").groupBy("class").agg(F.sum(F.col("point")[0].cast("long")).alias("count")).toArrow()
     counts = np.zeros(FREQUENCY_GROUPS)
     counts[rows["class"].to_numpy()] = rows["count"].to_numpy()
     usual = np.median(counts)
-    return counts > max(64.0, usual + 8 * np.sqrt(usual))
+    return counts > usual + np.sqrt(usual) + 16
 
 
 # -- the index ---------------------------------------------------------------
@@ -190,10 +195,15 @@ def _entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
 
 
 def _members(entries: DataFrame) -> DataFrame:
-    """``(shingle, hub, member)``: the buckets with several classes, each member beside the bucket's first class."""
+    """``(shingle, hub, before, member)``: the buckets with several classes.
+
+    Each member stands beside the bucket's first class and the one before it;
+    each bucket has a random order of its own.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, int, int] | None = None  # shingle, class, hub of the row before
+        names = ["shingle", "hub", "before", "member"]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -203,21 +213,34 @@ def _members(entries: DataFrame) -> DataFrame:
             repeats = np.zeros(len(shingle), bool)
             repeats[1:] = ~opens[1:] & (member[1:] == member[:-1])
             at = np.maximum.accumulate(np.where(opens, np.arange(len(shingle)), 0))
-            hub = member[at].copy()
+            hub, before = member[at].copy(), np.roll(member, 1)
             if last and shingle[0] == last[0]:
                 hub[at == 0] = last[2]
+                before[0] = last[1]
                 opens[0], repeats[0] = False, member[0] == last[1]
             last = (int(shingle[-1]), int(member[-1]), int(hub[-1]))
             of = ~opens & ~repeats
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shingle[of]), pa.array(hub[of]), pa.array(member[of])], ["shingle", "hub", "member"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(c[of]) for c in (shingle, hub, before, member)], names)
 
     return (
         entries.repartition("shingle")
-        .sortWithinPartitions("shingle", "class")
-        .mapInArrow(run, "shingle long, hub long, member long")
+        .sortWithinPartitions("shingle", F.xxhash64("shingle", "class"), "class")
+        .mapInArrow(run, "shingle long, hub long, before long, member long")
+    )
+
+
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` to begin with, about as many as members.
+
+    Each member meets its bucket's hub and, in one of sixteen buckets, the
+    member before it, so that most of a dense group is connected before any of
+    its pairs are enumerated, also where its members aren't all alike.
+    """
+    hubs = members.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
+    chains = members.where("pmod(shingle, 16) = 0").select(
+        F.least("before", "member").alias("a"), F.greatest("before", "member").alias("b")
     )
+    return hubs.unionByName(chains).where("a != b").distinct()
 
 
 def _by_bound(pairs: DataFrame, classes: DataFrame, percent: int, point: str = "point") -> DataFrame:
@@ -284,8 +307,11 @@ def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, per
                 point = points[start:end]
                 left = np.flatnonzero(block == low[start])
                 right = left if low[start] == high[start] else np.flatnonzero(block == high[start])
-                for i, j in tree_pairs(n, point, left, right, percent):
+                folded = point.reshape(len(point), -1, TREE_DIMENSIONS).sum(axis=1)
+                for i, j in tree_pairs(n, folded, left, right, percent):
                     apart = part_[i] != part_[j]
+                    i, j = i[apart], j[apart]
+                    apart = bound_passes(np.minimum(point[i], point[j]).sum(axis=1), n[i], n[j], percent)
                     found_a.append(class_[i[apart]])
                     found_b.append(class_[j[apart]])
             if found_a:
@@ -434,9 +460,9 @@ def jaccard_components(
     for each bucket of documents that share one of their first shingles. Pairs
     of large sets meet a second bound, of finer points.
 
-    First each member of a bucket meets the bucket's hub, so a dense group
-    costs as many pairs as members; what isn't connected after that meets in
-    the buckets' trees. Surviving pairs are verified on whole texts.
+    First each member of a bucket meets the bucket's hub and some their
+    neighbours, so a dense group costs about as many pairs as members; what
+    isn't connected after that meets in the buckets' trees. Surviving pairs are verified on whole texts.
 
     Without words, or with NULL text, a row has no shingles and links with
     nothing. Rows that share an id are one document to the components; rows
@@ -452,8 +478,7 @@ def jaccard_components(
     )
     usable = docs.where(F.col("id").isNotNull())
     members = materialize(_members(_entries(usable, _frequent_groups(described), percent)), "members")
-    pairs = members.select(F.col("hub").alias("a"), F.col("member").alias("b")).distinct()
-    pairs = materialize(_by_bound(pairs, classes, percent), "hub-pairs")
+    pairs = materialize(_by_bound(_first_pairs(members), classes, percent), "first-pairs")
     links = _linked(usable, classes, pairs, percent)
     parts = components(links)
     more = materialize(_between_parts(members, classes, parts, percent, block_rows).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
