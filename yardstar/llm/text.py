@@ -84,7 +84,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(span_hash(data, start, end), text, start, end)
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20):
     """Cut a batch into pieces of about ``max_bytes`` of text, at least one row each, to bound the memory of a pass."""
     texts = batch.column(column)
     if not len(texts):
