@@ -113,6 +113,29 @@ def test_recall_on_the_given_embeddings_with_added_neighbours(spark):
     assert want >= 800 and 0.9 * want <= got <= want
 
 
+@pytest.mark.parametrize("rows", [2_000, 100_000, 1_000_000])
+@pytest.mark.parametrize("common", [0.0, 0.69, 0.8])
+def test_codes_meet_at_the_threshold_wherever_the_mean_lies(common, rows):
+    """Pairs just at cosine 0.9, turned at random and within the data, at the key lengths of large tables."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 64)) * math.sqrt((1 - common) / 64)
+    x[:, 0] += math.sqrt(common)
+    x = near_vectors.unit_vectors(x)
+    codes = near_vectors.learn_codes(x[:2000], rows, 0.9, 0.99)
+    x = x[2000:]
+    for away in (rng.standard_normal(x.shape), x[::-1]):
+        away = near_vectors.unit_vectors(away - (away * x).sum(axis=1, keepdims=True) * x)
+        y = 0.9 * x + math.sqrt(0.19) * away
+        assert (codes.keys(x) == codes.keys(y)).any(axis=1).mean() > 0.98
+
+
+def test_codes_of_few_dimensions_and_rows():
+    for x in ([[1.0, 2.0]], [[1.0, 2.0], [1.0, 1.0]], [[1.0], [-1.0]], np.random.default_rng(0).standard_normal((50, 2))):
+        x = near_vectors.unit_vectors(np.array(x))
+        codes = near_vectors.learn_codes(x, 10_000, 0.9, 0.99)
+        assert codes.keys(x).shape == (len(x), codes.tables)
+
+
 # -- 2 n-gram Jaccard join -------------------------------------------------------
 
 

@@ -17,15 +17,13 @@ from yardstar.llm.common import components, local_labels, materialize, matrices,
 class Codes(NamedTuple):
     """Binary codes of vectors of one length, cut into the keys of the Hamming tables."""
 
-    mean: np.ndarray
-    planes: np.ndarray  # (width, bits)
+    planes: np.ndarray  # (width, bits), through the origin
     tables: int
     key_bits: int
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
         """(rows, tables): the substring of each row's code that each table is keyed by."""
-        bits = ((unit - self.mean) @ self.planes > 0)[:, : self.tables * self.key_bits]
-        bits = bits.reshape(len(unit), self.tables, self.key_bits)
+        bits = (unit @ self.planes > 0).reshape(len(unit), self.tables, self.key_bits)
         return bits @ (1 << np.arange(self.key_bits, dtype=np.int64))
 
 
@@ -38,41 +36,68 @@ def unit_vectors(x: np.ndarray) -> np.ndarray:
 def table_shape(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     """``(tables, bits of a key)`` for a number of rows.
 
-    Keys get longer with the rows, so that buckets stay small. A plane
-    separates two vectors at the threshold with probability angle / pi, which
-    gives the chance that they agree on a whole key, and so the number of
-    tables for which they meet with probability ``recall``. Any two codes whose
-    Hamming distance is below the number of tables meet for certain.
+    Keys get longer with the rows, so that buckets stay small. A random plane
+    through the origin separates two vectors at the threshold with probability
+    angle / pi, which gives the chance that they agree on a whole key, and so
+    the number of tables for which they meet with probability ``recall``.
     """
     key_bits = min(20, max(6, round(math.log2(max(rows, 2))) - 5))
     agree = (1 - math.acos(threshold) / math.pi) ** key_bits
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree))), key_bits
 
 
-def learn_codes(sample: np.ndarray, tables: int, key_bits: int, rounds: int = 30, seed: int = 1) -> Codes:
+def threshold_pairs(sample: np.ndarray, threshold: float, most: int = 2_000, seed: int = 2) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two sets of pairs at exactly the threshold: sample vectors turned in any direction, and turned towards other ones."""
+    x = sample[:most]
+    out = []
+    for away in (np.random.default_rng(seed).standard_normal(x.shape), np.roll(x, 1, axis=0)):
+        away = away - (away * x).sum(axis=1, keepdims=True) * x
+        length = np.sqrt((away * away).sum(axis=1))
+        some = length > 1e-6  # not the vector itself or its opposite
+        turned = threshold * x[some] + math.sqrt(max(0.0, 1 - threshold**2)) * away[some] / length[some, None]
+        out.append((x[some], turned))
+    return out
+
+
+def learn_codes(
+    sample: np.ndarray, rows: int, threshold: float, recall: float, rounds: int = 30, seed: int = 1
+) -> Codes:
     """Iterative quantisation on a sample of unit vectors.
 
     The sample is centred and projected on its principal axes; a rotation is
     then alternately fitted to the signs of the projection and the signs taken
-    again, which balances the bits. One rotation yields as many bits as there
-    are axes; longer codes take further rotations, from other random starts.
+    again. One rotation yields as many bits as there are axes; longer codes
+    take further rotations, from other random starts. The bits are the signs of
+    the vectors as they are, not centred: a shift would widen the angle
+    of pairs near the mean, and cosines are angles at the origin.
+
+    Fitted planes aren't random ones (in few dimensions all starts may end in
+    the same), so ``table_shape`` is where the number of tables begins: tables
+    of random planes are added until both sets of ``threshold_pairs`` meet with
+    ``recall``.
     """
     width = sample.shape[1]
-    mean = sample.mean(axis=0)
-    _, axes = np.linalg.eigh((sample - mean).T @ (sample - mean))
-    projected = (sample - mean) @ axes
+    centred = sample - sample.mean(axis=0)
+    _, axes = np.linalg.eigh(centred.T @ centred)
+    projected = centred @ axes
     rng = np.random.default_rng(seed)
-    planes = []
+    tables, key_bits = table_shape(rows, threshold, recall)
+    fitted = []
     for _ in range(-(-tables * key_bits // width)):
         rotation, _ = np.linalg.qr(rng.standard_normal((width, width)))
         for _ in range(rounds):
             u, _, v = np.linalg.svd(np.where(projected @ rotation > 0, 1.0, -1.0).T @ projected)
             rotation = (u @ v).T
-        planes.append(axes @ rotation)
+        fitted.append(axes @ rotation)
     # Neighbouring bits of a rotation go to different tables.
-    planes = np.concatenate(planes, axis=1)
-    order = np.argsort(np.arange(planes.shape[1]) % tables, kind="stable")
-    return Codes(mean, planes[:, order], tables, key_bits)
+    order = np.arange(tables * key_bits).reshape(key_bits, tables).T.ravel()
+    codes = Codes(np.concatenate(fitted, axis=1)[:, order], tables, key_bits)
+    pairs = [(x, y) for x, y in threshold_pairs(sample, threshold) if len(x)]
+    while any((codes.keys(x) == codes.keys(y)).any(axis=1).mean() < recall for x, y in pairs):
+        more = -(-codes.tables // 16)
+        random = rng.standard_normal((width, more * key_bits))
+        codes = Codes(np.concatenate([codes.planes, random], axis=1), codes.tables + more, key_bits)
+    return codes
 
 
 def near_duplicates(
@@ -97,8 +122,9 @@ def near_duplicates(
     emitted for each pair of a dense cluster.
 
     Links are a subset of the true ones, all of them at or above the threshold
-    (``recall`` is what is aimed at for pairs exactly at it; it is higher
-    above). Rows with a NULL id, or whose vector is NULL, empty, zero, or holds
+    (``recall`` is what is aimed at for pairs exactly at it, and measured on
+    pairs made from the sample; it is higher above). Vectors that share a common
+    direction have fuller buckets, which cost time and lose nothing. Rows with a NULL id, or whose vector is NULL, empty, zero, or holds
     NULL or non-finite components link with nothing: 0 links and a component
     of their own. Vectors of different length don't link. Repeated rows link
     with each other; rows that share an id share its component and the links of
@@ -128,7 +154,7 @@ def near_duplicates(
         share = max(1, sample_rows * n // total)
         rows = classes.where(width == w).select("rep", "x").orderBy(F.xxhash64("rep"), "rep").limit(share).toArrow()
         _, x = next(matrices(rows["x"]))
-        codes[w] = learn_codes(unit_vectors(x), *table_shape(n, threshold, recall))
+        codes[w] = learn_codes(unit_vectors(x), n, threshold, recall)
     linked = _linked(classes, codes, threshold, block_rows)
     if linked is None:
         found = classes.select("h", "rep", (F.col("n") - 1).alias("n_links"), F.col("rep").alias("component_id"))
