@@ -369,6 +369,28 @@ def test_encoder_agrees_with_the_tokenizer():
         assert cut[-1] == cut[-2]
 
 
+def test_encoder_finds_added_tokens_as_an_untouched_tokenizer_does():
+    from tokenizers import Tokenizer
+    import pyarrow as pa
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(16)
+    end = "<|endoftext|>"
+    signs = [" ", "  ", "\n", "\n\n", "\t", "a", "word", "é", "1", ".", "'s", "<", "|>", "<|", "endoftext", "\u3000", "😀", end, end]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(0, 30))) for _ in range(3000)]
+    texts += [f"a {end} b", end, end * 3, f"{end} ", f" {end}\n\n{end}x", "<|endof", "text|>", "a<|endoftext|", ">b"]
+    encoder = packing.Encoder(path, most_kept=500, added_tokens=True)
+    for at in range(0, len(texts), 300):
+        ids, cut = encoder.encode(pa.array([*texts[at : at + 300], None]))
+        want = plain.encode_batch(texts[at : at + 300], add_special_tokens=False)
+        for i, w in enumerate(want):
+            assert ids[cut[i] : cut[i + 1]].tolist() == w.ids, texts[at + i]
+        assert cut[-1] == cut[-2]
+    ids, _ = packing.encoder_of(path).encode(pa.array([f"a {end} b"]))
+    assert ids.tolist() == [64, 220, 50256, 275]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_places_each_piece_once_without_overlap(seed):
     rng = random.Random(seed)

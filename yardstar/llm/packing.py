@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -36,6 +37,10 @@ class Encoder:
     numpy, and as most stretches repeat, only distinct ones are encoded, many
     joined into one text; all ids are then gathered from a store. Stretches
     seen before come from the store, which starts anew when it is full.
+
+    With ``added_tokens``, the literal text of a token added to the vocabulary
+    is that token, as the tokenizer has it by default: what stands before and
+    behind it is cut as texts of their own. Without, it is plain text.
     """
 
     # All of ASCII white space and the first bytes of the multi-byte characters that count as white space.
@@ -47,7 +52,7 @@ class Encoder:
     SIGN[[c for c in range(0x21, 0x7F) if c != 0x27]] = True
     SIGN &= ~WORD
 
-    def __init__(self, path: str, most_kept: int = 1_500_000):
+    def __init__(self, path: str, most_kept: int = 1_500_000, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,6 +63,12 @@ class Encoder:
         for token, i in vocabulary.items():
             self.width[i] = len(token) if all(c in byte_of for c in token) else len(token.encode())
         self.most_kept = most_kept
+        added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens that depend on what stands around them are not supported")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.literal = re.compile(b"|".join(map(re.escape, longest_first))) if added else None
         self.clear()
 
     def clear(self) -> None:
@@ -67,6 +78,24 @@ class Encoder:
         self.known = [nothing, nothing]
         self.store = np.zeros(1 << 16, np.uint32)
         self.used = 0
+        for text, i in self.added.items():
+            key = span_hash(np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
+            self.store[self.used] = i
+            self._keep(key, np.array([self.used]), np.array([1]))
+            self.used += 1
+
+    def literals(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and end of each added token in the texts."""
+        found: list[tuple[int, int]] = []
+        raw, at = data.tobytes() if self.literal else b"", 0
+        while self.literal and (match := self.literal.search(raw, at)):
+            border = int(offsets[np.searchsorted(offsets, match.start(), "right")])
+            # One that runs into the next text is none, but a shorter one may stand there.
+            if match := self.literal.search(raw, match.start(), border):
+                found.append(match.span())
+            at = match.end() if match else border
+        spans = np.array(found, np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         cut = np.zeros(len(data) + 1, bool)
@@ -89,7 +118,12 @@ class Encoder:
         data, offsets = buffer(texts)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        start = self.cuts(data, offsets)
+        literal, behind = self.literals(data, offsets)
+        start = self.cuts(data, np.union1d(offsets, np.concatenate([literal, behind])))
+        if len(literal):
+            # Nothing is cut inside a literal.
+            at = np.searchsorted(literal, start, "right") - 1
+            start = start[(at < 0) | (start == literal[at]) | (start >= behind[at])]
         end = np.append(start[1:], len(data))
         keys, first, which = np.unique(span_hash(data, start, end), return_index=True, return_inverse=True)
         if sum(len(k[0]) for k in self.known) > self.most_kept:
@@ -156,7 +190,7 @@ def encoder_of(path: str) -> Encoder:
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
         _encoders.clear()
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added_tokens=True)
     return _encoders[path]
 
 
@@ -171,7 +205,8 @@ def tokenize(
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: ``(id, piece, start, length, ids, part, row)``.
 
-    A document is the ids of its whole text and ``end_id``. Only longer ones
+    A document is the ids of its whole text, as the tokenizer gives them by
+    default without the tokens it would put around it, and ``end_id``. Only longer ones
     are cut, and then the first piece takes what is over, so that all others
     are full. ``part`` and ``row`` number the task and its pieces.
     """
