@@ -551,6 +551,14 @@ def test_main_text_of_odd_pages(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sentences", [3, 30, 300])
+@pytest.mark.parametrize("tag", ["article", "main", 'div class="content"'])
+def test_main_text_keeps_what_stands_around_a_long_body(tag, sentences):
+    lead, body, end = "A lead, of some length; it says what follows.", "Long text, with marks. " * sentences, "The end, at last. It sums up."
+    page = f"<body><nav><a href=/>Home</a></nav><{tag}><h1>Title</h1><p class=lead>{lead}</p><div class=body>{body}</div><div class=conclusion>{end}</div></{tag.split()[0]}></body>"
+    assert html.main_text(page) == "\n".join(["Title", lead, body.strip(), end])
+
+
 # -- 10 lines ----------------------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import math
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -62,6 +63,7 @@ TOKEN = re.compile(
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORD = re.compile(r"[a-z]+")
+EXPLICIT = re.compile(r"(article|main)(\.|\Z)")
 
 
 class Block(NamedTuple):
@@ -202,9 +204,11 @@ def main_text(page: str | None) -> str:
 
     Furniture (menus, headers, footers, forms and the like, by element, role or
     class) is set aside. Of the other blocks the paths whose score reaches half
-    of the mean over characters are content. The deepest element that holds
-    nine tenths of the content's characters is the article: all its blocks that
-    are no furniture are given, so short paragraphs and headings between stay.
+    of the mean over characters are content. The article is the deepest element
+    around all content; if ``article`` and ``main`` elements hold nine tenths of
+    the content's characters, only the content inside them counts, and the
+    article is no less than such an element. All its blocks that are no
+    furniture are given, so short paragraphs and headings between stay.
     """
     found = [b for b in blocks(page or "") if not b.furniture]
     if not found:
@@ -215,12 +219,13 @@ def main_text(page: str | None) -> str:
     content = [b for b in found if score[b.path] >= threshold and score[b.path] > 0]
     if not content:
         return ""
-    weight: dict[tuple[str, ...], int] = defaultdict(int)
-    for b in content:
-        for i in range(len(b.path) + 1):
-            weight[b.path[:i]] += len(b.text)
-    need = 0.9 * sum(len(b.text) for b in content)
-    article = max((p for p, w in weight.items() if w >= need), key=len)
+    explicit = [(b, next((i for i in range(len(b.path), 0, -1) if EXPLICIT.match(b.path[i - 1])), 0)) for b in content]
+    marked = sum(len(b.text) for b, i in explicit if i)
+    if marked >= 0.9 * sum(len(b.text) for b in content):
+        around = [b.path[:i] for b, i in explicit if i]
+    else:
+        around = [b.path for b in content]
+    article = tuple(os.path.commonprefix(around))
     if article and re.match(r"(p|h[1-6]|pre|blockquote|li|ul|ol|td|tr|tbody|table|dl|dd)\b", article[-1]):
         # A single kind of block: its container may also hold the heading.
         while article and re.match(r"(p|h[1-6]|pre|blockquote|li|ul|ol|td|tr|tbody|table|dl|dd)\b", article[-1]):
