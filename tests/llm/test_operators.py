@@ -559,6 +559,26 @@ def test_main_text_keeps_what_stands_around_a_long_body(tag, sentences):
     assert html.main_text(page) == "\n".join(["Title", lead, body.strip(), end])
 
 
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'aria-hidden="false"', 'title="hidden costs"', 'data-id="footer"', "data-role=navigation", "title='a class=ad'"])
+def test_values_and_other_attributes_mark_nothing(attrs):
+    text = "Some text, of a length. And more of it."
+    assert html.main_text(f"<body><div {attrs}><p>{text}</p></div></body>") == text
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'hidden=""', "class='x' HIDDEN", "role=navigation", 'id="sidebar"', "class=ad"])
+def test_marked_elements_are_no_article(attrs):
+    text = "Some text, of a length. And more of it."
+    assert html.main_text(f"<body><article><p>{text}</p><div {attrs}>No text, of a length. And more of it.</div></article></body>") == text
+
+
+def test_sections_of_an_article_may_be_named_as_furniture_is():
+    text = "Some text, of a length. And more of it."
+    page = f"""<body><article><p>{text}<h2 id="related-work">Related</h2><p id="form">{text}</p>
+<section id="discussion"><h2 id="search">Search</h2><p>{text}</p></section><div class="social-share">Share, now.</div></article>
+<div id="search">Search here.</div></body>"""
+    assert html.main_text(page) == "\n".join([text, "Related", text, "Search", text])
+
+
 # -- 10 lines ----------------------------------------------------------------------------
 
 

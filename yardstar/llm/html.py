@@ -50,6 +50,12 @@ MARKS = set(
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
     "widget form skip copyright".split()
 )
+# Marks that an article's own sections, headings and paragraphs hardly bear; the others may be what they speak of.
+CLEAR = set(
+    "ad ads adv advert adverts adsense sponsored promo nav navbar breadcrumb breadcrumbs pagination pager sidebar "
+    "masthead topbar toolbar comments disqus newsletter signup popup widget".split()
+)
+TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 NEIGHBOUR = set("with without has have no not".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
@@ -61,7 +67,7 @@ TOKEN = re.compile(
     re.S,
 )
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 WORD = re.compile(r"[a-z]+")
 EXPLICIT = re.compile(r"(article|main)(\.|\Z)")
 
@@ -84,22 +90,25 @@ def _opened(name: str, attrs: str, inside: list[_Open]) -> _Open:
     if name == "header":
         furniture = not any(o.name in ("article", "main") for o in inside)
     if attrs:
+        in_article = any(o.name in ("article", "main") for o in inside)
+        given: dict[str, str] = {}
         for key, *values in ATTRIBUTE.findall(attrs):
-            value = next(filter(None, values), "").lower()
-            key = key.lower()
-            if key == "role":
-                furniture |= value in ROLES
-            elif key == "hidden":
-                furniture = True
-            else:
-                tokens = [WORD.findall(token) for token in value.split()]
-                # "with-sidebar" names a neighbour, not the element itself.
-                marks = {w for token in tokens if token and token[0] not in NEIGHBOUR for w in token}
-                if key == "class":
-                    step += "." + ".".join(value.split())
-                if name not in ("html", "body", "article", "main"):
-                    furniture |= bool(marks & MARKS)
-                    furniture |= "header" in marks and not any(o.name in ("article", "main") for o in inside)
+            given.setdefault(key.lower(), next(filter(None, values), "").lower())
+        furniture |= "hidden" in given or given.get("role", "") in ROLES
+        step += "".join("." + token for token in given.get("class", "").split())
+        marks: set[str] = set()
+        clear = False
+        for key in ("class", "id"):
+            tokens = [WORD.findall(token) for token in given.get(key, "").split()]
+            # "with-sidebar" names a neighbour, not the element itself.
+            words = {w for token in tokens if token and token[0] not in NEIGHBOUR for w in token}
+            marks |= words
+            # A heading's or paragraph's id is made from what it says.
+            clear |= bool(words & CLEAR) and not (key == "id" and name in TEXT)
+        if name not in ("html", "body", "article", "main"):
+            few = in_article or name in TEXT
+            furniture |= clear or len(marks & MARKS) > few
+            furniture |= "header" in marks and not in_article and name not in TEXT
     return _Open(name, step, furniture or (bool(inside) and inside[-1].furniture))
 
 
