@@ -36,16 +36,28 @@ def site_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one with the smallest id, of each group linked by 5-word Jaccard similarity >= 0.8."""
-    found = ngram_join.jaccard_components(docs, percent=80)
-    dropped = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    # Rows that repeat an id are one document, of which one row stays.
-    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """Keep one document, the one with the smallest id, of each group linked by 5-word Jaccard similarity >= 0.8.
+
+    Rows are decided on one by one: rows that share an id but not the text are
+    documents of their own, and of rows that share both one stays. Rows without
+    an id stay.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    repeated = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
-        return kept
-    one = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+        found = ngram_join.jaccard_components(docs, percent=80)
+        dropped = found.where("doc_id != component_id").select("doc_id")
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # Numbers of rows in the order of ids take the place of the ids.
+    row = F.monotonically_increasing_id()
+    rows = materialize(named.orderBy("doc_id", F.xxhash64("text")).withColumn("_row", row), "numbered-documents")
+    found = ngram_join.jaccard_components(rows, id_col="_row", percent=80)
+    dropped = found.where("_row != component_id").select("_row")
+    kept = rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    # Texts without words link with nothing; equal ones of one id are still one document.
+    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

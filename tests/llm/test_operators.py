@@ -263,6 +263,23 @@ def test_mixed_corpus(spark):
     assert mixing.take(none, mixing.mix(none)).count() == 0
 
 
+def test_mixed_corpus_of_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(18)
+    rows = [(None if i % 2 else i // 8, made_up_text(rng, rng.randrange(1, 30)), f"s{i % 3}") for i in range(120)]
+    rows += [rows[0], rows[1], rows[1], (None, "a b c", "s0"), (None, "a b c", "s1"), (7, None, "s2"), (None, "", "s2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_key string").select("*", F.col("row_key").alias("source"))
+    mixed = mixing.mix(df)
+    want, got, whole = defaultdict(int), defaultdict(int), Counter((k, t) for k, t, _ in rows)
+    for r in mixed.collect():
+        want[r.source] += r.taken
+    taken = mixing.take(df, mixed).collect()
+    for r in taken:
+        got[r.source] += len(WORD.findall(r.text))
+    assert got == want
+    times = Counter((r.doc_id, r.text) for r in taken)
+    assert all(n <= 3 * whole[k] for k, n in times.items() if k in whole)
+
+
 # -- 4 licenses --------------------------------------------------------------------
 
 

@@ -88,3 +88,14 @@ def test_stages(spark):
     again = queries.QUERIES["pipeline"](spark, SF).collect()
     key = ("doc_id", "piece", "start", "length", "ids_crc32")
     assert Counter(tuple(r[k] for k in key) for r in again) == want
+
+
+def test_near_duplicates_are_rows_not_ids(spark):
+    words = [" ".join(f"{x}{i}" for i in range(30)) for x in "abcdefg"]
+    a, b, c, d, e, f, g = words
+    rows = [(1, a), (2, b), (5, c), (5, d), (6, a + " more"), (6, e), (7, f), (7, f), (8, ""), (8, ""), (8, None), (9, "")]
+    rows += [(None, a), (None, a), (None, g)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, df.repartition(3), SF)
+    want = [(1, a), (2, b), (5, c), (5, d), (6, e), (7, f), (8, ""), (8, None), (9, ""), (None, a), (None, a), (None, g)]
+    assert Counter(map(tuple, got.collect())) == Counter(want)

@@ -17,6 +17,13 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of hash of a whole row: rows that share it are equal in every column."""
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+    nulls = F.concat(*(c.isNull().cast("string") for c in columns))  # a hash passes over NULLs
+    return F.struct(F.xxhash64(nulls, *columns).alias("h1"), F.xxhash64(F.lit(1), nulls, *columns).alias("h2"))
+
+
 def source_targets(
     sizes: DataFrame, source: str, size: str, weights: Sequence[int] = (5, 2, 1), most_epochs: int = 3
 ) -> DataFrame:
@@ -81,13 +88,16 @@ def mix(
     exactly.
 
     Returns ``id_col, source_col, size, source_size, target, taken`` and
-    ``text_col``. NULL text has size 0; a NULL source is a source of its own.
+    ``row_key``, a hash of the whole row by which ``take`` finds it. NULL text has size 0; a NULL source is a source of its own.
     Keys hash the id and the seed alone, so reruns agree; rows that agree in
-    id and size are interchangeable. Other columns are left out: join them back
-    by id. An empty table gives no rows.
+    id and size come in the order of ``row_key``. Other columns are left out:
+    join them back by it. An empty table gives no rows.
     """
     sized = docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(text_col).alias("size")
+        F.col(id_col).alias("_id"),
+        F.col(source_col).alias("_source"),
+        word_count(text_col).alias("size"),
+        row_key(docs).alias("row_key"),
     )
     targets = source_targets(sized, "_source", "size", weights, most_epochs)
     plan = targets.select(
@@ -102,6 +112,7 @@ def mix(
         "_id",
         "_source",
         "size",
+        "row_key",
         "source_size",
         "target",
         "_budget",
@@ -118,7 +129,7 @@ def mix(
     )
     inside = (
         Window.partitionBy("_source", "_range")
-        .orderBy("_key", "_id", "size")
+        .orderBy("_key", "_id", "size", "row_key")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = keyed.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("_before")).join(
@@ -134,24 +145,34 @@ def mix(
         "source_size",
         "target",
         (F.col("size") * whole + part).cast("long").alias("taken"),
+        "row_key",
     )
 
 
-def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
-    """The mixed corpus: the rows of ``docs``, once for each time the mix takes them.
+def take(docs: DataFrame, mixed: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
+    """The mixed corpus: the rows of ``docs``, once for each time the mix of just these rows takes them.
 
     A row taken in part comes with the text up to the end of its last word
     taken and with the length of that text; rows of which nothing is taken go.
-    Ids should be unique. The columns are those of ``docs``.
+    Rows are found by ``row_key``, so ids may repeat or be NULL. Of rows equal
+    in every column one stands for all, and comes for each of them. The columns
+    are those of ``docs``.
     """
-    mixed = mixed.select(F.col(id_col).alias("_id"), "size", "taken")
+    wanted = mixed.where("taken > 0").groupBy("row_key").agg(F.first("size").alias("size"), F.collect_list("taken").alias("_all"))
+    repeated = mixed.groupBy("row_key").count().where("count > 1").select("row_key")
     columns, schema = docs.columns, docs.schema
     docs, number = numbered(docs)
+    docs = docs.select("*", row_key(docs).alias("_key"))
+    if not repeated.isEmpty():
+        repeated = repeated.select(F.col("row_key").alias("_repeated"))
+        several = docs.join(repeated, F.col("_key") == F.col("_repeated"), "left_semi").dropDuplicates(["_key"])
+        docs = docs.join(repeated, F.col("_key") == F.col("_repeated"), "left_anti").unionByName(several)
     text = F.col(number[text_col])
     epochs = F.expr("sequence(1L, (taken + size - 1) div size)")
     left = F.expr("least(size, taken - (epoch - 1) * size)")
     rows = (
-        docs.join(mixed.where("taken > 0"), F.col(number[id_col]).eqNullSafe(F.col("_id")))
+        docs.join(wanted, F.col("_key") == F.col("row_key"))
+        .select("*", F.explode("_all").alias("taken"))
         .select("*", F.explode(epochs).alias("epoch"))
         .select("*", left.alias("left"))
     )
