@@ -332,6 +332,16 @@ def test_license_scan(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("between", [0, 3, 12])
+def test_license_copies_that_follow_each_other(spark, between):
+    rng = random.Random(14)
+    name, text = next(t for t in licenses.TEMPLATES if t[0] == "mit-permission")
+    lead, gap, n = made_up_text(rng, 11), made_up_text(rng, between), len(text.split())
+    df = spark.createDataFrame([(1, f"{lead} {text} {gap} {text} {gap} {text}")], "doc_id long, text string")
+    got = sorted((r.start, r.end, r.containment) for r in licenses.scan(df).collect() if r.license == name)
+    assert got == [(11 + i * (n + between), 11 + i * (n + between) + n, 1.0) for i in range(3)]
+
+
 # -- 5 urls --------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardstar.llm.common import materialize
@@ -139,9 +139,10 @@ def scan(
 
     Verification: at each place where a retrieved template would begin, the
     exact share of its distinct shingles within the span of its length, half a
-    window wider on both sides, must reach ``containment``. Overlapping
-    places of one template are one match: its best place. ``start`` and ``end``
-    count words (the span of the template's length).
+    window wider on both sides, must reach ``containment``. Of places of one
+    template whose spans overlap the best is the match: the one with the highest
+    share, then the highest share within the span alone, then the first.
+    ``start`` and ``end`` count words (the span of the template's length).
 
     The candidates are written to the shared folder first, so Spark knows their
     size when it joins them to the texts. NULL, empty and short texts hold
@@ -197,26 +198,30 @@ def scan(
     )
     span = F.slice("_shingles", F.col("_from") + 1, F.col("begin") + F.col("n") + slack - F.col("_from"))
     share = F.size(F.array_intersect("distinct", span)) / F.size("distinct")
-    checked = checked.where(F.col("begin") + F.col("n") + slack > F.col("_from")).select(
-        "_id", "license", "begin", "n", share.alias("containment")
+    own_from = F.greatest("begin", F.lit(0))
+    own = F.slice("_shingles", own_from + 1, F.greatest(F.col("begin") + F.col("n") - own_from, F.lit(0)))
+    checked = (
+        checked.where(F.col("begin") + F.col("n") + slack > F.col("_from"))
+        .select("*", share.alias("containment"))
+        .where(F.col("containment") >= containment)
+        .select("_id", "license", "begin", "n", "containment", F.size(F.array_intersect("distinct", own)).alias("own"))
     )
-    hits = checked.where(F.col("containment") >= containment).distinct()
-
-    order = Window.partitionBy("_id", "license").orderBy("begin")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    # A match begins where no earlier place of the template reaches.
-    opens = F.coalesce(F.max("begin").over(earlier) + F.col("n") <= F.col("begin"), F.lit(True))
-    runs = hits.select("*", opens.cast("int").alias("_opens"))
-    runs = runs.select("*", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_run"))
-    best = F.struct("containment", (-F.col("begin")).alias("back"))
-    return (
-        runs.groupBy("_id", "license", "_run")
-        .agg(F.max(best).alias("best"), F.first("n").alias("n"))
-        .select(
-            F.col("_id").alias(id_col),
-            "license",
-            F.greatest(-F.col("best.back"), F.lit(0)).alias("start"),
-            (-F.col("best.back") + F.col("n") + (SHINGLE - 1)).alias("end"),
-            F.col("best.containment").alias("containment"),
-        )
+    place = F.struct(
+        (-F.col("containment")).alias("missing"), (-F.col("own")).alias("away"), "begin", F.col("n").cast("long").alias("n")
+    )
+    hits = checked.groupBy("_id", "license").agg(F.sort_array(F.collect_set(place)).alias("places"))
+    # From the best place on, each that overlaps no place taken before.
+    chosen = F.aggregate(
+        "places",
+        F.slice("places", 1, 0),
+        lambda taken, p: F.when(
+            F.exists(taken, lambda t: F.abs(t["begin"] - p["begin"]) < p["n"]), taken
+        ).otherwise(F.concat(taken, F.array(p))),
+    )
+    return hits.select("_id", "license", F.explode(chosen).alias("p")).select(
+        F.col("_id").alias(id_col),
+        "license",
+        F.greatest(F.col("p.begin"), F.lit(0)).alias("start"),
+        (F.col("p.begin") + F.col("p.n") + (SHINGLE - 1)).cast("int").alias("end"),
+        (-F.col("p.missing")).alias("containment"),
     )
