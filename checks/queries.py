@@ -541,7 +541,10 @@ def audit_unresolved(bed):
 
 @query
 def audit_catalog(bed):
-    """Every rule of the catalogue over the tables of the four sources and the warehouse: violations by rule."""
+    """Violations by rule, of the catalogue's tables that the sources and the warehouse have here.
+
+    Rules that hold and rules that can't be checked have no row: ``audit_all`` with ``absent`` and ``summary`` name those.
+    """
     roles = {"G1": bed.roles.g1, "G2": bed.roles.g2, "G3": bed.roles.g3, "G4": bed.roles.g4, "DW": bed.warehouse}
     tables = {f"{source}.{name}": df for source, given in roles.items() for name, df in given.items()}
     found = Q.summary(Q.audit_all(CATALOG, tables, AS_OF))

@@ -108,6 +108,14 @@ def test_catalogue_on_one_table(spark):
     ]
 
 
+def test_rules_of_absent_tables_are_named(spark):
+    tables = {"G2.veiculo": spark.createDataFrame([(1,)], "id_veiculo int")}
+    got = {r.regra: r.nao_verificada for r in Q.summary(Q.audit_all(CATALOG, tables, absent=True)).collect()}
+    absent = {rule for n, r in CATALOG.items() if n not in tables for rule in Q.rule_names(n, r)}
+    assert absent and all(got[rule] for rule in absent)
+    assert Q.summary(Q.audit_all(CATALOG, {}, absent=True)).where("NOT nao_verificada").count() == 0
+
+
 def test_the_golden_warehouse_breaks_no_rule(golden):
     tables = {f"DW.{t}": df for t, df in golden.items()}
     assert Q.summary(Q.audit_all(CATALOG, tables)).where("violacoes > 0 OR nao_verificada").count() == 0

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardstar import config as C
@@ -229,11 +229,30 @@ def audit_table(
     return _all_of(parts)
 
 
+def rule_names(name: str, rules: TableRules) -> list[str]:
+    """Every rule of one table, as the audit names them."""
+    names = [f"unico:{'+'.join(k)}" for k in (rules.key, *rules.unique)]
+    names += [f"referencia:{column}" for column in rules.references]
+    names += [r.name for r in (*required(*rules.required), *rules.checks)]
+    if rules.one_active:
+        names.append(f"um_ativo:{rules.one_active[0]}")
+    return [f"{name}:{n}" for n in dict.fromkeys(names)]
+
+
 def audit_all(
-    catalog: Mapping[str, TableRules], tables: Mapping[str, DataFrame], as_of: date | None = None
+    catalog: Mapping[str, TableRules], tables: Mapping[str, DataFrame], as_of: date | None = None, absent: bool = False
 ) -> DataFrame:
-    """Violations of every table that is both in the catalog and given."""
-    return _all_of([audit_table(n, r, tables, as_of) for n, r in catalog.items() if n in tables])
+    """Violations of every table that is both in the catalog and given.
+
+    With ``absent``, each rule of a table that isn't given is an unchecked row
+    of its own.
+    """
+    parts = [audit_table(n, r, tables, as_of) for n, r in catalog.items() if n in tables]
+    unchecked = [(rule, None, f"{UNCHECKED}: {n}") for n, r in catalog.items() if n not in tables for rule in rule_names(n, r)]
+    if absent and unchecked:
+        spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+        parts.append(spark.createDataFrame(unchecked, "regra string, chave string, detalhe string"))
+    return _all_of(parts)
 
 
 def summary(violations: DataFrame) -> DataFrame:
