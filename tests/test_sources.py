@@ -160,7 +160,7 @@ def test_dimensions(star):
     clients = {(r[0], r[1]): tuple(r)[2:] for r in star["dim_cliente"].select(
         "fonte_grupo", "id_cliente_orig", "tipo_pessoa", "cpf_cnpj", "cidade_origem", "uf_origem").collect()}
     assert clients == {
-        ("G1", 501): ("PF", "12345678901", "NAO_INFORMADO", None),
+        ("G1", 501): ("PF", "00000000191", "NAO_INFORMADO", None),
         ("G2", 1): ("PF", "11111111111", "RIO", None),
         ("G2", 2): ("PJ", "22222222222222", "NITERÓI", None),
         ("G3", 1): ("PF", "33333333333", "RIO", "RJ"),
