@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from yardstar.llm import html, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, quality, topk, url_rules
-from yardstar.session import configure
+from pyspark.sql import functions as F
+
+from yardstar.llm import (
+    html,
+    licenses,
+    line_dedup,
+    mixing,
+    near_vectors,
+    ngram_join,
+    packing,
+    quality,
+    token_files,
+    topk,
+    url_rules,
+)
+from yardstar.session import configure, shared_dir
 
 URL_RULES = (
     ("com", "/", "allow"),
@@ -74,6 +88,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, "source", "text", ratio=0.05, min_pages=5)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = f"{shared_dir(spark)}/yardstar/llm/{spark.sparkContext.applicationId}/token-files-{uuid.uuid4().hex}"
+    token_files.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -92,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_main_text,
         op10_line_dedup,
+        op11_token_files,
         pipeline,
     )
 }
