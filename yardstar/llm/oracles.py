@@ -131,3 +131,24 @@ WITH lines AS (
 SELECT d.doc_id, d.source, t.text, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_dropped, 0) AS n_dropped
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id))::INT AS rank,
+       n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""

@@ -16,6 +16,7 @@ from yardstar.llm import (
     line_dedup,
     mixing,
     near_vectors,
+    negatives,
     ngram_join,
     packing,
     quality,
@@ -95,6 +96,14 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(
+        table(spark, sf_dir, "embeddings"),
+        "vec_id % 50 = 0",
+        label="if(vec_id % 7 = 0, (label + 1) % 10, label)",
+    ).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -114,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_main_text,
         op10_line_dedup,
         op11_token_files,
+        op12_hard_negatives,
         pipeline,
     )
 }
