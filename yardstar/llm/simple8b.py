@@ -54,11 +54,11 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     selector = np.zeros(n, np.int8)
     for s, (count, bits) in enumerate(FIELDS):
         misfit = values >= np.uint64(_limit(bits))
+        if bits < ESCAPING_BITS and np.count_nonzero(misfit) > n - min(n, count):
+            continue  # no word of them is without a misfit
         before = np.zeros(n + count, np.int32)
         np.cumsum(misfit, out=before[1 : n + 1])
         before[n + 1 :] = before[n]
-        if before[n] == n and bits < ESCAPING_BITS:
-            continue
         escapes = before[count:] - before[:n] if count > 1 else misfit
         its_cost = (1 + escapes) * np.float32(1 / count)
         if count > 1:  # words at the end that are not filled

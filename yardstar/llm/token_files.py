@@ -389,9 +389,9 @@ class WordEncoder:
             cut[[match.start(), match.end()]] = True
             at = match.end()
         # Cuts at white space and at the borders of words add nothing: words begin and end there.
-        inner = np.flatnonzero(cut[:-1])
-        inner = inner[~SPACE[data[inner]]]
-        start = np.union1d(found.start, inner)
+        cut[:-1] &= ~SPACE[data]
+        cut[found.start] = True
+        start = np.flatnonzero(cut[:-1])
         of = np.searchsorted(found.start, start, "right") - 1
         end = np.minimum(np.append(start[1:], len(data)), found.end[of])
         low = data.copy()
@@ -399,9 +399,7 @@ class WordEncoder:
         np.cumsum(letter[data], out=plain[1:])
         upper = (data >= 0x41) & (data <= 0x5A)
         all_letters = plain[end] - plain[start] == end - start
-        inside = np.zeros(len(data) + 1, np.int32)
-        np.add.at(inside, start[all_letters], 1)
-        np.add.at(inside, end[all_letters], -1)
+        inside = np.bincount(start[all_letters], minlength=len(data) + 1) - np.bincount(end[all_letters], minlength=len(data) + 1)
         low[upper & (np.cumsum(inside)[:-1] > 0)] |= 0x20
         return start, end, found.text[of], span_hash(low, start, end)
 
@@ -423,14 +421,23 @@ class WordEncoder:
         if new.any():
             raw = data.tobytes()
             spans = zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)
-            got = self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in spans], add_special_tokens=False)
-            self._keep(keys[new], [e.ids for e in got])
+            self._keep(keys[new], self._learn([raw[a:b] for a, b in spans]))
             place = np.searchsorted(self.keys, keys)
         at, many = self.at[place][which], self.many[place][which]
         total = np.concatenate([[0], np.cumsum(many)])
         ids = self.store[np.repeat(at - total[:-1], many) + np.arange(total[-1])]
         return ids, total[np.searchsorted(text, np.arange(len(offsets)))]
 
+    def _learn(self, found: list[bytes]) -> list[list[int]]:
+        """Ids of each stretch. One of ASCII letters alone is a single piece that the merges take as it stands."""
+        merges = self.tokenizer.model
+        ids = [[t.id for t in merges.tokenize(x.lower().decode())] if x.isalpha() else None for x in found]
+        others = [i for i, x in enumerate(ids) if x is None]
+        got = self.tokenizer.encode_batch_fast([found[i].decode() for i in others], add_special_tokens=False)
+        for i, e in zip(others, got, strict=True):
+            ids[i] = e.ids
+        return ids
+
     def _keep(self, keys: np.ndarray, ids: list[list[int]]) -> None:
         many = np.array([len(i) for i in ids])
         flat = np.array([i for its in ids for i in its], np.uint32)
@@ -468,7 +475,7 @@ def write(
     A document is the ids of its text as the tokenizer gives them, without the
     tokens it would put around it, and ``end_id``. NULL and empty texts are
     ``end_id`` alone. NULL ids come first; rows that share an id are documents
-    of their own, in the order of their texts. Other columns aren't written, an
+    of their own, in the order of a hash of their texts. Other columns aren't written, an
     empty table is a data set without documents.
 
     Rows are dealt into ranges of id and of a hash of the text, so that rows
@@ -478,7 +485,7 @@ def write(
     """
     docs.sparkSession.dataSource.register(Simple8bSource)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text").asc(), F.asc_nulls_first("text")]
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text").asc()]
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder_of(tokenizer_path)
@@ -492,5 +499,5 @@ def write(
                 coded = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(whole.tobytes())])
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), coded], ["doc_id", "ids"])
 
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.asc_nulls_first("text"))
     ranged.mapInArrow(encode, SCHEMA).write.format("simple8b").mode("append").save(path)
