@@ -152,3 +152,76 @@ FROM positives p JOIN scored n USING (anchor_id)
 WHERE NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
 QUALIFY rank <= 3
 """
+
+# The damage by a bitwise CRC, the repair by one step a row that keeps, for each state of the structure, the cheapest edits
+# so far and of these the least in ASCII: of two ways to one state at one cost, neither audit begins with the other.
+ORACLES["op13_conversation_repair"] = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), crcs AS (
+  SELECT k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS d
+  FROM (SELECT DISTINCT k FROM keyed)
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed JOIN crcs USING (k) WHERE d <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || ':' || text)) AS pos FROM damaged
+), seen AS (
+  SELECT *, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS i0,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault
+  FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (i0 IS NOT NULL AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM seen GROUP BY conv_id
+), steps(a, role, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+-- Ways from state to state by up to three insertions; more never pay.
+ins(a, b, n, roles) AS (
+  SELECT s, s, 0, []::VARCHAR[] FROM (VALUES (0), (1), (2), (3)) t(s)
+  UNION ALL
+  SELECT ins.a, steps.b, ins.n + 1, list_append(ins.roles, steps.role) FROM ins JOIN steps ON ins.b = steps.a AND steps.role <> 's'
+  WHERE ins.n < 3
+), moves AS (
+  SELECT i.a, i.n, i.roles, e.* FROM ins i JOIN (
+    SELECT a AS c, 'D' AS letter, '*' AS needs, '' AS gives, a AS b FROM (VALUES (0), (1), (2), (3)) t(a)
+    UNION ALL SELECT a, 'K', role, '=', b FROM steps
+    UNION ALL SELECT a, 'R', '*', role, b FROM steps WHERE role <> 's') e ON i.b = e.c
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines
+  FROM (SELECT DISTINCT conv_id FROM seen)
+  UNION ALL
+  SELECT conv_id, pos, state, (best).cost, (best).audit, (best).lines FROM (
+    SELECT w.conv_id, s.pos, m.b AS state, min(struct_pack(
+      cost := w.cost + 2 * m.n + CASE m.letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+        + CASE WHEN s.fault = 't' AND m.letter <> 'D' THEN 1 ELSE 0 END,
+      audit := w.audit || repeat('I', m.n) || m.letter,
+      lines := w.lines || list_transform(m.roles, lambda r: CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+        || CASE WHEN m.letter = 'D' THEN []::VARCHAR[] WHEN m.letter = 'K' THEN [s.role || ':' || s.text]
+           ELSE [CASE m.gives WHEN 'u' THEN 'user:' ELSE 'assistant:' END || s.text] END)) AS best
+    FROM walk w JOIN seen s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.pos = w.pos + 1
+      JOIN moves m ON m.a = w.state AND (m.needs = '*' OR m.needs = s.i) AND (m.letter = 'D' OR s.fault NOT IN ('b', 'd'))
+    GROUP BY w.conv_id, s.pos, m.b)
+), ended AS (
+  SELECT w.conv_id, min(struct_pack(cost := w.cost + 2 * i.n, audit := w.audit || repeat('I', i.n),
+      lines := w.lines || list_transform(i.roles, lambda r: CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END))) AS best
+  FROM walk w JOIN (SELECT conv_id, max(pos) AS pos FROM seen GROUP BY conv_id) l
+      ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.pos = w.pos
+    JOIN ins i ON i.a = w.state AND i.b IN (0, 3)
+  GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce((best).cost, 0) AS cost,
+       coalesce((best).audit, '') AS audit, sha256(coalesce(array_to_string((best).lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+  LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

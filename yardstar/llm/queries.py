@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardstar.llm import (
+    conversations,
     html,
     licenses,
     line_dedup,
@@ -104,6 +105,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(given), copies=F.col("copies"))
+    return conversations.summary(given, repaired)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_dedup,
         op11_token_files,
         op12_hard_negatives,
+        op13_conversation_repair,
         pipeline,
     )
 }
