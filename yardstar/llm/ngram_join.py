@@ -21,6 +21,7 @@ TREE_DIMENSIONS = 64  # of the trees' boxes: groups with equal remainders are ad
 FINE_DIMENSIONS, FINE_FROM = 1024, 256
 FREQUENCY_GROUPS = 1 << 18
 LEAF = 32
+SLICE_BYTES = 1 << 19  # of text in one pass: each takes about a hundred times as much in arrays
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -107,7 +108,7 @@ def _describe(docs: DataFrame) -> DataFrame:
         names = ["id", "n", "class", "point", "fine"]
         for batch in batches:
             kind = batch.schema.field("id").type
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(some["text"])
                 counts += np.bincount(_frequency_group(sets.hash), minlength=FREQUENCY_GROUPS)
                 large = sets.size >= FINE_FROM
@@ -174,7 +175,7 @@ def _entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entered: set[int] = set()
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(some["text"])
                 classes, n = sets.classes(), sets.size
                 new = np.zeros(len(n), bool)
@@ -375,7 +376,7 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def of_class(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE_BYTES):
                 same = shingle_sets(some["text"]).classes() == some["class"].to_numpy()
                 yield some.filter(pa.array(same))
 
@@ -415,7 +416,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, per_group: int =
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = np.zeros(0, np.uint64)
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(some["text"])
                 a, b = some["a"].to_numpy(), some["b"]
                 is_hub = np.asarray(b.is_null())
