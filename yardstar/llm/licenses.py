@@ -110,6 +110,35 @@ def _windows(shingles: Column, width: int, stride: int) -> Column:
     return _let(shingles, cut)
 
 
+def _text_bands(shingles: Column) -> Column:
+    """``(at, bands)`` of each window of a text, half overlapping the one before.
+
+    The minima of a window are the lower ones of its two halves, and each half
+    belongs to two windows, so minima are found once for each half.
+    """
+
+    def cut(s: Column) -> Column:
+        last = F.size(s) - WINDOW
+        halves = F.transform(
+            F.sequence(F.lit(0), F.size(s) - STRIDE, F.lit(STRIDE)), lambda at: _bands(F.slice(s, at + 1, STRIDE))
+        )
+
+        def joined(h: Column) -> Column:
+            windows = F.transform(
+                F.sequence(F.lit(0), F.size(h) - 2),
+                lambda k: F.struct(
+                    (k * STRIDE).alias("at"), F.zip_with(F.get(h, k), F.get(h, k + 1), lambda a, b: F.least(a, b)).alias("bands")
+                ),
+            )
+            # The last window ends with the text, so none of it stays uncovered.
+            tail = F.array(F.struct(last.alias("at"), _bands(F.slice(s, last + 1, WINDOW)).alias("bands")))
+            return F.when(last % STRIDE == 0, windows).otherwise(F.concat(windows, tail))
+
+        return F.when(F.size(s) >= WINDOW, _let(halves, joined))
+
+    return _let(shingles, cut)
+
+
 def template_table(spark, templates: Sequence[tuple[str, str]]) -> DataFrame:
     """``(license, shingles, n)`` of the templates with at least one shingle. Their total size is bounded."""
     if sum(len(text.split()) for _, text in templates) > MOST_TEMPLATE_WORDS:
@@ -164,29 +193,28 @@ def scan(
         ones.unionByName(wide.select("license", "offset", "value", "band")).distinct(), "license-bands"
     )
 
-    texts = docs.select(F.col(id_col).alias("id"), _shingles(_words(F.col(text_col))).alias("shingles"))
-    singles = texts.select("id", F.posexplode("shingles").alias("at", "value"), F.lit(-1).alias("band"))
+    # Rows are told apart by id and text: rows that share an id, NULL included, don't see each other's places.
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("key", F.xxhash64("_id", "_text"))
+    texts = rows.select("key", _shingles(_words(F.col("_text"))).alias("shingles"))
+    singles = texts.select("key", F.posexplode("shingles").alias("at", "value"), F.lit(-1).alias("band"))
     windows = (
-        texts.select("id", F.explode(_windows(F.col("shingles"), WINDOW, STRIDE)).alias("window"))
-        .select("id", F.col("window.at").alias("at"), _bands(F.col("window.w")).alias("bands"))
-        .select("id", "at", F.posexplode("bands").alias("band", "value"))
+        texts.select("key", F.explode(_text_bands(F.col("shingles"))).alias("window"))
+        .select("key", F.col("window.at").alias("at"), F.posexplode("window.bands").alias("band", "value"))
     )
-    met = singles.unionByName(windows.select("id", "at", "value", "band")).join(
+    met = singles.unionByName(windows.select("key", "at", "value", "band")).join(
         F.broadcast(index), ["band", "value"]  # bounded by MOST_TEMPLATE_WORDS
     )
-    candidates = met.select("id", "license", (F.col("at") - F.col("offset")).alias("begin")).distinct()
+    candidates = met.select("key", "license", (F.col("at") - F.col("offset")).alias("begin")).distinct()
     candidates = materialize(
-        candidates.groupBy("id").agg(F.collect_list(F.struct("license", "begin")).alias("found")), "license-candidates"
+        candidates.groupBy("key").agg(F.collect_list(F.struct("license", "begin")).alias("found")), "license-candidates"
     )
 
     slack = WINDOW // 2
-    placed = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        candidates, F.col("_id").eqNullSafe(F.col("id"))
-    )
-    placed = placed.select(
-        "_id", _shingles(_words(F.col("_text"))).alias("_shingles"), F.explode("found").alias("found")
-    ).select("_id", "_shingles", "found.license", "found.begin")
+    placed = rows.join(candidates, "key").select(
+        "key", "_id", _shingles(_words(F.col("_text"))).alias("_shingles"), F.explode("found").alias("found")
+    ).select("key", "_id", "_shingles", "found.license", "found.begin")
     checked = placed.join(F.broadcast(known.withColumnRenamed("shingles", "_template")), "license").select(
+        "key",
         "_id",
         "license",
         "begin",
@@ -204,12 +232,12 @@ def scan(
         checked.where(F.col("begin") + F.col("n") + slack > F.col("_from"))
         .select("*", share.alias("containment"))
         .where(F.col("containment") >= containment)
-        .select("_id", "license", "begin", "n", "containment", F.size(F.array_intersect("distinct", own)).alias("own"))
+        .select("key", "_id", "license", "begin", "n", "containment", F.size(F.array_intersect("distinct", own)).alias("own"))
     )
     place = F.struct(
         (-F.col("containment")).alias("missing"), (-F.col("own")).alias("away"), "begin", F.col("n").cast("long").alias("n")
     )
-    hits = checked.groupBy("_id", "license").agg(F.sort_array(F.collect_set(place)).alias("places"))
+    hits = checked.groupBy("key", "license").agg(F.first("_id").alias("_id"), F.sort_array(F.collect_set(place)).alias("places"))
     # From the best place on, each that overlaps no place taken before.
     chosen = F.aggregate(
         "places",
