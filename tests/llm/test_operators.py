@@ -640,3 +640,31 @@ def test_line_dedup(spark):
     assert Counter((r.doc_id, r.source, r.text, r.n_lines, r.n_dropped) for r in got) == want
     assert any(r.n_dropped for r in got)
     assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
+
+
+# -- rows that share an id ------------------------------------------------------
+
+
+def test_license_places_of_rows_that_share_an_id(spark):
+    name, text = next(t for t in licenses.TEMPLATES if len(t[1].split()) > 40)
+    before = {7: (2, 10, 90), None: (1, 7, 60), 8: (0,)}
+    rows = [(k, "word " * n + text, {"a": n}) for k, at in before.items() for n in at] + [(7, "word word " + text, {})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key map<string,int>")
+    found = [r for r in licenses.scan(df.select("doc_id", "text"), licenses.TEMPLATES).collect() if r.license == name]
+    assert sorted((r.doc_id or -1, r.start) for r in found) == sorted((k or -1, n) for k, at in before.items() for n in at)
+    more = [r for r in licenses.scan(df, licenses.TEMPLATES).collect() if r.license == name]
+    assert len(more) == len(found)
+
+
+def test_the_classifier_learns_from_one_document_of_an_id(spark):
+    """Thousands of copies of one labelled id neither crowd out the others nor grow what is fitted."""
+    rng = random.Random(8)
+    rows = [(i, made_up_text(rng, 40, 60) if i % 2 else made_up_text(rng, 40, 60).upper() + " !!!") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    crowd = [(1, "spam " * 30)] * 3_000 + [(1, None)] * 50
+    plain = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample_rows=100)
+    crowded = quality.train(spark.createDataFrame(rows + crowd, "doc_id long, text string"), labels, sample_rows=100)
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    for model in (plain, crowded):
+        scored = quality.score(texts, model).collect()
+        assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in scored) >= 180

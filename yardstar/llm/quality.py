@@ -183,7 +183,8 @@ def train(
 
     This bound is what keeps the fit in one place. Held-out rows, NULL labels
     and ids without a document are left out; an id labelled twice takes the
-    lower label. With one class alone every text scores its smoothed share.
+    lower label. Of documents that repeat an id one is learnt from, the one
+    whose text has the smallest hash. With one class alone every text scores its smoothed share.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(id_col))
     sample = (
@@ -195,6 +196,7 @@ def train(
     chosen = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(
         F.broadcast(sample), F.col("_doc") == F.col("_id")  # bounded by sample_rows
     )
+    chosen = chosen.groupBy("_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _few(batches):
@@ -206,7 +208,7 @@ def train(
     found = chosen.select(F.xxhash64("_id").alias("order"), F.col("_label").alias("label"), "text").mapInArrow(
         featurise, "order long, label int, features array<int>"
     )
-    rows = found.toArrow().sort_by("order").slice(0, 2 * sample_rows)
+    rows = found.toArrow().sort_by("order")  # one row for each id of the sample
     if not rows.num_rows:
         return fit([], np.zeros(0, np.int64))
     features = rows["features"].combine_chunks()
