@@ -174,6 +174,9 @@ SELECT * FROM (
   UNION ALL SELECT lower(fonte) || '_locacao', COUNT(*) FROM loc GROUP BY fonte
   UNION ALL SELECT 'g3_devolucao', COUNT(*) FROM loc WHERE fonte = 'G3' AND feita
   UNION ALL SELECT fonte || '_vaga', (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM nation) FROM (VALUES ('g3'), ('g4')) t(fonte))
+""",
+    "incremental_extract": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders
 """,
     "subclass_flatten": """
 SELECT id AS id_cliente, tipo AS tipo_pessoa, nome, '  ' || lower(cidade) || ' ' AS cidade_origem,
@@ -537,6 +540,55 @@ SELECT * FROM (
   UNION ALL SELECT 'G3.Veiculo:padrao:Chassi', COUNT(*) FROM peca WHERE p_size = 13
   UNION ALL SELECT 'G3.Veiculo:tamanho:Placa', COUNT(*) FROM peca WHERE length(placa) <> 7)
 WHERE violacoes > 0
+""",
+    "fleet_availability": """
+, frotas AS (SELECT fonte, grupo, COUNT(*) AS frota FROM peca CROSS JOIN fontes WHERE fonte <> 'G4' GROUP BY ALL)
+SELECT *, frota - reservados AS livres FROM (
+SELECT f.fonte AS fonte_grupo, f.grupo AS id_grupo, CAST(d.range AS DATE) AS dia, f.frota, COUNT(r.id) AS reservados
+FROM frotas f CROSS JOIN range(TIMESTAMP '2000-06-30', TIMESTAMP '2000-12-31', INTERVAL 1 DAY) d
+  LEFT JOIN reserva r ON r.fonte = f.fonte AND r.grupo = f.grupo AND r.status IN ('CONFIRMADA', 'EM_ANDAMENTO')
+    AND CAST(d.range AS DATE) BETWEEN r.d_retirada AND r.d_devolucao
+GROUP BY ALL)
+""",
+    "waiting_queue": """
+, vagas AS (SELECT grupo, id % 25 AS patio, COUNT(*) AS n FROM peca WHERE p_size % 3 = 0 GROUP BY ALL),
+fila AS (
+  SELECT p.grupo, p.patio, p.id, p.retirada, p.devolucao, COALESCE(v.n, 0) AS n,
+    row_number() OVER (PARTITION BY p.grupo, p.patio ORDER BY p.pedido_em, p.id) AS espera
+  FROM pedido p LEFT JOIN vagas v ON v.grupo = p.grupo AND v.patio = p.patio WHERE p.st = 'O'),
+passos AS (
+  SELECT grupo, patio, CAST(0 AS BIGINT) AS espera, CAST(NULL AS BIGINT) AS id, CAST(NULL AS BIGINT) AS vaga,
+    list_transform(range(n), lambda i: TIMESTAMP '0001-01-01') AS livre
+  FROM (SELECT DISTINCT grupo, patio, n FROM fila)
+  UNION ALL
+  SELECT grupo, patio, espera, id, CASE WHEN serve THEN k END,
+    CASE WHEN serve THEN list_transform(livre, lambda t, i: CASE WHEN i = k THEN devolucao ELSE t END) ELSE livre END
+  FROM (
+    SELECT f.*, p.livre, list_position(p.livre, list_min(p.livre)) AS k, COALESCE(list_min(p.livre) <= f.retirada, FALSE) AS serve
+    FROM passos p JOIN fila f ON f.grupo = p.grupo AND f.patio = p.patio AND f.espera = p.espera + 1))
+SELECT grupo AS grupo_id, patio AS patio_id, id AS id_reserva, espera, CAST(vaga AS INTEGER) AS vaga FROM passos WHERE espera > 0
+""",
+    "yard_inventory": """
+, movimento AS (
+  SELECT fonte, peca, quando, arg_max(struct_pack(patio := patio), volta * 1000 + COALESCE(patio, -1)) AS m FROM (
+    SELECT fonte, peca, saida AS quando, 0 AS volta, NULL::BIGINT AS patio FROM loc WHERE fonte IN ('G3', 'G4')
+    UNION ALL
+    SELECT l.fonte, l.peca, CASE WHEN l.fonte = 'G3' THEN dev3.volta ELSE l.volta END, 1,
+      CASE WHEN l.fonte = 'G3' THEN dev3.patio WHEN feita THEN l.patio_dev END
+    FROM loc l LEFT JOIN dev3 ON l.fonte = 'G3' AND dev3.id = l.id WHERE l.fonte IN ('G3', 'G4'))
+  WHERE quando IS NOT NULL GROUP BY ALL),
+trimestre AS (
+  SELECT CAST(range AS DATE) - 1 AS dia FROM range(TIMESTAMP '1996-01-01', TIMESTAMP '2003-01-01', INTERVAL 3 MONTH)),
+pergunta AS (
+  SELECT fonte, peca, dia, CAST(dia AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND AS ate
+  FROM (SELECT DISTINCT fonte, peca FROM movimento) CROSS JOIN trimestre),
+parado AS (
+  SELECT p.fonte, p.dia, m.m.patio AS patio
+  FROM pergunta p ASOF JOIN movimento m ON m.fonte = p.fonte AND m.peca = p.peca AND p.ate >= m.quando)
+SELECT f.fonte AS fonte_grupo, CAST(l.id AS BIGINT) AS id_patio, t.dia, COUNT(p.patio) AS veiculos
+FROM lugar l CROSS JOIN (VALUES ('G3'), ('G4')) f(fonte) CROSS JOIN trimestre t
+  LEFT JOIN parado p ON p.fonte = f.fonte AND p.dia = t.dia AND p.patio = l.id
+GROUP BY ALL
 """,
     "expand_quantities": """
 SELECT origem, destino, CAST(SUM(q) AS BIGINT) AS unidades, CAST(SUM(q * antes + q * (q + 1) // 2) AS BIGINT) AS soma_numeros,

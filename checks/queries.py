@@ -9,7 +9,7 @@ spans the sources covers every row once, in the source it belongs to.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,9 @@ from yardstar.functions.lookups import lookup
 from yardstar.operators import audits as Q
 from yardstar.operators import dims as D
 from yardstar.operators import facts
+from yardstar.operators.availability import fleet_availability as availability
+from yardstar.operators.availability import waiting_queue as serve_queue
+from yardstar.operators.inventory import yard_inventory as inventory
 from yardstar.operators.keys import assign_keys
 from yardstar.operators.rules import CATALOG
 from yardstar.operators.snapshot import snapshot_rows
@@ -27,6 +30,8 @@ from yardstar.plans import reports as R
 from yardstar.plans import source_views as V
 from yardstar.schemas import STAGING_DDL, STAR_DDL, conform_to, star_schema
 from yardstar.sources.golden import expand_quantities
+from yardstar.sources.incremental import StagingTable, Tracked
+from yardstar.sources.store import Store
 from yardstar.sources.testbed import AS_OF, Testbed, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +66,19 @@ def staging_row_counts(bed):
     )
 
 
+@query
+def incremental_extract(bed):
+    """The orders after two extracts: the first sees the early ones and some that are withdrawn later, the second what has changed."""
+    orders = bed.roles.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    early = orders.where("o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'")
+    withdrawn = early.where("o_orderkey % 97 = 0").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    tracked = Tracked("orders", ("o_orderkey",), "o_orderdate", "INTERVAL 1 DAY")
+    staged = StagingTable(Store(bed.spark, bed.scratch("extract")), tracked, orders.schema)
+    staged.extract(early.unionByName(withdrawn))
+    staged.extract(orders, find_deleted=True)
+    return staged.current()
+
+
 @query
 def subclass_flatten(bed):
     return bed.whole_staging["g2_cliente"].select(
@@ -316,6 +334,47 @@ def loaded_row_counts(bed):
     return _union(*parts)
 
 
+# -- fleet ------------------------------------------------------------------------
+@query
+def fleet_availability(bed):
+    """Free vehicles of each group on each day of the half year from the load's day on."""
+    held = facts.reservation_rows(bed.conformed).where(F.col("status_reserva").isin("CONFIRMADA", "EM_ANDAMENTO"))
+    held = held.select("fonte_grupo", "id_grupo", F.col("data_retirada").alias("retirada"), F.col("data_devolucao").alias("devolucao"))
+    s = bed.staging
+    fleet = _union(
+        _tagged(s["g1_veiculo"], "G1", "id_grupo"),
+        _tagged(s["g2_veiculo"], "G2", F.col("grupo_id").alias("id_grupo")),
+        _tagged(s["g3_veiculo"], "G3", "id_grupo"),
+    )
+    fleet = fleet.groupBy("fonte_grupo", "id_grupo").agg(F.count("*").alias("frota"))
+    return availability(held, fleet, F.lit(AS_OF), F.lit(AS_OF + timedelta(days=183)))
+
+
+@query
+def waiting_queue(bed):
+    """Waiting reservations of all orders, by group and yard, served with the available vehicles there."""
+    s = bed.whole_conformed
+    queued = s["g2_reserva"].where("estado = 'EM_FILA_ESPERA'").select(
+        "grupo_id",
+        F.col("patio_retirada_id").alias("patio_id"),
+        "id_reserva",
+        F.col("data_reserva").alias("pedido"),
+        F.col("data_retirada_prevista").alias("retirada"),
+        F.col("data_devolucao_prevista").alias("devolucao"),
+    )
+    slots = s["g2_veiculo"].where("situacao = 'DISPONIVEL'").groupBy("grupo_id", F.col("patio_origem_id").alias("patio_id"))
+    return serve_queue(queued, slots.agg(F.count("*").alias("vagas")), ["grupo_id", "patio_id"], "id_reserva")
+
+
+@query
+def yard_inventory(bed):
+    """Vehicles of G3 and G4 in each yard at the end of each quarter."""
+    quarters = [date(y, m, 1) - timedelta(days=1) for y in range(1996, 2003) for m in (1, 4, 7, 10)]
+    s = bed.staging
+    yards = _union(_tagged(s["g3_patio"], "G3", "id_patio"), _tagged(s["g4_patio"], "G4", "id_patio"))
+    return inventory(bed.conformed, yards, quarters)
+
+
 # -- reports ------------------------------------------------------------------
 @query
 def report_a_yard_control(bed):

@@ -18,7 +18,7 @@ from yardstar.operators.snapshot import snapshot_rows
 from yardstar.schemas import STAR_DDL, conform_to, star_schema
 from yardstar.sources.extract import complete_staging, extract_all
 from yardstar.sources.readers import Source
-from yardstar.sources.store import Store
+from yardstar.sources.store import Layer, Store
 
 DIMENSIONS = tuple(D.NATURAL_KEYS)
 FACTS = ("fato_locacao", "fato_reserva", "fato_patio_snapshot")
@@ -182,12 +182,33 @@ def run(sources: Mapping[str, Source], store: Store, cfg: LoadConfig | None = No
 def daily_snapshot(
     staging: Mapping[str, DataFrame], warehouse: Warehouse, cfg: LoadConfig
 ) -> DataFrame:
-    """Add (or redo) the snapshot of one day in a published version.
+    """Add (or redo) the snapshot of one day, as a version of its own; ``warehouse`` then stands at it.
 
-    Only that day's partition is replaced, so running a day twice is harmless.
+    The new version shares every file but that day's with the one before, which
+    stays as it is for whoever reads it. A snapshot that dies half-way is never
+    published; a day outside the calendar publishes nothing. If another load is
+    published meanwhile, this one is refused; on a warehouse that was not the
+    newest to begin with, the new version is read through ``warehouse`` alone.
     """
-    store = warehouse.store
+    store, previous, table = warehouse.store, warehouse.version, "fato_patio_snapshot"
+    aside = store.current() != previous
     conformed = conform(complete_staging(store.spark, staging))
-    last = warehouse["fato_patio_snapshot"].agg(F.max("sk_snapshot")).first()[0] or 0
+    before = warehouse[table]
+    last = before.agg(F.max("sk_snapshot")).first()[0] or 0
+    version = store.begin()
     rows = _number_snapshot(snapshot_rows(conformed, warehouse, cfg.as_of_column), last, cfg)
-    return store.write(rows, "fato_patio_snapshot", warehouse.version, ("sk_tempo",), replace_partitions=True)
+    written = store.write(rows, table, version, ("sk_tempo",))
+    days = [r[0] for r in written.select("sk_tempo").distinct().collect()]  # one day, or none
+    if not days:
+        return written
+    base, layers = store.place(previous)
+    kept = [x for x in layers if x.tabela == table]
+    if not kept:
+        old = [r[0] for r in before.select("sk_tempo").distinct().collect()]  # partition values: a day each
+        kept = [Layer(table, base, "sk_tempo", old)]
+    kept = [x._replace(valores=[d for d in x.valores if d not in days]) for x in kept]
+    others = [x for x in layers if x.tabela != table]
+    new = [*others, *(x for x in kept if x.valores), Layer(table, version, "sk_tempo", days)]
+    store.publish(version, [*DIMENSIONS, *FACTS], previous, base, new, aside)
+    warehouse.version = version
+    return written
