@@ -557,7 +557,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 with <b>bold</b> text. It is long enough to count.<p>Second&nbsp;one &lt;here&gt;, also of some length; indeed.<ul><li>Point one.<li>Point two</ul><p>Short.</p>{close}
 <aside><p>Side text, with marks. And more of it, to be long.</p></aside><section id="comments"><p>A comment, by a reader. It is long too.</p></section>
 <form><label>Mail</label><input value="x"><p>Sign up, now.</p></form><!-- <p>hidden</p> --><footer>&copy; all, of it.</footer></body></html>"""
-ARTICLE = "A & B\nFirst line, with bold text. It is long enough to count.\nSecond one <here>, also of some length; indeed.\nPoint one.\nPoint two\nShort."
+ARTICLE = "A & B\n\nFirst line, with bold text. It is long enough to count.\n\nSecond one <here>, also of some length; indeed.\n\nPoint one.\n\nPoint two\n\nShort."
 
 
 @pytest.mark.parametrize("tags", [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content with-sidebar">', "</div>"), ("", "")])
@@ -567,13 +567,13 @@ def test_main_text(tags):
 
 def test_main_text_of_odd_pages(spark):
     pages = [None, "", "plain text only", "<p>one<p>two", "<nav>menu</nav>", "<script>x", "<!-- open", "<p>a < b & c &#233;", "<b", "</p></div>x"]
-    want = ["", "", "plain text only", "one\ntwo", "", "", "", "a < b & c é", "", "x"]
+    want = ["", "", "plain text only", "one\n\ntwo", "", "", "", "a < b & c é", "", "x"]
     assert [html.main_text(p) for p in pages] == want
     long = "<article>" + "<p>word, word.</p>" * 20_000 + "</article>"
     rows = [(i, None, p, "clash") for i, p in enumerate([*pages, long])] + [(None, "u", "<p>x", "clash")] * 2
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = html.extract(df).collect()
-    assert [r.text for r in got[: len(pages)]] == want and got[len(pages)].text.count("\n") == 19_999
+    assert [r.text for r in got[: len(pages)]] == want and got[len(pages)].text.count("\n\n") == 19_999
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(rows)
     assert html.extract(df.limit(0)).count() == 0
 
@@ -583,7 +583,7 @@ def test_main_text_of_odd_pages(spark):
 def test_main_text_keeps_what_stands_around_a_long_body(tag, sentences):
     lead, body, end = "A lead, of some length; it says what follows.", "Long text, with marks. " * sentences, "The end, at last. It sums up."
     page = f"<body><nav><a href=/>Home</a></nav><{tag}><h1>Title</h1><p class=lead>{lead}</p><div class=body>{body}</div><div class=conclusion>{end}</div></{tag.split()[0]}></body>"
-    assert html.main_text(page) == "\n".join(["Title", lead, body.strip(), end])
+    assert html.main_text(page) == "\n\n".join(["Title", lead, body.strip(), end])
 
 
 @pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'aria-hidden="false"', 'title="hidden costs"', 'data-id="footer"', "data-role=navigation", "title='a class=ad'"])
@@ -603,7 +603,37 @@ def test_sections_of_an_article_may_be_named_as_furniture_is():
     page = f"""<body><article><p>{text}<h2 id="related-work">Related</h2><p id="form">{text}</p>
 <section id="discussion"><h2 id="search">Search</h2><p>{text}</p></section><div class="social-share">Share, now.</div></article>
 <div id="search">Search here.</div></body>"""
-    assert html.main_text(page) == "\n".join([text, "Related", text, "Search", text])
+    assert html.main_text(page) == "\n\n".join([text, "Related", text, "Search", text])
+
+
+LONG = "Some text, of a length; it goes on. And more of it, to be long enough."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div><a>Home</a></div><div><a>About</a></div><div><p>{LONG}</p><p>{LONG}</p></div><div><span>Copyright line 2024</span></div>",
+        f"<table><tr><td>Home News</td></tr><tr><td><p>{LONG}</p><p>{LONG}</p></td></tr><tr><td>All rights kept</td></tr></table>",
+    ],
+)
+def test_ratios_decide_where_no_name_helps(page, monkeypatch):
+    assert html.main_text(page) == f"{LONG}\n\n{LONG}"
+    monkeypatch.setattr(html, "path_scores", lambda found: {b.path: 1.0 for b in found})
+    assert html.main_text(page) != f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "attrs",
+    ['class="share"', 'class="cookie"', 'class="comment"', 'id="respond"', 'class="advertisement"', 'class="sponsor"', 'class="related-posts"'],
+)
+def test_containers_inside_an_article_that_are_none_of_it(attrs):
+    page = f"<body><article><p>{LONG}</p><div {attrs}><p>Other text, of a length. And more.</p></div><p>{LONG}</p></article></body>"
+    assert html.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+def test_a_discussion_beside_the_article_is_none_of_it():
+    page = f'<main><article><h1>Title</h1><p>{LONG}</p></article><section id="discussion"><p>I think so, too.</p></section></main>'
+    assert html.main_text(page) == f"Title\n\n{LONG}"
 
 
 # -- 10 lines ----------------------------------------------------------------------------

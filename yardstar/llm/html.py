@@ -55,8 +55,15 @@ CLEAR = set(
     "ad ads adv advert adverts adsense sponsored promo nav navbar breadcrumb breadcrumbs pagination pager sidebar "
     "masthead topbar toolbar comments disqus newsletter signup popup widget".split()
 )
+# Classes, and ids, of the containers inside an article that hold what is no part of it.
+BESIDE = set(
+    "comment comments respond reply replies cookie cookies consent gdpr advertisement advertising sponsor share sharing "
+    "related recommended recommendations subscribe subscription".split()
+)
+BESIDE_ID = set("comment comments respond replies cookie cookies consent gdpr advertisement advertising".split())
 TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 NEIGHBOUR = set("with without has have no not".split())
+UNMARKED = 0.4
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 
 TOKEN = re.compile(
@@ -69,7 +76,10 @@ TOKEN = re.compile(
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 WORD = re.compile(r"[a-z]+")
+ARTICLE = re.compile(r"article(\.|\Z)")
 EXPLICIT = re.compile(r"(article|main)(\.|\Z)")
+HEADING = re.compile(r"h[1-6](\.|\Z)")
+PIECE = re.compile(r"(p|h[1-6]|pre|blockquote|li|ul|ol|td|tr|tbody|table|dl|dd)(\.|\Z)")
 
 
 class Block(NamedTuple):
@@ -105,6 +115,7 @@ def _opened(name: str, attrs: str, inside: list[_Open]) -> _Open:
             marks |= words
             # A heading's or paragraph's id is made from what it says.
             clear |= bool(words & CLEAR) and not (key == "id" and name in TEXT)
+            clear |= bool(words & (BESIDE if key == "class" else BESIDE_ID)) and name not in TEXT
         if name not in ("html", "body", "article", "main"):
             few = in_article or name in TEXT
             furniture |= clear or len(marks & MARKS) > few
@@ -189,7 +200,8 @@ def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
 
     A path's text ratio is its unlinked characters per block, its punctuation
     ratio its marks per block; both are smoothed along the page over each
-    block and its neighbours, averaged by path, and multiplied.
+    block and its neighbours, averaged by path, and multiplied. A path without
+    any mark of its own has only ``UNMARKED`` of what its neighbours lend it.
     """
     of_path: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0, 0, 0])
     for b in found:
@@ -204,20 +216,23 @@ def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
         weight = sum(w for _, w in near)
         chars = sum(r[0] * w for r, w in near) / weight
         marks = sum(r[1] * w for r, w in near) / weight
-        smooth[b.path].append(math.log1p(chars) * (1 + math.log1p(marks)) * (of_path[b.path][1] > 0))
+        own = (of_path[b.path][1] > 0) * (1 if of_path[b.path][2] else UNMARKED)
+        smooth[b.path].append(math.log1p(chars) * (1 + math.log1p(marks)) * own)
     return {p: sum(v) / len(v) for p, v in smooth.items()}
 
 
 def main_text(page: str | None) -> str:
-    """The article of a page: its blocks, each with single spaces, joined by line ends; empty if there is none.
+    """The article of a page: its blocks, each with single spaces, joined by two line ends; empty if there is none.
 
     Furniture (menus, headers, footers, forms and the like, by element, role or
     class) is set aside. Of the other blocks the paths whose score reaches half
-    of the mean over characters are content. The article is the deepest element
-    around all content; if ``article`` and ``main`` elements hold nine tenths of
-    the content's characters, only the content inside them counts, and the
-    article is no less than such an element. All its blocks that are no
-    furniture are given, so short paragraphs and headings between stay.
+    of the mean over characters are content. Where ``article`` elements hold
+    half of the content's characters, the article is all that stands in them;
+    else, where ``main`` and ``article`` hold nine tenths, all that stands in
+    these. Without such elements the ratios decide: the article reaches, inside
+    the deepest element around all content, from the first block of content, or
+    the headings right before it, to the last. Short paragraphs and headings
+    between stay, blocks that are mostly links don't.
     """
     found = [b for b in blocks(page or "") if not b.furniture]
     if not found:
@@ -225,21 +240,26 @@ def main_text(page: str | None) -> str:
     score = path_scores(found)
     total = sum(len(b.text) for b in found)
     threshold = sum(score[b.path] * len(b.text) for b in found) / total / 2
-    content = [b for b in found if score[b.path] >= threshold and score[b.path] > 0]
+    content = [i for i, b in enumerate(found) if score[b.path] >= threshold and score[b.path] > 0]
     if not content:
         return ""
-    explicit = [(b, next((i for i in range(len(b.path), 0, -1) if EXPLICIT.match(b.path[i - 1])), 0)) for b in content]
-    marked = sum(len(b.text) for b, i in explicit if i)
-    if marked >= 0.9 * sum(len(b.text) for b in content):
-        around = [b.path[:i] for b, i in explicit if i]
-    else:
-        around = [b.path for b in content]
-    article = tuple(os.path.commonprefix(around))
-    if article and re.match(r"(p|h[1-6]|pre|blockquote|li|ul|ol|td|tr|tbody|table|dl|dd)\b", article[-1]):
-        # A single kind of block: its container may also hold the heading.
-        while article and re.match(r"(p|h[1-6]|pre|blockquote|li|ul|ol|td|tr|tbody|table|dl|dd)\b", article[-1]):
-            article = article[:-1]
-    return "\n".join(b.text for b in found if b.path[: len(article)] == article)
+    chars = sum(len(found[i].text) for i in content)
+    for explicit, share in ((ARTICLE, 0.5), (EXPLICIT, 0.9)):
+        inside = [any(explicit.match(step) for step in b.path) for b in found]
+        if sum(len(found[i].text) for i in content if inside[i]) >= share * chars:
+            return "\n\n".join(b.text for b, within in zip(found, inside, strict=True) if within)
+    around = tuple(os.path.commonprefix([found[i].path for i in content]))
+    while around and PIECE.match(around[-1]):
+        around = around[:-1]  # a single kind of block: its container may also hold the heading
+    first, last = content[0], content[-1]
+    while first and HEADING.match(found[first - 1].path[-1] if found[first - 1].path else ""):
+        first -= 1
+    kept = set(content)
+    return "\n\n".join(
+        b.text
+        for i, b in enumerate(found[first : last + 1], first)
+        if b.path[: len(around)] == around and (i in kept or 2 * b.linked < len(b.text))
+    )
 
 
 def extract(
