@@ -21,11 +21,20 @@ from yardstar.llm.common import materialize
 ORACLE_SQL = None
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A working name that no column of the input has, in any case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn ``labels.quality`` from the documents and keep those that score 0.7 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, label_col="quality")
-    return quality.score(docs, model, score_col="_score").where(quality.predict("_score") == 1).select(*docs.columns)
+    score = _unused(docs, "_score")
+    return quality.score(docs, model, score_col=score).where(quality.predict(score) == 1).select(*docs.columns)
 
 
 def site_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +58,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         dropped = found.where("doc_id != component_id").select("doc_id")
         return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     # Numbers of rows in the order of ids take the place of the ids.
-    row = F.monotonically_increasing_id()
-    rows = materialize(named.orderBy("doc_id", F.xxhash64("text")).withColumn("_row", row), "numbered-documents")
-    found = ngram_join.jaccard_components(rows, id_col="_row", percent=80)
-    dropped = found.where("_row != component_id").select("_row")
-    kept = rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    row, number = _unused(docs, "_row"), F.monotonically_increasing_id()
+    rows = materialize(named.orderBy("doc_id", F.xxhash64("text")).withColumn(row, number), "numbered-documents")
+    found = ngram_join.jaccard_components(rows, id_col=row, percent=80)
+    dropped = found.where(f"{row} != component_id").select(row)
+    kept = rows.join(dropped, row, "left_anti").select(*docs.columns)
     # Texts without words link with nothing; equal ones of one id are still one document.
     once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
     kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
