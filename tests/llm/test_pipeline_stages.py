@@ -99,3 +99,13 @@ def test_near_duplicates_are_rows_not_ids(spark):
     got = corpus_pipeline.near_duplicates(spark, df.repartition(3), SF)
     want = [(1, a), (2, b), (5, c), (5, d), (6, e), (7, f), (8, ""), (8, None), (9, ""), (None, a), (None, a), (None, g)]
     assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+def test_columns_named_like_working_columns_pass_through(spark, tmp_path):
+    rows = [(i, "good words here " * 5 + str(i % 7) if i % 2 else "bad !! " * 9, "x", i, -i) for i in range(40)]
+    docs = spark.createDataFrame(rows + [rows[1]], "doc_id long, text string, source string, _score int, _row long")
+    spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (corpus_pipeline.quality_classifier, corpus_pipeline.near_duplicates):
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        assert got.count() > 0 and all((r["_score"], r["_row"]) == (r.doc_id, -r.doc_id) for r in got.collect())
