@@ -425,6 +425,37 @@ passos AS (
   SELECT passo + 1, destino, SUM(p * prob / 10000.0::DOUBLE) FROM passos JOIN matriz ON origem = patio WHERE passo < 10
   GROUP BY passo, destino)
 SELECT patio, CAST(ROUND(p * 100, 2) AS DECIMAL(10,2)) AS percentual_equilibrio, TRUE AS convergiu FROM passos WHERE passo = 10
+""",
+    "markov_classes": """,
+mov AS (
+  SELECT origem, destino FROM matriz WHERE prob > 0
+  UNION SELECT destino, destino FROM matriz
+  WHERE prob > 0 AND destino NOT IN (SELECT origem FROM matriz WHERE prob > 0)),
+andar AS (
+  SELECT 1 AS passo, origem AS de, destino AS ate FROM mov
+  UNION SELECT passo + 1, de, destino FROM andar JOIN mov ON origem = ate WHERE passo < 25),
+nomes AS (SELECT origem AS y FROM mov UNION SELECT destino FROM mov),
+alcance AS (SELECT de, ate FROM andar UNION SELECT y, y FROM nomes),
+cl AS (SELECT a.de AS y, MIN(a.ate) AS classe FROM alcance a JOIN alcance b ON b.de = a.ate AND b.ate = a.de GROUP BY a.de),
+saida AS (
+  SELECT a.classe, BOOL_AND(a.classe = b.classe) AS fechada
+  FROM mov JOIN cl a ON a.y = origem JOIN cl b ON b.y = destino GROUP BY a.classe),
+ciclo AS (SELECT DISTINCT classe, passo FROM andar JOIN cl ON y = de WHERE de = ate),
+divisor AS (SELECT classe, d FROM ciclo, range(1, 26) r(d) GROUP BY classe, d HAVING BOOL_AND(passo % d = 0))
+SELECT y AS patio, classe, fechada, CAST((SELECT MAX(d) FROM divisor x WHERE x.classe = cl.classe) AS INTEGER) AS periodo
+FROM cl JOIN saida USING (classe)
+""",
+    "markov_long_run": """,
+mov AS (
+  SELECT origem, destino, prob::DOUBLE / SUM(prob) OVER (PARTITION BY origem) AS w FROM matriz WHERE prob > 0
+  UNION ALL SELECT DISTINCT destino, destino, 1.0::DOUBLE FROM matriz
+  WHERE prob > 0 AND destino NOT IN (SELECT origem FROM matriz WHERE prob > 0)),
+meio AS (SELECT origem, destino, w / 2 AS w FROM mov UNION ALL SELECT DISTINCT origem, origem, 0.5::DOUBLE FROM mov),
+passos AS (
+  SELECT 0 AS passo, origem AS patio, 1.0::DOUBLE / COUNT(*) OVER () AS p FROM (SELECT DISTINCT origem FROM mov)
+  UNION ALL
+  SELECT passo + 1, destino, SUM(p * w) FROM passos JOIN meio ON origem = patio WHERE passo < 300 GROUP BY passo, destino)
+SELECT patio, CAST(ROUND(p, 6) AS DECIMAL(10,6)) AS parcela FROM passos WHERE passo = 300
 """,
     "src_vehicles_by_yard": """
 SELECT upper(l.nome) AS patio, 'C' || p.grupo AS grupo, COUNT(*) AS total

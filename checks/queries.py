@@ -25,6 +25,7 @@ from yardstar.operators.inventory import yard_inventory as inventory
 from yardstar.operators.keys import assign_keys
 from yardstar.operators.rules import CATALOG
 from yardstar.operators.snapshot import snapshot_rows
+from yardstar.plans import chain_classes as K
 from yardstar.plans import markov as M
 from yardstar.plans import reports as R
 from yardstar.plans import source_views as V
@@ -476,6 +477,18 @@ def markov_converged(bed):
     return M.steady_state(_matrix(bed), bed.warehouse["dim_patio"], tol=1e-3, max_steps=50)
 
 
+@query
+def markov_classes(bed):
+    """Classes of yards that reach each other, whether vehicles leave them, and their periods."""
+    return K.communicating_classes(_matrix(bed))
+
+
+@query
+def markov_long_run(bed):
+    """Average share of vehicles per yard in the long run, also where the chain never settles."""
+    return K.long_run_shares(_matrix(bed))
+
+
 # -- views of source G2 -------------------------------------------------------
 @query
 def src_vehicles_by_yard(bed):
