@@ -346,6 +346,11 @@ UNION ALL SELECT 'fato_reserva', COUNT(*) FROM fr
 UNION ALL SELECT 'fato_patio_snapshot', COUNT(*) FROM foto
 UNION ALL SELECT 'fato_locacao:rejeitos', (SELECT COUNT(*) FROM locacao) - (SELECT COUNT(*) FROM fl)
 UNION ALL SELECT 'fato_reserva:rejeitos', (SELECT COUNT(*) FROM reserva) - (SELECT COUNT(*) FROM fr)
+""",
+    "settled_rejects": """
+SELECT fl.fonte AS fonte_grupo, fl.id AS id_locacao_orig, c.id AS id_cliente_orig, reais AS duracao_dias_real,
+  total AS valor_total, status AS status_locacao
+FROM fl JOIN d_cliente c ON c.sk = fl.sk_cliente
 """,
     "report_a_yard_control": """
 SELECT patio, dono AS empresa_dona_patio, g.nome AS grupo_veiculo, g.classe AS classe_luxo, origem,

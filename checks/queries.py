@@ -29,11 +29,12 @@ from yardstar.plans import chain_classes as K
 from yardstar.plans import markov as M
 from yardstar.plans import reports as R
 from yardstar.plans import source_views as V
+from yardstar.plans.pipeline import increment, load
 from yardstar.schemas import STAGING_DDL, STAR_DDL, conform_to, star_schema
 from yardstar.sources.golden import expand_quantities
 from yardstar.sources.incremental import StagingTable, Tracked
 from yardstar.sources.store import Store
-from yardstar.sources.testbed import AS_OF, Testbed, testbed
+from yardstar.sources.testbed import AS_OF, CONFIG, Testbed, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -335,6 +336,18 @@ def loaded_row_counts(bed):
     return _union(*parts)
 
 
+@query
+def settled_rejects(bed):
+    """Rentals after a load that lacks a third of the clients and an increment that brings them."""
+    clients = {"g1_cliente": "id_cliente", "g2_cliente": "id_cliente", "g3_cliente": "id_cliente", "g4_motorista": "id_motorista"}
+    late = {t: F.col(c) % 3 == 0 for t, c in clients.items()}
+    first = {t: df.where(~late[t]) if t in late else df for t, df in bed.staging.items()}
+    w = load(first, Store(bed.spark, bed.scratch("late-clients")), CONFIG)
+    w = increment({t: bed.staging[t].where(c) for t, c in late.items()}, w, CONFIG)
+    rentals = lookup(w["fato_locacao"], w["dim_cliente"], {"sk_cliente": "sk_cliente"}, {"id_cliente_orig": "id_cliente_orig"})
+    return rentals.select("fonte_grupo", "id_locacao_orig", "id_cliente_orig", "duracao_dias_real", "valor_total", "status_locacao")
+
+
 # -- fleet ------------------------------------------------------------------------
 @query
 def fleet_availability(bed):

@@ -24,6 +24,17 @@ Frames = Mapping[str, DataFrame]
 
 MONEY = "decimal(10,2)"
 
+# The columns of the laid-out rows: what a rejected row needs to be resolved again.
+ROW_DDL = {
+    "fato_locacao": "id_locacao_orig BIGINT, data_retirada DATE, data_devolucao DATE, id_cliente BIGINT, id_veiculo BIGINT, "
+    "id_patio_retirada BIGINT, id_patio_entrega BIGINT, duracao_dias_prevista INT, duracao_dias_real INT, "
+    "valor_diaria DECIMAL(10,2), valor_total DECIMAL(10,2), km_percorridos INT, status_locacao STRING, "
+    "locacao_intercompanhia BOOLEAN, fonte_grupo STRING",
+    "fato_reserva": "id_reserva_orig BIGINT, data_solicitacao DATE, data_retirada DATE, data_devolucao DATE, "
+    "id_cliente BIGINT, id_grupo BIGINT, id_patio_retirada BIGINT, id_patio_devolucao BIGINT, "
+    "duracao_prevista_dias INT, status_reserva STRING, fonte_grupo STRING",
+}
+
 
 def _rental(df: DataFrame, tag: str, **cols: str | Column | None) -> DataFrame:
     kinds = {

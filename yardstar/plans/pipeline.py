@@ -34,6 +34,7 @@ def stored_schema(table: str) -> T.StructType:
     schema = star_schema(table)
     if table in FACT_IDS:
         schema = schema.add("motivos", T.ArrayType(T.StringType()))
+        schema = schema.add("pendente", T.StructType.fromDDL(facts.ROW_DDL[table]))
     if table in FACT_KEYS:
         schema = schema.add(FACT_KEYS[table], T.LongType())
     schema = schema.add("dt_carga", T.TimestampNTZType())
@@ -62,7 +63,7 @@ class Warehouse(Mapping):
         df = self.store.read(table, self.version, stored_schema(table))
         if table in FACT_IDS:
             # A partition filter: reject files are not read.
-            df = df.where(F.col("carga") == ACCEPTED).drop("carga", "motivos")
+            df = df.where(F.col("carga") == ACCEPTED).drop("carga", "motivos", "pendente")
         return df
 
     def __iter__(self):
@@ -76,6 +77,11 @@ class Warehouse(Mapping):
         df = self.store.read(table, self.version, stored_schema(table)).where(F.col("carga") == REJECTED)
         return df.select("fonte_grupo", FACT_IDS[table], "motivos")
 
+    def pending(self, table: str) -> DataFrame:
+        """The rejected rows as they were before their keys were looked up."""
+        df = self.store.read(table, self.version, stored_schema(table))
+        return df.where((F.col("carga") == REJECTED) & F.col("pendente").isNotNull()).select("pendente.*")
+
     def key_map(self, table: str) -> DataFrame:
         return self.store.read(f"chave_{table}", self.version)
 
@@ -97,25 +103,42 @@ def dimension_rows(
 
 
 def _load_dimension(
-    rows: DataFrame, table: str, store: Store, version: str, previous: str | None, cfg: LoadConfig
+    rows: DataFrame,
+    table: str,
+    store: Store,
+    version: str,
+    previous: str | None,
+    cfg: LoadConfig,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
+    """Write a dimension; members of ``carried`` that ``rows`` doesn't have are kept."""
     keys = D.NATURAL_KEYS[table]
     known = store.read(f"chave_{table}", previous) if previous else None
     key_map = assign_keys(rows, keys, store.path(f"chave_{table}_ordem", version), known)
     key_map = store.write(key_map, f"chave_{table}", version)
-    dim = D.keyed(rows, key_map, table).withColumn("dt_carga", cfg.batch_column)
+    dim = D.keyed(rows, key_map, table)
+    if carried is not None:
+        kept = carried.join(dim.select(D.SURROGATE[table]), D.SURROGATE[table], "left_anti")
+        dim = dim.unionByName(conform_to(kept, star_schema(table)))
+        if table == "dim_empresa":
+            dim = conform_to(D.number_companies(dim), star_schema(table))
+    dim = dim.withColumn("dt_carga", cfg.batch_column)
     return store.write(dim, table, version)
 
 
-def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg: LoadConfig) -> DataFrame:
-    """Accepted and rejected rows in one pass, in separate partitions.
+def _store_fact(
+    resolved: DataFrame, table: str, store: Store, version: str, cfg: LoadConfig, start: int = 0
+) -> DataFrame:
+    """Accepted and rejected rows in one pass, in separate partitions; rejected ones keep all that resolving them takes.
 
     ``rebalance`` sizes the files and splits a period that holds a large share
     of all rows over several tasks.
     """
+    before = F.struct(*T.StructType.fromDDL(facts.ROW_DDL[table]).names)
     laid = resolved.withColumns(
         {
             "carga": F.when(F.size("motivos") == 0, ACCEPTED).otherwise(REJECTED),
+            "pendente": F.when(F.size("motivos") > 0, before),
             "periodo_retirada": F.trunc("data_retirada", cfg.partition_grain),
         }
     )
@@ -123,7 +146,7 @@ def _store_fact(resolved: DataFrame, table: str, store: Store, version: str, cfg
     declared = T.StructType([f for f in stored_schema(table).fields if f.name not in own])
     laid = conform_to(laid, declared).hint("rebalance", "carga", "periodo_retirada")
     # Unique within the load; nothing refers to a fact's key, so it need not be dense.
-    keyed = laid.withColumns({own[0]: F.monotonically_increasing_id() + 1, own[1]: cfg.batch_column})
+    keyed = laid.withColumns({own[0]: F.lit(start) + F.monotonically_increasing_id() + 1, own[1]: cfg.batch_column})
     return store.write(keyed, table, version, ("carga", "periodo_retirada"))
 
 
@@ -179,6 +202,98 @@ def run(sources: Mapping[str, Source], store: Store, cfg: LoadConfig | None = No
     return load(extract_all(sources, cfg), store, cfg)
 
 
+def _snapshot_layers(warehouse: Warehouse) -> list[Layer]:
+    """Where the days of a version's snapshot are."""
+    table = "fato_patio_snapshot"
+    base, layers = warehouse.store.place(warehouse.version)
+    mine = [x for x in layers if x.tabela == table]
+    if mine:
+        return mine
+    days = [r[0] for r in warehouse[table].select("sk_tempo").distinct().collect()]  # partition values: a day each
+    return [Layer(table, base, "sk_tempo", days)] if days else []
+
+
+def _accepted_layers(warehouse: Warehouse, table: str) -> list[Layer]:
+    """Where the accepted rows of a version's fact are; its rejects belong to it alone."""
+    store = warehouse.store
+    base, layers = store.place(warehouse.version)
+    only = f"carga = '{ACCEPTED}'"
+    out = []
+    for x in [x for x in layers if x.tabela == table] or [Layer(table, base)]:
+        # The newest layer is the one whose rejects still count; without accepted rows nothing of it is left.
+        stored = store.spark.read.schema(stored_schema(table)).parquet(store.path(table, x.versao))
+        if x.onde == only or not stored.where(only).isEmpty():
+            out.append(x._replace(onde=only))
+    return out
+
+
+def _unsettled(staged: DataFrame, warehouse: Warehouse, table: str, version: str) -> DataFrame:
+    """Rows to look up: staged ones that the fact doesn't have, and the rejects whose place none of these takes.
+
+    As in a whole load, staged rows that share a key all count. Rows without an
+    id can't be told from each other: equal ones count once.
+    """
+    schema, store = T.StructType.fromDDL(facts.ROW_DDL[table]), warehouse.store
+    keys = ["fonte_grupo", FACT_IDS[table]]
+    named = F.col(keys[1]).isNotNull()
+    staged = store.write(conform_to(staged, schema), f"lote_{table}", version)
+    waiting = conform_to(warehouse.pending(table), schema)
+    # The batch is the small side: only its keys are looked for in the fact.
+    settled = warehouse[table].select(*keys).join(staged.select(*keys), keys, "left_semi").distinct()
+    new = staged.where(named).join(settled, keys, "left_anti")
+    kept = waiting.where(named).join(new.select(*keys), keys, "left_anti")
+    nameless = staged.unionByName(waiting).where(~named).distinct()
+    return new.unionByName(kept).unionByName(nameless)
+
+
+def increment(staging: Mapping[str, DataFrame], warehouse: Warehouse, cfg: LoadConfig | None = None) -> Warehouse:
+    """Add a batch to a loaded warehouse, as a new version, and settle the rejects that it completes.
+
+    The batch's members replace or join those of the dimensions. Its fact rows
+    and the rejects of the version before are looked up anew: those that find
+    all their keys move into the fact, the others are the new version's
+    rejects. A row is known by source and id. A staged row takes the place of
+    its rejects; one that the fact has already is left as it is, so a batch that
+    comes again changes nothing and changed fact rows need a whole load. Rows without an id stay rejects, with the reason
+    ``ID``. A G1 or G3 rental whose reservation comes late must be staged again
+    with it, since its client stands in the reservation.
+
+    Accepted rows of earlier versions are shared, not copied. Each increment
+    with accepted rows adds a layer to the fact; a whole load makes it one again.
+    """
+    cfg = cfg or LoadConfig()
+    store, previous = warehouse.store, warehouse.version
+    spark, version = store.spark, store.begin()
+    conformed = conform(complete_staging(spark, staging))
+    rows = dimension_rows(spark, conformed, cfg)
+
+    def dimension(table: str, done: Mapping[str, DataFrame]) -> DataFrame:
+        return _load_dimension(rows[table](done), table, store, version, previous, cfg, warehouse[table])
+
+    def fact(table: str, staged: DataFrame, resolve: Callable, done: Mapping[str, DataFrame]) -> DataFrame:
+        resolved = resolve(_unsettled(staged, warehouse, table, version), done)
+        nameless = F.when(F.col(FACT_IDS[table]).isNull(), F.array(F.lit("ID"))).otherwise(F.array().cast("array<string>"))
+        resolved = resolved.withColumn("motivos", F.concat("motivos", nameless))
+        last = warehouse[table].agg(F.max(FACT_KEYS[table])).first()[0] or 0
+        return _store_fact(resolved, table, store, version, cfg, last)
+
+    done = _together({t: (lambda t=t: dimension(t, {})) for t in DIMENSIONS if t != "dim_veiculo"})
+    reservations, rentals = facts.reservation_rows(conformed), facts.rental_rows(conformed)
+    wave = _together(
+        {
+            "dim_veiculo": lambda: dimension("dim_veiculo", done),
+            "fato_reserva": lambda: fact("fato_reserva", reservations, facts.resolve_reservations, done),
+        }
+    )
+    done = {**done, "dim_veiculo": wave["dim_veiculo"]}
+    fact("fato_locacao", rentals, facts.resolve_rentals, done)
+    layers = _snapshot_layers(warehouse)
+    for table in FACT_IDS:
+        layers += [*_accepted_layers(warehouse, table), Layer(table, version)]
+    store.publish(version, [*DIMENSIONS, *FACTS], previous, version, layers)
+    return Warehouse(store, version)
+
+
 def daily_snapshot(
     staging: Mapping[str, DataFrame], warehouse: Warehouse, cfg: LoadConfig
 ) -> DataFrame:
@@ -202,10 +317,7 @@ def daily_snapshot(
     if not days:
         return written
     base, layers = store.place(previous)
-    kept = [x for x in layers if x.tabela == table]
-    if not kept:
-        old = [r[0] for r in before.select("sk_tempo").distinct().collect()]  # partition values: a day each
-        kept = [Layer(table, base, "sk_tempo", old)]
+    kept = _snapshot_layers(warehouse)
     kept = [x._replace(valores=[d for d in x.valores if d not in days]) for x in kept]
     others = [x for x in layers if x.tabela != table]
     new = [*others, *(x for x in kept if x.valores), Layer(table, version, "sk_tempo", days)]

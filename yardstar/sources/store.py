@@ -26,17 +26,18 @@ from pyspark.sql.types import StructType
 
 MANIFEST_DDL = (
     "version STRING, seq BIGINT, published_at STRING, tables ARRAY<STRING>, base STRING, "
-    "layers ARRAY<STRUCT<tabela: STRING, versao: STRING, coluna: STRING, valores: ARRAY<BIGINT>>>"
+    "layers ARRAY<STRUCT<tabela: STRING, versao: STRING, coluna: STRING, valores: ARRAY<BIGINT>, onde: STRING>>"
 )
 
 
 class Layer(NamedTuple):
-    """Partitions of a table that a version takes from the folder of one, its own or an older."""
+    """Partitions of a table that a version takes from the folder of one, its own or an older; all, if none are named."""
 
     tabela: str
     versao: str
-    coluna: str  # the partition column
-    valores: list[int]
+    coluna: str | None = None  # a partition column
+    valores: list[int] | None = None
+    onde: str | None = None  # a SQL condition on partition columns
 
 
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
@@ -187,5 +188,10 @@ class Store:
         if not mine:
             return reader.parquet(self.path(table, base))
         # Filters on the partition column: files of other partitions aren't read.
-        parts = [reader.parquet(self.path(table, x.versao)).where(F.col(x.coluna).isin(list(x.valores))) for x in mine]
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, (self._layer(reader.parquet(self.path(table, x.versao)), x) for x in mine))
+
+    @staticmethod
+    def _layer(df: DataFrame, layer: Layer) -> DataFrame:
+        if layer.coluna:
+            df = df.where(F.col(layer.coluna).isin(list(layer.valores)))
+        return df.where(layer.onde) if layer.onde else df
