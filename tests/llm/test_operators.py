@@ -280,6 +280,28 @@ def test_mixed_corpus_of_rows_that_share_an_id_or_have_none(spark):
     assert all(n <= 3 * whole[k] for k, n in times.items() if k in whole)
 
 
+def test_mixing_with_map_columns_and_many_rows_without_an_id(spark):
+    rng = random.Random(28)
+    kinds = [None, {}, {"a": 1}, {"a": None}, {"b": 2, "a": 1}]
+    rows = [(None, made_up_text(rng, 6), "hot", kinds[i % 5], [kinds[i % 4]]) for i in range(200)]
+    rows += [(i, made_up_text(rng, 4), "s1", kinds[i % 5], None) for i in range(20)] + [(None, "same text", "hot", {"a": i}, []) for i in (1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>, deep array<map<string,int>>")
+    mixed = mixing.mix(df, bucket_rows=20)
+    got = mixed.collect()
+    assert len(got) == len(rows) and len({r.row_key for r in got}) == len(rows)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - t) <= 0.5001 for s, t in target.items())
+    corpus = mixing.take(df, mixed).collect()
+    words = Counter()
+    for r in corpus:
+        words[r.source] += len(WORD.findall(r.text))
+    assert words == taken and all(r.extra is None or set(r.extra) <= {"a", "b"} for r in corpus)
+    assert {r.extra is None for r in corpus} == {True, False}
+
+
 # -- 4 licenses --------------------------------------------------------------------
 
 

@@ -18,8 +18,15 @@ def word_count(text: str | Column) -> Column:
 
 
 def row_key(docs: DataFrame) -> Column:
-    """128 bits of hash of a whole row: rows that share it are equal in every column."""
-    columns = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+    """128 bits of hash of a whole row: rows that share it are equal in every column.
+
+    Columns that hold maps are hashed as JSON, for maps have no hash of their own.
+    """
+    columns = []
+    for field in docs.schema.fields:
+        c = F.col(f"`{field.name.replace('`', '``')}`")
+        has_map = "map<" in field.dataType.simpleString()
+        columns.append(F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v")))) if has_map else c)
     nulls = F.concat(*(c.isNull().cast("string") for c in columns))  # a hash passes over NULLs
     return F.struct(F.xxhash64(nulls, *columns).alias("h1"), F.xxhash64(F.lit(1), nulls, *columns).alias("h2"))
 
@@ -89,8 +96,10 @@ def mix(
 
     Returns ``id_col, source_col, size, source_size, target, taken`` and
     ``row_key``, a hash of the whole row by which ``take`` finds it. NULL text has size 0; a NULL source is a source of its own.
-    Keys hash the id and the seed alone, so reruns agree; rows that agree in
-    id and size come in the order of ``row_key``. Other columns are left out:
+    Keys hash the id and the seed alone, so reruns agree; rows without an id
+    draw by ``row_key``, so that many of them spread over the ranges like any
+    others. Rows that agree in id and size come in the order of ``row_key``;
+    those of one id share a range. Other columns are left out:
     join them back by it. An empty table gives no rows.
     """
     sized = docs.select(
@@ -107,7 +116,8 @@ def mix(
         F.round("target").cast("long").alias("_budget"),
         F.ceil(F.col("n_rows") / bucket_rows).alias("_ranges"),
     )
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
+    nameless = F.concat_ws(":", F.lit(""), F.col("row_key.h1").cast("string"), F.col("row_key.h2").cast("string"))
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), nameless)))
     keyed = sized.join(plan, F.col("_source").eqNullSafe(F.col("_of"))).select(
         "_id",
         "_source",
