@@ -1,7 +1,8 @@
 """One query per operator, over the rental roles of a data folder.
 
-Keys, dimensions, facts, snapshot and audits run from staging; reports and the
-forecast read the facts of the loaded warehouse. Rules that only one source has
+Keys, dimensions, facts, snapshot and audits run from staging, and look keys up
+in the loaded dimensions; reports and the forecast read the facts of the loaded
+warehouse. Rules that only one source has
 run over all clients, orders and line items (the ``whole`` frames); whatever
 spans the sources covers every row once, in the source it belongs to.
 """
@@ -244,42 +245,42 @@ def dim_date(bed):
 
 
 def _dimension(bed, table: str, rows: DataFrame) -> DataFrame:
-    return D.keyed(rows, bed.warehouse.key_map(table), table)
+    return D.keyed(rows, bed.dimensions.key_map(table), table)
 
 
 @query
 def dim_company(bed):
-    return _dimension(bed, "dim_empresa", D.company_rows(bed.conformed))
+    return _dimension(bed, "dim_empresa", D.company_rows(bed.members))
 
 
 @query
 def dim_yard(bed):
-    return _dimension(bed, "dim_patio", D.yard_rows(bed.conformed))
+    return _dimension(bed, "dim_patio", D.yard_rows(bed.members))
 
 
 @query
 def dim_vehicle_group(bed):
-    return _dimension(bed, "dim_grupo_veiculo", D.group_rows(bed.conformed))
+    return _dimension(bed, "dim_grupo_veiculo", D.group_rows(bed.members))
 
 
 @query
 def dim_vehicle(bed):
-    w = bed.warehouse
-    return _dimension(bed, "dim_veiculo", D.vehicle_rows(bed.conformed, w["dim_grupo_veiculo"], w["dim_empresa"]))
+    w = bed.dimensions
+    return _dimension(bed, "dim_veiculo", D.vehicle_rows(bed.members, w["dim_grupo_veiculo"], w["dim_empresa"]))
 
 
 @query
 def dim_client(bed):
-    return _dimension(bed, "dim_cliente", D.client_rows(bed.conformed))
+    return _dimension(bed, "dim_cliente", D.client_rows(bed.members))
 
 
 # -- facts --------------------------------------------------------------------
 def _rentals(bed) -> DataFrame:
-    return facts.resolve_rentals(facts.rental_rows(bed.conformed), bed.warehouse)
+    return facts.resolve_rentals(facts.rental_rows(bed.conformed), bed.dimensions)
 
 
 def _reservations(bed) -> DataFrame:
-    return facts.resolve_reservations(facts.reservation_rows(bed.conformed), bed.warehouse)
+    return facts.resolve_reservations(facts.reservation_rows(bed.members), bed.dimensions)
 
 
 @query
@@ -301,7 +302,7 @@ def intercompany_flag(bed):
 
 @query
 def yard_snapshot(bed):
-    return snapshot_rows(bed.conformed, bed.warehouse, F.lit(AS_OF).cast("date"))
+    return snapshot_rows(bed.members, bed.dimensions, F.lit(AS_OF).cast("date"))
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,21 +163,34 @@ def _together(tasks: Mapping[str, Callable[[], DataFrame]], width: int = 8) -> d
         return {name: r.result() for name, r in running.items()}
 
 
-def load(staging: Mapping[str, DataFrame], store: Store, cfg: LoadConfig | None = None) -> Warehouse:
-    """Load a new version from staging frames and publish it."""
-    cfg = cfg or LoadConfig()
-    spark = store.spark
-    previous, version = store.current(), store.begin()
-    staged = complete_staging(spark, staging)
-    if cfg.stage:
-        staged |= _together({t: (lambda t=t: store.write(staged[t], f"staging/{t}", version)) for t in staging})
-    conformed = conform(staged)
-    rows = dimension_rows(spark, conformed, cfg)
+class Begun(NamedTuple):
+    """A load whose dimensions are written; it has no facts yet and nobody else sees it."""
+
+    warehouse: Warehouse
+    previous: str | None
+    cfg: LoadConfig
+
+
+def load_dimensions(
+    conformed: Mapping[str, DataFrame], store: Store, cfg: LoadConfig, version: str | None = None
+) -> Begun:
+    """Write the dimensions of a new version with their key maps; ``load_facts`` completes and publishes it."""
+    previous, version = store.current(), version or store.begin()
+    rows = dimension_rows(store.spark, conformed, cfg)
 
     def dimension(table: str, done: Mapping[str, DataFrame]) -> DataFrame:
         return _load_dimension(rows[table](done), table, store, version, previous, cfg)
 
     done = _together({t: (lambda t=t: dimension(t, {})) for t in DIMENSIONS if t != "dim_veiculo"})
+    dimension("dim_veiculo", done)
+    return Begun(Warehouse(store, version), previous, cfg)
+
+
+def load_facts(conformed: Mapping[str, DataFrame], begun: Begun) -> Warehouse:
+    """Write the facts of a version whose dimensions are there, and publish it."""
+    done, previous, cfg = begun
+    store, version = done.store, done.version
+
     def reservations() -> DataFrame:
         resolved = facts.resolve_reservations(facts.reservation_rows(conformed), done)
         return _store_fact(resolved, "fato_reserva", store, version, cfg)
@@ -189,12 +203,20 @@ def load(staging: Mapping[str, DataFrame], store: Store, cfg: LoadConfig | None
         numbered = _number_snapshot(snapshot_rows(conformed, done, cfg.as_of_column), 0, cfg)
         return store.write(numbered, "fato_patio_snapshot", version, ("sk_tempo",))
 
-    # Reservations name no vehicle, so they need not wait for that dimension.
-    wave = _together({"dim_veiculo": lambda: dimension("dim_veiculo", done), "fato_reserva": reservations})
-    done = {**done, "dim_veiculo": wave["dim_veiculo"]}
-    _together({"fato_locacao": rentals, "fato_patio_snapshot": snapshot})
+    _together({"fato_locacao": rentals, "fato_reserva": reservations, "fato_patio_snapshot": snapshot})
     store.publish(version, [*DIMENSIONS, *FACTS], previous)
-    return Warehouse(store, version)
+    return done
+
+
+def load(staging: Mapping[str, DataFrame], store: Store, cfg: LoadConfig | None = None) -> Warehouse:
+    """Load a new version from staging frames and publish it."""
+    cfg = cfg or LoadConfig()
+    version = store.begin()
+    staged = complete_staging(store.spark, staging)
+    if cfg.stage:
+        staged |= _together({t: (lambda t=t: store.write(staged[t], f"staging/{t}", version)) for t in staging})
+    conformed = conform(staged)
+    return load_facts(conformed, load_dimensions(conformed, store, cfg, version))
 
 
 def run(sources: Mapping[str, Source], store: Store, cfg: LoadConfig | None = None) -> Warehouse:

@@ -1,7 +1,9 @@
 """The rental roles of one data folder, loaded once per application.
 
 Line items are joined to their orders once and the warehouse is loaded once,
-both into the shared folder; queries read those tables.
+both into the shared folder; queries read those tables. The dimensions are
+loaded before, and without, line items and facts: what needs no more than them
+reads ``dimensions`` and ``members``.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from yardstar.config import LoadConfig
 from yardstar.operators.conform import conform
-from yardstar.plans.pipeline import Warehouse, load
+from yardstar.plans.pipeline import Begun, Warehouse, load_dimensions, load_facts
 from yardstar.session import configure, shared_dir
 from yardstar.sources.extract import complete_staging, extract_all
 from yardstar.sources.rental_roles import RentalRoles
@@ -78,9 +80,24 @@ class Testbed:
     def whole_conformed(self) -> Mapping[str, DataFrame]:
         return conform(self.whole_staging)
 
+    @cached_property
+    def members(self) -> Mapping[str, DataFrame]:
+        """Conformed staging for all but rentals, which aren't landed for it: its rental tables join line items themselves."""
+        sources = RentalRoles(self.spark, self.sf_dir).sources()
+        return conform(complete_staging(self.spark, extract_all(sources, CONFIG)))
+
+    @cached_property
+    def _begun(self) -> Begun:
+        return load_dimensions(self.members, Store(self.spark, f"{self.root}/dw"), CONFIG)
+
+    @property
+    def dimensions(self) -> Warehouse:
+        """The warehouse with its dimensions and key maps; its facts may not be there yet."""
+        return self._begun.warehouse
+
     @cached_property
     def warehouse(self) -> Warehouse:
-        return load(self.staging, Store(self.spark, f"{self.root}/dw"), CONFIG)
+        return load_facts(self.conformed, self._begun)
 
     def scratch(self, name: str) -> str:
         """A new folder for one query's intermediate table."""
