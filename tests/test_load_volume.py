@@ -6,8 +6,11 @@ from pathlib import Path
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as entry
+from yardstar.operators import facts
 from yardstar.sources import testbed as beds
 
 
@@ -36,3 +39,23 @@ def test_rentals_need_the_dimensions_only_and_the_facts_follow(spark, folder):
     columns = [c for c in rentals.columns if not c.startswith("sk_locacao")]
     stored = bed.warehouse["fato_locacao"].select(*columns)
     assert rentals.select(*columns).exceptAll(stored).isEmpty() and stored.exceptAll(rentals.select(*columns)).isEmpty()
+
+
+def test_rentals_are_shuffled_without_the_keys_of_dates_and_yards(spark):
+    """Vehicles too many to broadcast, all else small: the rows go through the one shuffle without what comes after."""
+    kinds = T.StructType.fromDDL(facts.ROW_DDL["fato_locacao"])
+    rows = spark.createDataFrame([], kinds)
+    one = spark.range(1)
+    source = F.lit("G1").alias("fonte_grupo")
+    dims = {
+        "dim_tempo": F.broadcast(one.select(F.lit("2000-01-01").cast("date").alias("data_completa"), F.col("id").alias("sk_tempo"))),
+        "dim_patio": F.broadcast(one.select(source, F.col("id").alias("id_patio_orig"), F.col("id").alias("sk_patio"))),
+        "dim_cliente": F.broadcast(one.select(source, F.col("id").alias("id_cliente_orig"), F.col("id").alias("sk_cliente"))),
+        "dim_grupo_veiculo": F.broadcast(one.select(F.col("id").alias("sk_grupo"), F.lit(1).cast("decimal(10,2)").alias("valor_diaria"))),
+        "dim_veiculo": one.select(source, F.col("id").alias("id_veiculo_orig"), F.col("id").alias("sk_veiculo"), F.col("id").alias("sk_grupo")).hint("merge"),
+    }
+    plan = facts.resolve_rentals(rows, dims)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if re.search(r"\bJoin LeftOuter", line)]
+    assert len(joins) == 7
+    # The plan lists the last join first: the merge with the vehicles is the deepest.
+    assert "strategy=merge" in joins[-1] and not [j for j in joins[:-1] if "strategy=merge" in j]

@@ -208,16 +208,16 @@ def reservation_rows(s: Frames) -> DataFrame:
     return g1.unionByName(g2).unionByName(g3)
 
 
-def _date_key(df: DataFrame, dates: DataFrame, column: str, sk: str) -> DataFrame:
-    return lookup(df, dates, {column: "data_completa"}, {"sk_tempo": sk}, spread_nulls_by=["id_orig"])
+def _date_key(df: DataFrame, dates: DataFrame, column: str, sk: str, spread_by: str) -> DataFrame:
+    return lookup(df, dates, {column: "data_completa"}, {"sk_tempo": sk}, spread_nulls_by=[spread_by])
 
 
 def _source_key(
-    df: DataFrame, dim: DataFrame, column: str, key: str, take: Mapping[str, str], optional: bool = False
+    df: DataFrame, dim: DataFrame, column: str, key: str, take: Mapping[str, str], spread_by: str | None = None
 ) -> DataFrame:
-    """Look ``column`` up within the row's own source; ``optional`` ids are often NULL."""
+    """Look ``column`` up within the row's own source; ids that are often NULL are spread by another column."""
     on = {"fonte_grupo": "fonte_grupo", column: key}
-    return lookup(df, dim, on, take, spread_nulls_by=["id_orig"] if optional else ())
+    return lookup(df, dim, on, take, spread_nulls_by=[spread_by] if spread_by else ())
 
 
 def _reasons(**missing: Column) -> Column:
@@ -226,17 +226,20 @@ def _reasons(**missing: Column) -> Column:
 
 
 def resolve_rentals(rows: DataFrame, dims: Frames) -> DataFrame:
-    """Rental rows with every key looked up and ``motivos`` listing what is missing."""
-    df = rows.withColumn("id_orig", F.col("id_locacao_orig"))
-    df = _date_key(df, dims["dim_tempo"], "data_retirada", "sk_tempo_retirada")
-    df = _date_key(df, dims["dim_tempo"], "data_devolucao", "sk_tempo_devolucao")
-    yards = dims["dim_patio"]
-    df = _source_key(df, yards, "id_patio_retirada", "id_patio_orig", {"sk_patio": "sk_patio_retirada"})
-    df = _source_key(df, yards, "id_patio_entrega", "id_patio_orig", {"sk_patio": "sk_patio_entrega"}, True)
+    """Rental rows with every key looked up and ``motivos`` listing what is missing.
+
+    Vehicles and clients grow with the rentals and come first: where they take a
+    shuffle, the rows go through it without the keys of dates and yards.
+    """
+    row_id, dates, yards = "id_locacao_orig", dims["dim_tempo"], dims["dim_patio"]
     df = _source_key(
-        df, dims["dim_veiculo"], "id_veiculo", "id_veiculo_orig", {"sk_veiculo": "sk_veiculo", "sk_grupo": "sk_grupo"}
+        rows, dims["dim_veiculo"], "id_veiculo", "id_veiculo_orig", {"sk_veiculo": "sk_veiculo", "sk_grupo": "sk_grupo"}
     )
-    df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", {"sk_cliente": "sk_cliente"}, True)
+    df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", {"sk_cliente": "sk_cliente"}, row_id)
+    df = _date_key(df, dates, "data_retirada", "sk_tempo_retirada", row_id)
+    df = _date_key(df, dates, "data_devolucao", "sk_tempo_devolucao", row_id)
+    df = _source_key(df, yards, "id_patio_retirada", "id_patio_orig", {"sk_patio": "sk_patio_retirada"})
+    df = _source_key(df, yards, "id_patio_entrega", "id_patio_orig", {"sk_patio": "sk_patio_entrega"}, row_id)
     df = lookup(df, dims["dim_grupo_veiculo"], {"sk_grupo": "sk_grupo"}, {"valor_diaria": "diaria_grupo"})
     # G1 and G3 charge the group's rate; G2 and G4 carry their own.
     rate = F.when(F.col("fonte_grupo").isin("G1", "G3"), F.col("diaria_grupo")).otherwise(F.col("valor_diaria"))
@@ -253,13 +256,12 @@ def resolve_rentals(rows: DataFrame, dims: Frames) -> DataFrame:
 
 def resolve_reservations(rows: DataFrame, dims: Frames) -> DataFrame:
     """Reservation rows with every key looked up and ``motivos`` listing what is missing."""
-    df = rows.withColumn("id_orig", F.col("id_reserva_orig"))
-    dates, yards = dims["dim_tempo"], dims["dim_patio"]
-    df = _date_key(df, dates, "data_solicitacao", "sk_tempo_solicitacao")
-    df = _date_key(df, dates, "data_retirada", "sk_tempo_retirada_prev")
-    df = _date_key(df, dates, "data_devolucao", "sk_tempo_devolucao_prev")
+    row_id, dates, yards = "id_reserva_orig", dims["dim_tempo"], dims["dim_patio"]
+    df = _date_key(rows, dates, "data_solicitacao", "sk_tempo_solicitacao", row_id)
+    df = _date_key(df, dates, "data_retirada", "sk_tempo_retirada_prev", row_id)
+    df = _date_key(df, dates, "data_devolucao", "sk_tempo_devolucao_prev", row_id)
     df = _source_key(df, yards, "id_patio_retirada", "id_patio_orig", {"sk_patio": "sk_patio_retirada"})
-    df = _source_key(df, yards, "id_patio_devolucao", "id_patio_orig", {"sk_patio": "sk_patio_devolucao"}, True)
+    df = _source_key(df, yards, "id_patio_devolucao", "id_patio_orig", {"sk_patio": "sk_patio_devolucao"}, row_id)
     df = _source_key(df, dims["dim_grupo_veiculo"], "id_grupo", "id_grupo_orig", {"sk_grupo": "sk_grupo"})
     df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", {"sk_cliente": "sk_cliente"})
     return df.withColumn(

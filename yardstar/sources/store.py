@@ -29,6 +29,10 @@ MANIFEST_DDL = (
     "layers ARRAY<STRUCT<tabela: STRING, versao: STRING, coluna: STRING, valores: ARRAY<BIGINT>, onde: STRING>>"
 )
 
+# Of partitioned tables, the facts. Others keep Spark's default: Spark takes the size of their files for their size in
+# memory, and would broadcast dimensions of millions of rows.
+COMPRESSION = "zstd"
+
 
 class Layer(NamedTuple):
     """Partitions of a table that a version takes from the folder of one, its own or an older; all, if none are named."""
@@ -171,7 +175,7 @@ class Store:
         writer = df.write.mode("overwrite")
         keys = list(partition_by)
         if keys:
-            writer = writer.partitionBy(*keys)
+            writer = writer.option("compression", COMPRESSION).partitionBy(*keys)
         if replace_partitions:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         path = self.path(table, version)

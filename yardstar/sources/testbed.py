@@ -22,7 +22,7 @@ from yardstar.plans.pipeline import Begun, Warehouse, load_dimensions, load_fact
 from yardstar.session import configure, shared_dir
 from yardstar.sources.extract import complete_staging, extract_all
 from yardstar.sources.rental_roles import RentalRoles
-from yardstar.sources.store import Store
+from yardstar.sources.store import COMPRESSION, Store
 
 # Parameters of the sample loads: the data is dated 1995 to 2001.
 AS_OF = date(2000, 6, 30)
@@ -52,7 +52,7 @@ class Testbed:
         """Line items with order, client and yards, by source."""
         base = RentalRoles(self.spark, self.sf_dir).rental_base()
         path = f"{self.root}/rentals"
-        base.write.mode("overwrite").partitionBy("source").parquet(path)
+        base.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("source").parquet(path)
         return self.spark.read.schema(base.schema).parquet(path)
 
     @cached_property
