@@ -180,6 +180,59 @@ def test_jaccard_components(spark, block_rows):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_small_buckets_are_done_with_before_the_trees(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):  # two unrelated texts share a passage; four sizes
+        passage = made_up_text(rng, 30)
+        rows += [(10 * i + j, made_up_text(rng, 60 + 10 * (i % 4)) + " " + passage) for j in range(2)]
+    written = {}
+
+    def keep(df, name, write=ngram_join.materialize):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(ngram_join, "materialize", keep)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    assert written["open-buckets"].count() == 0
+
+
+@pytest.mark.parametrize("batch_rows", [2, 3, 7, 10_000])
+def test_buckets_of_any_batches(spark, batch_rows):
+    rng = random.Random(13)
+    entries = []
+    for shingle in range(60):
+        for c in rng.sample(range(100), rng.choice((1, 2, 3, 4, 5, 6, 30))):
+            n = 20 + c % 7
+            entries += [(shingle, c, n << ngram_join.PLACE_BITS | rng.randrange(5))] * rng.choice((1, 1, 2))
+    of = {}
+    for shingle, c, place in entries:
+        of.setdefault(shingle, {})[c] = place
+    entries = [(shingle, c, of[shingle][c]) for shingle, c, _ in entries]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        df = spark.createDataFrame(entries, "shingle long, class long, place long")
+        got = [tuple(r) for r in ngram_join._buckets(df, 80).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs = {(a, b) for s, a, b in got if s is None}
+
+    def may(p, q):
+        (n, i), (m, j) = (divmod(x, 1 << ngram_join.PLACE_BITS) for x in (p, q))
+        return 180 * min(n - i, m - j) >= 80 * (n + m)
+
+    allowed, wanted = set(), set()
+    for classes in of.values():
+        found = {(a, b) for a in classes for b in classes if a < b and may(classes[a], classes[b])}
+        allowed |= found
+        if len(classes) <= ngram_join.SMALL:
+            wanted |= found
+    assert wanted <= pairs <= allowed
+    large = [(s, c, p) for s, classes in of.items() if len(classes) > ngram_join.SMALL for c, p in classes.items()]
+    assert sorted(x for x in got if x[0] is not None) == sorted(large)
+
+
 def test_jaccard_of_no_rows(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yardstar.llm.common import components, materialize, whole_groups
+from yardstar.llm.common import components, group_starts, materialize, whole_groups
 from yardstar.llm.text import LOWER, buffer, mix, slices, words
 
 SHINGLE = 5
@@ -21,6 +21,9 @@ TREE_DIMENSIONS = 64  # of the trees' boxes: groups with equal remainders are ad
 FINE_DIMENSIONS, FINE_FROM = 1024, 256
 FREQUENCY_GROUPS = 1 << 18
 LEAF = 32
+SMALL = 4  # classes of a bucket all of whose pairs are given at once
+PLACE_BITS = 32  # of a shingle's rank in its set; the set's size stands above them
+PLACE_MASK = (1 << PLACE_BITS) - 1
 SLICE_BYTES = 1 << 19  # of text in one pass: each takes about a hundred times as much in arrays
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
@@ -48,10 +51,12 @@ class Sets(NamedTuple):
         """A number for each set: equal sets have equal numbers."""
         return mix(self.sums(mix(self.hash)) + self.size.astype(np.uint64)).view(np.int64)
 
-    def points(self, dimensions: int = DIMENSIONS) -> np.ndarray:
-        """(texts, dimensions): how many shingles of each text fall into each group."""
-        at = self.owner() * dimensions + (self.hash % np.uint64(dimensions)).astype(np.int64)
-        return np.bincount(at, minlength=(len(self.start) - 1) * dimensions).reshape(-1, dimensions)
+    def points(self, kept: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
+        """(texts kept, dimensions): how many shingles of each kept text fall into each group."""
+        owner = self.owner()
+        of = kept[owner]
+        at = (np.cumsum(kept) - 1)[owner[of]] * dimensions + (self.hash[of] % np.uint64(dimensions)).astype(np.int64)
+        return np.bincount(at, minlength=int(kept.sum()) * dimensions).reshape(-1, dimensions)
 
 
 def shingle_sets(texts: pa.Array) -> Sets:
@@ -111,13 +116,13 @@ def _describe(docs: DataFrame) -> DataFrame:
             for some in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(some["text"])
                 counts += np.bincount(_frequency_group(sets.hash), minlength=FREQUENCY_GROUPS)
-                large = sets.size >= FINE_FROM
+                all_, large = np.ones(len(sets.size), bool), sets.size >= FINE_FROM
                 columns = [
                     some["id"],
                     pa.array(sets.size),
                     pa.array(sets.classes()),
-                    _lists(sets.points(), np.ones(len(large), bool)),
-                    _lists(sets.points(FINE_DIMENSIONS), large),
+                    _lists(sets.points(all_), all_),
+                    _lists(sets.points(large, FINE_DIMENSIONS), large),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
         if kind is not None:
@@ -129,7 +134,7 @@ def _describe(docs: DataFrame) -> DataFrame:
                     pa.array(np.full(n, -1)),
                     pa.array(group),
                     _lists(counts[group][:, None], np.ones(n, bool)),
-                    _lists(np.zeros((n, 0)), np.zeros(n, bool)),
+                    _lists(np.zeros((0, 0)), np.zeros(n, bool)),
                 ],
                 names,
             )
@@ -138,9 +143,9 @@ def _describe(docs: DataFrame) -> DataFrame:
 
 
 def _lists(rows: np.ndarray, kept: np.ndarray) -> pa.ListArray:
-    """The rows of a matrix as lists, those not kept empty."""
+    """The rows of a matrix as the lists of those kept; the others are empty."""
     cut = np.concatenate([[0], np.cumsum(kept * rows.shape[1])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(cut), pa.array(rows[kept].ravel().astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(rows.ravel().astype(np.int32)))
 
 
 def _frequency_group(hashes: np.ndarray) -> np.ndarray:
@@ -164,12 +169,13 @@ def _frequent_groups(described: DataFrame) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """``(shingle, class)``: the buckets in which each class of equal sets is indexed.
+    """``(shingle, class, place)``: the buckets in which each class of equal sets is indexed.
 
     Shingles are ordered by hash, those of frequent groups last. Two sets that
     reach the similarity share one of the first ``n - least_overlap(n) + 1``
     shingles of both, whatever the order; this one keeps passages that many
-    documents share out of the buckets. A task enters a class once.
+    documents share out of the buckets. A task enters a class once. The place
+    holds the size of the set and the shingle's rank in it.
     """
 
     def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,61 +193,99 @@ def _entries(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                 order = np.lexsort((sets.hash, frequent[_frequency_group(sets.hash)], owner))
                 rank = np.arange(len(owner)) - sets.start[owner]
                 first = new[owner] & (rank <= (n - least_overlap(n, percent))[owner])
+                of = owner[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sets.hash[order][first].view(np.int64)), pa.array(classes[owner[first]])],
-                    ["shingle", "class"],
+                    [
+                        pa.array(sets.hash[order][first].view(np.int64)),
+                        pa.array(classes[of]),
+                        pa.array(n[of] << PLACE_BITS | rank[first]),
+                    ],
+                    ["shingle", "class", "place"],
                 )
 
-    return docs.select("text").mapInArrow(enter, "shingle long, class long")
+    return docs.select("text").mapInArrow(enter, "shingle long, class long, place long")
 
 
-def _members(entries: DataFrame) -> DataFrame:
-    """``(shingle, hub, before, member)``: the buckets with several classes.
+def may_link(place: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets whose first shared shingle has these places can reach the similarity.
 
-    Each member stands beside the bucket's first class and the one before it;
-    each bucket has a random order of its own.
+    They share nothing before it, so at most what follows it in either. Linked
+    sets pass in the bucket of their first shared shingle.
     """
+    n, m = place >> PLACE_BITS, other >> PLACE_BITS
+    left, right = n - (place & PLACE_MASK), m - (other & PLACE_MASK)
+    return bound_passes(np.minimum(left, right), n, m, percent)
+
+
+def _buckets(entries: DataFrame, percent: int) -> DataFrame:
+    """``(shingle, a, b)``: pairs of classes to begin with, and the classes of large buckets.
+
+    A bucket of up to ``SMALL`` classes gives all its pairs ``(NULL, a, b)``
+    that may be linked, and is done with. A larger one gives rows
+    ``(shingle, class, place)``, and up to ``SMALL`` pairs for each: with the
+    bucket's first class and the ones just before it, so that most of a dense
+    group is connected before any of its pairs are enumerated, also where its
+    members aren't all alike. Each bucket has a random order of its own.
+    """
+
+    def pairs_of(rows: np.ndarray, told: int) -> pa.RecordBatch:
+        """Of whole buckets; the first ``told`` rows, a large bucket's first and last so far, were given before."""
+        shingle, class_, place = rows
+        starts = group_starts([shingle])
+        size = np.diff(starts, append=len(shingle))
+        if told:
+            size[0] = max(size[0], SMALL + 1)
+        at, size = np.repeat(starts, np.diff(starts, append=len(shingle))), np.repeat(size, np.diff(starts, append=len(shingle)))
+        row = np.arange(len(shingle))
+        large = (size > SMALL) & (row >= told)
+        left, right = [], []
+        for step in range(1, SMALL):
+            of = row[(row >= told) & (row - at >= step)]
+            left.append(of - step)
+            right.append(of)
+        of = row[large & (row - at >= SMALL)]
+        left.append(at[of])
+        right.append(of)
+        i, j = np.concatenate(left), np.concatenate(right)
+        kept = may_link(place[i], place[j], percent)
+        a, b = class_[i[kept]], class_[j[kept]]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        n, m = pairs.shape[1], int(large.sum())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([np.zeros(n, np.int64), shingle[large]]), mask=np.arange(n + m) < n),
+                pa.array(np.concatenate([pairs[0], class_[large]])),
+                pa.array(np.concatenate([pairs[1], place[large]])),
+            ],
+            ["shingle", "a", "b"],
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int, int] | None = None  # shingle, class, hub of the row before
-        names = ["shingle", "hub", "before", "member"]
+        rest, told = np.zeros((3, 0), np.int64), 0  # of the last bucket, which may go on
         for batch in batches:
-            if not batch.num_rows:
+            rows = np.stack([batch[c].to_numpy() for c in ("shingle", "class", "place")])
+            rows = np.concatenate([rest, rows], axis=1)
+            if not rows.shape[1]:
                 continue
-            shingle, member = batch["shingle"].to_numpy(), batch["class"].to_numpy()
-            opens = np.ones(len(shingle), bool)
-            opens[1:] = shingle[1:] != shingle[:-1]
-            repeats = np.zeros(len(shingle), bool)
-            repeats[1:] = ~opens[1:] & (member[1:] == member[:-1])
-            at = np.maximum.accumulate(np.where(opens, np.arange(len(shingle)), 0))
-            hub, before = member[at].copy(), np.roll(member, 1)
-            if last and shingle[0] == last[0]:
-                hub[at == 0] = last[2]
-                before[0] = last[1]
-                opens[0], repeats[0] = False, member[0] == last[1]
-            last = (int(shingle[-1]), int(member[-1]), int(hub[-1]))
-            of = ~opens & ~repeats
-            yield pa.RecordBatch.from_arrays([pa.array(c[of]) for c in (shingle, hub, before, member)], names)
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])
+            rows = rows[:, new]
+            last = int(group_starts([rows[0]])[-1])
+            if rows.shape[1] - last <= SMALL and not (told and last == 0):
+                rows, rest, goes_on = rows[:, :last], rows[:, last:], 0
+            else:
+                rest, goes_on = rows[:, [last, -1]], 2
+            if rows.shape[1]:
+                yield pairs_of(rows, told)
+            told = goes_on
+        if rest.shape[1] and not told:
+            yield pairs_of(rest, 0)
 
     return (
         entries.repartition("shingle")
         .sortWithinPartitions("shingle", F.xxhash64("shingle", "class"), "class")
-        .mapInArrow(run, "shingle long, hub long, before long, member long")
-    )
-
-
-def _first_pairs(members: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` to begin with, about as many as members.
-
-    Each member meets its bucket's hub and, in one of sixteen buckets, the
-    member before it, so that most of a dense group is connected before any of
-    its pairs are enumerated, also where its members aren't all alike.
-    """
-    hubs = members.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
-    chains = members.where("pmod(shingle, 16) = 0").select(
-        F.least("before", "member").alias("a"), F.greatest("before", "member").alias("b")
+        .mapInArrow(run, "shingle long, a long, b long")
     )
-    return hubs.unionByName(chains).where("a != b").distinct()
 
 
 def _by_bound(pairs: DataFrame, classes: DataFrame, percent: int, point: str = "point") -> DataFrame:
@@ -261,7 +305,7 @@ def _by_bound(pairs: DataFrame, classes: DataFrame, percent: int, point: str = "
 
 
 def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of classes in one bucket that aren't connected yet and that their points allow to be linked.
+    """Pairs of classes in one large bucket that aren't connected yet and that their places and points allow to be linked.
 
     Only buckets with several parts are looked at. Each is cut into blocks, and
     each pair of its blocks is a group: a small tree of leaves with the largest
@@ -270,13 +314,9 @@ def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, per
     """
     part = F.coalesce("component", "class")
     placed = classes.join(parts, F.col("class") == F.col("node"), "left").select("class", "n", "point", part.alias("part"))
-    of_hub, of_member = (placed.select(F.col("class").alias(x), F.col("part").alias(f"part_{x}")) for x in ("hub", "member"))
-    open_ = members.join(of_hub, "hub").join(of_member, "member").where("part_hub != part_member")
-    open_ = materialize(open_.select("shingle").distinct(), "open-buckets")
-    rows = members.join(open_, "shingle", "left_semi")
-    rows = rows.select("shingle", F.col("member").alias("class")).unionByName(
-        rows.select("shingle", F.col("hub").alias("class"))
-    ).distinct()
+    rows = members.join(placed.select("class", "part"), "class")
+    open_ = rows.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high")
+    rows = members.join(materialize(open_.select("shingle"), "open-buckets"), "shingle", "left_semi")
     counts = rows.groupBy("shingle").agg(F.ceil(F.count("*") / block_rows).alias("blocks")).where("blocks > 1")
     counts = materialize(counts, "large-buckets").withColumnRenamed("shingle", "_large")
     dealt = (
@@ -292,6 +332,7 @@ def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, per
         F.greatest("block", "partner").alias("high"),
         "block",
         "class",
+        "place",
         "part",
         "n",
         "point",
@@ -300,17 +341,17 @@ def _between_parts(members: DataFrame, classes: DataFrame, parts: DataFrame, per
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["shingle", "low", "high"]):
             found_a, found_b = [], []
-            columns = [table[c].to_numpy() for c in ("class", "part", "n", "block")]
+            columns = [table[c].to_numpy() for c in ("class", "place", "part", "n", "block")]
             low, high = table["low"].to_numpy(), table["high"].to_numpy()
             points = table["point"].combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS)
             for start, end in zip(starts, [*starts[1:], table.num_rows], strict=True):
-                class_, part_, n, block = (c[start:end] for c in columns)
+                class_, place, part_, n, block = (c[start:end] for c in columns)
                 point = points[start:end]
                 left = np.flatnonzero(block == low[start])
                 right = left if low[start] == high[start] else np.flatnonzero(block == high[start])
                 folded = point.reshape(len(point), -1, TREE_DIMENSIONS).sum(axis=1)
                 for i, j in tree_pairs(n, folded, left, right, percent):
-                    apart = part_[i] != part_[j]
+                    apart = (part_[i] != part_[j]) & may_link(place[i], place[j], percent)
                     i, j = i[apart], j[apart]
                     apart = bound_passes(np.minimum(point[i], point[j]).sum(axis=1), n[i], n[j], percent)
                     found_a.append(class_[i[apart]])
@@ -461,9 +502,11 @@ def jaccard_components(
     for each bucket of documents that share one of their first shingles. Pairs
     of large sets meet a second bound, of finer points.
 
-    First each member of a bucket meets the bucket's hub and some their
-    neighbours, so a dense group costs about as many pairs as members; what
-    isn't connected after that meets in the buckets' trees. Surviving pairs are verified on whole texts.
+    Small buckets give all their pairs. Each member of a large one first meets
+    the bucket's hub and some their neighbours, so a dense group costs about as
+    many pairs as members; what isn't connected after that meets in the
+    buckets' trees. A pair counts in a bucket only if what follows the shared
+    shingle in both sets is enough. Surviving pairs are verified on whole texts.
 
     Without words, or with NULL text, a row has no shingles and links with
     nothing. Rows that share an id are one document to the components; rows
@@ -478,8 +521,9 @@ def jaccard_components(
         "classes",
     )
     usable = docs.where(F.col("id").isNotNull())
-    members = materialize(_members(_entries(usable, _frequent_groups(described), percent)), "members")
-    pairs = materialize(_by_bound(_first_pairs(members), classes, percent), "first-pairs")
+    buckets = materialize(_buckets(_entries(usable, _frequent_groups(described), percent), percent), "buckets")
+    pairs = materialize(_by_bound(buckets.where("shingle IS NULL").select("a", "b").distinct(), classes, percent), "first-pairs")
+    members = buckets.where("shingle IS NOT NULL").select("shingle", F.col("a").alias("class"), F.col("b").alias("place"))
     links = _linked(usable, classes, pairs, percent)
     parts = components(links)
     more = materialize(_between_parts(members, classes, parts, percent, block_rows).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
