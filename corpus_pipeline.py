@@ -20,6 +20,9 @@ from yardstar.llm.common import materialize
 #: SQL can't express the classifier, the tokenizer and the hash-random order of the mix.
 ORACLE_SQL = None
 
+#: Rows of whole texts that Spark gives to Python at once: its own 10,000 are tens of megabytes, held by both sides.
+BATCH_ROWS = 2_000
+
 
 def _unused(docs: DataFrame, name: str) -> str:
     """A working name that no column of the input has, in any case of its letters."""
@@ -31,6 +34,7 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn ``labels.quality`` from the documents and keep those that score 0.7 or more."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)  # holds for the stages after it, too
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, label_col="quality")
     score = _unused(docs, "_score")

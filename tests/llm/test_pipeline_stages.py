@@ -9,10 +9,18 @@ from conftest import SF
 from test_operators import WORD, Union, brute_sets, brute_targets
 
 import corpus_pipeline
-from yardstar.llm import queries
+from yardstar.llm import packing, queries
 from yardstar.llm.common import materialize
 
 
+def test_stages_hold_few_texts_at_once(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(name)
+    corpus_pipeline.quality_classifier(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert int(spark.conf.get(name)) == corpus_pipeline.BATCH_ROWS < 10_000
+    assert packing.SLICE_BYTES <= 1 << 19
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, [docs.collect()]
