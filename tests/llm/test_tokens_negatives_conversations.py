@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from yardstar.llm import conversations as conv
-from yardstar.llm import negatives, simple8b, token_files
+from yardstar.llm import negatives, simple8b, text, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -43,6 +43,23 @@ def test_simple8b_packs_small_numbers_and_lets_a_large_one_escape():
     assert len(coded) == 10 and escapes.tolist() == [2**40]
 
 
+def test_simple8b_of_words_full_of_escapes_and_short_ends():
+    rng = np.random.default_rng(8)
+    for n in (1, 239, 240, 241, 500):
+        for share in (0, 0.02, 0.5, 1):
+            values = np.where(rng.random(n) < share, 2**40, rng.integers(0, 2, n)).astype(np.uint64)
+            coded, escapes = simple8b.encode(values)
+            assert (simple8b.decode(coded, escapes, n) == values).all()
+            assert len(coded) + len(escapes) <= n
+
+
+def test_powers_are_made_once():
+    assert np.shares_memory(text.powers(10, text.BASE), text.powers(20, text.BASE))
+    for n in (0, 1, 1000):
+        assert text.powers(n, text.BASE).tolist() == [pow(int(text.BASE), i, 1 << 64) for i in range(n)]
+    assert len(text.powers(text.KEPT_POWERS + 1, text.BASE)) == text.KEPT_POWERS + 1
+
+
 ALPHABET = ["a", "B", "é", "é", "'", "s", "'LL", " ", "\n", " ", "　", "-", "<|", "|>", "<|endoftext|>"]
 ALPHABET += ["<|STARTOFTEXT|>", "<|startoftext|>", "İ", "Σ", "ß", "1", "23", "٣", "≠", "!", ".", "\x1c", "中", "😀", "\x00"]
 

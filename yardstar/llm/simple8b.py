@@ -32,6 +32,8 @@ FIELDS = (
 COUNT = np.array([count for count, _ in FIELDS])
 ESCAPING_BITS = 4
 SELECTOR_SHIFT = np.uint64(60)
+COST = 1680  # of a word, a multiple of all counts that allow escapes and of the others
+MOST_COST = (1 << 12) - 1
 
 
 def _limit(bits: int) -> int:
@@ -50,25 +52,30 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    cost = np.full(n, np.inf, np.float32)
-    selector = np.zeros(n, np.int8)
+    # Values above 32 bits fit the last two widths alone, so the narrow ones are compared by halves of the memory.
+    low = np.minimum(values, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    best = np.full(n, 0xFFFF, np.uint16)  # cost of a number, and the selector in the lower four bits
     for s, (count, bits) in enumerate(FIELDS):
-        misfit = values >= np.uint64(_limit(bits))
-        if bits < ESCAPING_BITS and np.count_nonzero(misfit) > n - min(n, count):
+        misfit = (low >= np.uint32(_limit(bits))) if bits < 32 else values >= np.uint64(_limit(bits))
+        n_misfits = np.count_nonzero(misfit)
+        if bits < ESCAPING_BITS and n_misfits > n - min(n, count):
             continue  # no word of them is without a misfit
-        before = np.zeros(n + count, np.int32)
-        np.cumsum(misfit, out=before[1 : n + 1])
+        before = np.zeros(n + count, np.uint8)  # modulo 256, as no word has more numbers
+        np.cumsum(misfit.view(np.uint8), out=before[1 : n + 1])
         before[n + 1 :] = before[n]
-        escapes = before[count:] - before[:n] if count > 1 else misfit
-        its_cost = (1 + escapes) * np.float32(1 / count)
+        escapes = before[count:] - before[:n]
+        its_cost = (escapes.astype(np.uint16) + np.uint16(1)) * np.uint16(COST // count)
         if count > 1:  # words at the end that are not filled
             tail = np.arange(max(n - count + 1, 0), n)
-            its_cost[tail] *= count / (n - tail)
+            its_cost[tail] = np.minimum((1 + escapes[tail].astype(np.int64)) * COST // (n - tail), MOST_COST)
+        its_cost <<= np.uint16(4)
+        its_cost |= np.uint16(s)
         if bits < ESCAPING_BITS:
-            its_cost[escapes > 0] = np.inf
-        better = its_cost < cost
-        np.copyto(cost, its_cost, where=better)
-        selector[better] = s
+            its_cost[escapes > 0] = 0xFFFF
+        np.minimum(best, its_cost, out=best)
+        if not n_misfits:
+            break  # wider fields hold fewer numbers in a word
+    selector = best & np.uint16(15)
     step = COUNT[selector].tolist()
     begins, at = [], 0
     while at < n:

@@ -53,7 +53,20 @@ def buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[cut[0] : cut[-1]], cut - cut[0]
 
 
+KEPT_POWERS = 1 << 20
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: np.uint64) -> np.ndarray:
+    """The first ``n`` powers of ``base``; a worker keeps the first million of each base, which most batches can do with."""
+    if n > KEPT_POWERS:
+        return _made_powers(n, base)
+    if int(base) not in _powers:
+        _powers[int(base)] = _made_powers(KEPT_POWERS, base)
+    return _powers[int(base)][:n]
+
+
+def _made_powers(n: int, base: np.uint64) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -68,8 +81,8 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((total[end] - total[start]) * powers(len(data), BASE_INVERSE)[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Maximal runs without white space; no word crosses from one text into the next."""
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, start, end)`` of maximal runs without white space; none crosses from one text into the next."""
     inside = ~SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -80,7 +93,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     first[border] = inside[border]
     last[border - 1] = inside[border - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    text = np.searchsorted(offsets, start, "right") - 1
+    return np.searchsorted(offsets, start, "right") - 1, start, end
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Maximal runs without white space, and their hashes."""
+    text, start, end = spans(data, offsets)
     return Words(span_hash(data, start, end), text, start, end)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from yardstar.llm import simple8b
-from yardstar.llm.text import SPACE, buffer, slices, span_hash, words
+from yardstar.llm.text import SPACE, buffer, slices, span_hash, spans
 
 MAGIC = b"S8BTOK01"
 INDEX = "_index.json"
@@ -368,7 +368,7 @@ class WordEncoder:
 
     def stretches(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``(start, end, text, key)`` of the stretches, in order."""
-        found = words(data, offsets)
+        found_text, found_start, found_end = spans(data, offsets)
         letter = np.zeros(256, bool)
         letter[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
         sign = np.zeros(256, bool)
@@ -390,10 +390,12 @@ class WordEncoder:
             at = match.end()
         # Cuts at white space and at the borders of words add nothing: words begin and end there.
         cut[:-1] &= ~SPACE[data]
-        cut[found.start] = True
+        begins = np.zeros(len(data), bool)
+        begins[found_start] = True
+        cut[:-1] |= begins
         start = np.flatnonzero(cut[:-1])
-        of = np.searchsorted(found.start, start, "right") - 1
-        end = np.minimum(np.append(start[1:], len(data)), found.end[of])
+        of = np.cumsum(begins[start]) - 1
+        end = np.minimum(np.append(start[1:], len(data)), found_end[of])
         low = data.copy()
         plain = np.zeros(len(data) + 1, np.int64)
         np.cumsum(letter[data], out=plain[1:])
@@ -401,7 +403,7 @@ class WordEncoder:
         all_letters = plain[end] - plain[start] == end - start
         inside = np.bincount(start[all_letters], minlength=len(data) + 1) - np.bincount(end[all_letters], minlength=len(data) + 1)
         low[upper & (np.cumsum(inside)[:-1] > 0)] |= 0x20
-        return start, end, found.text[of], span_hash(low, start, end)
+        return start, end, found_text[of], span_hash(low, start, end)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the offset of each text in it."""
