@@ -276,7 +276,7 @@ def dim_client(bed):
 
 # -- facts --------------------------------------------------------------------
 def _rentals(bed) -> DataFrame:
-    return facts.resolve_rentals(facts.rental_rows(bed.conformed), bed.dimensions)
+    return facts.resolve_rentals(facts.rental_rows(bed.conformed, bed.dimensions["dim_cliente"]), bed.dimensions)
 
 
 def _reservations(bed) -> DataFrame:

@@ -138,3 +138,33 @@ def test_catalogue_is_consistent(name):
 
 def test_fixed_lists():
     assert len(UNITS) == len(set(UNITS)) == 27 and len(LICENCES) == 9
+
+
+def _shuffles(df):
+    """Rows are moved by these exchanges of the finished plan; reused ones move none."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+
+
+def test_a_key_that_is_unique_and_referred_to_is_shuffled_once(spark, tmp_path):
+    spark.range(50).selectExpr("id AS pk", "id % 7 AS fk").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    rules = Q.TableRules(key=("pk",), unique=(("fk",),), references={"fk": ("t", "pk")})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q.audit_table("t", rules, {"t": t})
+        assert len([line for line in _shuffles(df) if "hashpartitioning(fk#" in line]) == 1
+        assert len(found(df)) == 7 and {r[0] for r in found(df)} == {"t:unico:fk"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_keys_are_counted_in_their_own_types(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (2, "b", None)], "id bigint, k string, n int")
+    got = Q.audit_uniques(df, {"i": ["id"], "k": ["k"], "kn": ["k", "n"], "n": ["n"]})
+    assert found(got) == [("i", "1", "2"), ("k", "b", "2"), ("n", "5", "2")]
+    lines = _shuffles(got)
+    assert len(lines) == 4 and not [line for line in lines if "struct" in line or "hashpartitioning(e#" in line]

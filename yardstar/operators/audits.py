@@ -108,28 +108,23 @@ def _violations(df: DataFrame, rule: str, keys: Sequence[str], detail: str | Col
     return df.select(F.lit(rule).alias("regra"), _key(keys).alias("chave"), detail.cast("string").alias("detalhe"))
 
 
+def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows by key; a key with a NULL is none."""
+    present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    return df.where(present).groupBy(*keys).agg(F.count("*").alias("__n"))
+
+
 def audit_unique(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     """Key values held by more than one row; the detail is how many hold it."""
-    present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    counted = df.where(present).groupBy(*keys).agg(F.count("*").alias("__n"))
-    return _violations(counted.where("__n > 1"), rule, keys, "__n")
+    return _violations(_counted(df, keys).where("__n > 1"), rule, keys, "__n")
 
 
 def audit_uniques(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``audit_unique`` of several keys ``{rule: columns}`` in one pass and one shuffle."""
-    entries = F.array(
-        *(
-            F.when(
-                reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)),
-                F.struct(F.lit(rule).alias("regra"), F.array(*(F.col(c).cast("string") for c in columns)).alias("valores")),
-            )
-            for rule, columns in keys.items()
-        )
-    )
-    counted = df.select(F.explode(F.array_compact(entries)).alias("e")).groupBy("e").agg(F.count("*").alias("__n"))
-    return counted.where("__n > 1").select(
-        F.col("e.regra").alias("regra"), F.concat_ws("|", "e.valores").alias("chave"), F.col("__n").cast("string").alias("detalhe")
-    )
+    """``audit_unique`` of several keys ``{rule: columns}``, each counted in its own columns' types.
+
+    Rows of one shape for all keys would hold each value as text beside its rule, several times as wide.
+    """
+    return _all_of([audit_unique(df, columns, rule) for rule, columns in keys.items()])
 
 
 def _all_of(parts: Sequence[DataFrame]) -> DataFrame:
@@ -141,8 +136,12 @@ def _all_of(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def audit_orphans(child: DataFrame, column: str, parent: DataFrame, key: str, rule: str) -> DataFrame:
-    """Foreign keys without a parent; the detail is how many rows refer to it."""
-    counted = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
+    """Foreign keys without a parent; the detail is how many rows refer to it.
+
+    They are counted as ``audit_unique`` counts a key: one that is checked for both is shuffled once, unless Spark
+    broadcasts the parent.
+    """
+    counted = _counted(child, [column])
     known = parent.select(F.col(key).alias("__key"))
     return _violations(counted.join(known, F.col(column) == F.col("__key"), "left_anti"), rule, [column], "__n")
 

@@ -10,11 +10,12 @@ rentals; three dates, client, group and pickup yard for reservations.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yardstar.functions import columns as X
 from yardstar.functions.lookups import lookup
@@ -35,8 +36,10 @@ ROW_DDL = {
     "duracao_prevista_dias INT, status_reserva STRING, fonte_grupo STRING",
 }
 
+CLIENT = {"sk_cliente": "sk_cliente"}
 
-def _rental(df: DataFrame, tag: str, **cols: str | Column | None) -> DataFrame:
+
+def _rental(df: DataFrame, tag: str, kept: Sequence[str] = (), **cols: str | Column | None) -> DataFrame:
     kinds = {
         "id_locacao_orig": None,
         "data_retirada": "date",
@@ -58,26 +61,36 @@ def _rental(df: DataFrame, tag: str, **cols: str | Column | None) -> DataFrame:
         c = F.lit(None) if c is None else X.col(c)
         out.append((c.cast(kind) if kind else c).alias(name))
     out.append(X.differs(cols["id_patio_retirada"], cols["id_patio_entrega"]).alias("locacao_intercompanhia"))
-    return df.select(*out, F.lit(tag).alias("fonte_grupo"))
+    return df.select(*out, F.lit(tag).alias("fonte_grupo"), *kept)
+
+
+def _with_reservation(laid: DataFrame, reservations: DataFrame, take: Mapping[str, str]) -> DataFrame:
+    """Laid-out rentals, which are narrower than their source's, with what their reservation says."""
+    row = [*T.StructType.fromDDL(ROW_DDL["fato_locacao"]).names, *(n for n in take.values() if n in CLIENT)]
+    df = laid.drop(*take.values())
+    df = lookup(df, reservations, {"id_reserva": "id_reserva"}, take, spread_nulls_by=["id_locacao_orig"])
+    return df.select(*row)
+
 
+def _with_client(rows: DataFrame, clients: DataFrame, tag: str, spread_by: str) -> DataFrame:
+    """Reservations of one source with the key of their client."""
+    tagged = rows.withColumn("fonte_grupo", F.lit(tag))
+    return _source_key(tagged, clients, "id_cliente", "id_cliente_orig", CLIENT, spread_by)
 
-def rentals_g1(s: Frames) -> DataFrame:
-    """The client comes from the reservation: walk-ins have none."""
-    df = lookup(
+
+def rentals_g1(s: Frames, clients: DataFrame | None = None) -> DataFrame:
+    """The client comes from the reservation (the lowest, should one appear twice): walk-ins have none."""
+    reservations = s["g1_reserva"].groupBy("id_reserva").agg(F.min("id_cliente").alias("id_cliente"))
+    take = {"id_cliente": "id_cliente"}
+    if clients is not None:
+        reservations, take = _with_client(reservations, clients, "G1", "id_reserva"), take | CLIENT
+    laid = _rental(
         s["g1_locacao"],
-        s["g1_reserva"],
-        {"id_reserva": "id_reserva"},
-        {"id_cliente": "id_cliente"},
-        spread_nulls_by=["id_locacao"],
-        lowest=True,
-    )
-    return _rental(
-        df,
         "G1",
+        ["id_reserva"],
         id_locacao_orig="id_locacao",
         data_retirada="data_hora_retirada",
         data_devolucao="data_hora_devolucao_realizada",
-        id_cliente="id_cliente",
         id_veiculo="id_veiculo",
         id_patio_retirada="id_patio_saida",
         id_patio_entrega="id_patio_chegada_realizada",
@@ -86,6 +99,7 @@ def rentals_g1(s: Frames) -> DataFrame:
         valor_total="valor_final",
         status_locacao="status_conformado",
     )
+    return _with_reservation(laid, reservations, take)
 
 
 def rentals_g2(s: Frames) -> DataFrame:
@@ -108,30 +122,28 @@ def rentals_g2(s: Frames) -> DataFrame:
     )
 
 
-def rentals_g3(s: Frames) -> DataFrame:
+def rentals_g3(s: Frames, clients: DataFrame | None = None) -> DataFrame:
     """Client, planned days and revenue come from the reservation."""
-    df = lookup(
-        s["g3_locacao"],
-        s["g3_reserva"],
-        {"id_reserva": "id_reserva"},
-        {"id_cliente": "id_cliente", "duracao_prevista_dias": "duracao_prevista_dias", "preco_final": "preco_final"},
-        spread_nulls_by=["id_locacao"],
+    reservations = s["g3_reserva"].select(
+        "id_reserva", "id_cliente", F.col("duracao_prevista_dias").cast("int"), F.col("preco_final").cast(MONEY)
     )
-    return _rental(
-        df,
+    take = {"id_cliente": "id_cliente", "duracao_prevista_dias": "duracao_dias_prevista", "preco_final": "valor_total"}
+    if clients is not None:
+        reservations, take = _with_client(reservations, clients, "G3", "id_reserva"), take | CLIENT
+    laid = _rental(
+        s["g3_locacao"],
         "G3",
+        ["id_reserva"],
         id_locacao_orig="id_locacao",
         data_retirada="data_locacao",
         data_devolucao="data_devolucao",
-        id_cliente="id_cliente",
         id_veiculo="id_veiculo",
         id_patio_retirada="id_patio",
         id_patio_entrega="id_patio_entrega",
-        duracao_dias_prevista="duracao_prevista_dias",
         duracao_dias_real="duracao_dias_real",
-        valor_total="preco_final",
         status_locacao="status_conformado",
     )
+    return _with_reservation(laid, reservations, take)
 
 
 def rentals_g4(s: Frames) -> DataFrame:
@@ -152,9 +164,17 @@ def rentals_g4(s: Frames) -> DataFrame:
     )
 
 
-def rental_rows(s: Frames) -> DataFrame:
-    """Rentals of all sources, from conformed staging."""
-    return reduce(DataFrame.unionByName, (f(s) for f in (rentals_g1, rentals_g2, rentals_g3, rentals_g4)))
+def rental_rows(s: Frames, clients: DataFrame | None = None) -> DataFrame:
+    """Rentals of all sources, from conformed staging.
+
+    With ``clients`` the rows have the key of their client. G1 and G3 know it
+    from their reservations, which are fewer and narrower than the rentals to
+    look it up for: should clients take a shuffle, half the rentals don't.
+    """
+    own = rentals_g2(s).unionByName(rentals_g4(s))
+    if clients is not None:
+        own = _source_key(own, clients, "id_cliente", "id_cliente_orig", CLIENT, "id_locacao_orig")
+    return rentals_g1(s, clients).unionByName(own).unionByName(rentals_g3(s, clients))
 
 
 def reservation_rows(s: Frames) -> DataFrame:
@@ -226,7 +246,7 @@ def _reasons(**missing: Column) -> Column:
 
 
 def resolve_rentals(rows: DataFrame, dims: Frames) -> DataFrame:
-    """Rental rows with every key looked up and ``motivos`` listing what is missing.
+    """Rental rows with every key looked up (the client's only if they don't have it) and ``motivos`` listing what is missing.
 
     Vehicles and clients grow with the rentals and come first: where they take a
     shuffle, the rows go through it without the keys of dates and yards.
@@ -235,7 +255,8 @@ def resolve_rentals(rows: DataFrame, dims: Frames) -> DataFrame:
     df = _source_key(
         rows, dims["dim_veiculo"], "id_veiculo", "id_veiculo_orig", {"sk_veiculo": "sk_veiculo", "sk_grupo": "sk_grupo"}
     )
-    df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", {"sk_cliente": "sk_cliente"}, row_id)
+    if "sk_cliente" not in rows.columns:
+        df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", CLIENT, row_id)
     df = _date_key(df, dates, "data_retirada", "sk_tempo_retirada", row_id)
     df = _date_key(df, dates, "data_devolucao", "sk_tempo_devolucao", row_id)
     df = _source_key(df, yards, "id_patio_retirada", "id_patio_orig", {"sk_patio": "sk_patio_retirada"})
@@ -263,7 +284,7 @@ def resolve_reservations(rows: DataFrame, dims: Frames) -> DataFrame:
     df = _source_key(df, yards, "id_patio_retirada", "id_patio_orig", {"sk_patio": "sk_patio_retirada"})
     df = _source_key(df, yards, "id_patio_devolucao", "id_patio_orig", {"sk_patio": "sk_patio_devolucao"}, row_id)
     df = _source_key(df, dims["dim_grupo_veiculo"], "id_grupo", "id_grupo_orig", {"sk_grupo": "sk_grupo"})
-    df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", {"sk_cliente": "sk_cliente"})
+    df = _source_key(df, dims["dim_cliente"], "id_cliente", "id_cliente_orig", CLIENT)
     return df.withColumn(
         "motivos",
         _reasons(

@@ -196,7 +196,7 @@ def load_facts(conformed: Mapping[str, DataFrame], begun: Begun) -> Warehouse:
         return _store_fact(resolved, "fato_reserva", store, version, cfg)
 
     def rentals() -> DataFrame:
-        resolved = facts.resolve_rentals(facts.rental_rows(conformed), done)
+        resolved = facts.resolve_rentals(facts.rental_rows(conformed, done["dim_cliente"]), done)
         return _store_fact(resolved, "fato_locacao", store, version, cfg)
 
     def snapshot() -> DataFrame:

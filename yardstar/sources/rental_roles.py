@@ -136,8 +136,13 @@ class RentalRoles:
         customers = self.table("customer").select("c_custkey", "c_nationkey")
         suppliers = self.table("supplier").select("s_suppkey", "s_nationkey")
         owners = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+        # Prices are shuffled as decimals; one that is none is kept as it was, to fail only if its row has an order.
         items = self.table("lineitem").selectExpr(
-            "*", "CAST(l_quantity AS INT) AS quantity", "l_linestatus = 'F' AS done"
+            "*",
+            "CAST(l_quantity AS INT) AS quantity",
+            "l_linestatus = 'F' AS done",
+            "try_cast(l_extendedprice AS DECIMAL(10,2)) AS money",
+            "if(try_cast(l_extendedprice AS DECIMAL(10,2)) IS NULL, l_extendedprice, NULL) AS no_money",
         )
         return (
             items.join(owners, items["l_orderkey"] == owners["o_orderkey"])
@@ -151,7 +156,7 @@ class RentalRoles:
                 "CAST(s_nationkey AS BIGINT) AS yard_id",
                 "CAST(c_nationkey AS BIGINT) AS return_yard_id",
                 "quantity",
-                "CAST(l_extendedprice AS DECIMAL(10,2)) AS price",
+                "coalesce(money, CAST(no_money AS DECIMAL(10,2))) AS price",
                 "done",
                 "l_shipdate + make_dt_interval(0, l_linenumber) AS pickup",
                 "l_shipdate + make_dt_interval(1 + quantity % 14) AS due",
